@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acceptance import telemetry
+from acceptance import tables, telemetry
 
-_MODULES = (telemetry,)
+_MODULES = (telemetry, tables)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
