@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acceptance import tables, telemetry
+from acceptance import archive_jobs, tables, telemetry
 
-_MODULES = (telemetry, tables)
+_MODULES = (telemetry, tables, archive_jobs)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
