@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from acceptance import archive_jobs, tables, telemetry
+from acceptance import archive_jobs, arrivals, protection, tables, telemetry
 
-_MODULES = (telemetry, tables, archive_jobs)
+_MODULES = (telemetry, tables, arrivals, archive_jobs, protection)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -88,7 +88,11 @@ def stream_archives(
     spark: SparkSession, path: str, glob: str | None = None, max_files_per_trigger: int | None = None
 ) -> DataFrame:
     """Archive files as they arrive, each once per checkpoint."""
-    reader = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true")
+    reader = (
+        spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
+        .option("recursiveFileLookup", "true")
+    )
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
@@ -296,15 +300,16 @@ def last_by_base_name(members: DataFrame) -> DataFrame:
     return newest.select("base_name", "last.order.*", "last.rest.*").select("base_name", *files.columns)
 
 
-def _spread(members: DataFrame, partitions: int | None) -> DataFrame:
+def data_members(listed: DataFrame) -> DataFrame:
+    """Members that hold data: no directories, no unreadable archives."""
+    return listed.where(F.col("position").isNotNull() & ~F.col("is_directory"))
+
+
+def _spread(rows: DataFrame, partitions: int | None) -> DataFrame:
     """Slices over tasks, members of a slice in order so its archive is opened once."""
-    spark = members.sparkSession
+    spark = rows.sparkSession
     count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return (
-        members.where(F.col("position").isNotNull() & ~F.col("is_directory"))
-        .repartition(count, "path", "slice")
-        .sortWithinPartitions("path", "position")
-    )
+    return rows.repartition(count, "path", "slice").sortWithinPartitions("path", "position")
 
 
 class _Members:
@@ -348,7 +353,8 @@ def _read_batches(batches, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
     try:
         for batch in batches:
             keys = batch.select(["path", "kind", "position"]).to_pylist()
-            out: list[tuple[int, int, bytes | None, str | None]] = []
+            directory = batch.column("is_directory").to_pylist()
+            out: list[tuple[int, int | None, bytes | None, str | None]] = []
             held = 0
 
             def flush() -> pa.RecordBatch:
@@ -363,6 +369,9 @@ def _read_batches(batches, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
                 )
 
             for row, key in enumerate(keys):
+                if key["position"] is None or directory[row]:
+                    out.append((row, None, None, None))
+                    continue
                 number = 0
                 try:
                     for chunk in reader.chunks(**key):
@@ -390,8 +399,16 @@ def read_members(
 
     A member of up to `chunk_bytes` is one row, a larger one several. The stored
     checksum is verified on the way; a bad member ends in a row with `read_error`.
+    Directories are left out.
     """
-    placed = _spread(members, partitions)
+    return read_inventory(data_members(members), partitions, chunk_bytes)
+
+
+def read_inventory(
+    listed: DataFrame, partitions: int | None = None, chunk_bytes: int = CHUNK_BYTES
+) -> DataFrame:
+    """As `read_members`, with directories and unreadable archives kept as rows without data."""
+    placed = _spread(listed, partitions)
     schema = T.StructType(
         [
             *placed.schema.fields,
@@ -410,9 +427,12 @@ def _visit_batches(batches, chunk_bytes: int, visit) -> Iterator[pa.RecordBatch]
         for batch in batches:
             results = []
             for row in batch.to_pylist():
+                if row["position"] is None or row["is_directory"] or row.get("target", "") is None:
+                    results.append((None, None, None))
+                    continue
                 try:
-                    size, crc = visit(row, reader.chunks(row["path"], row["kind"], row["position"]), reader.opened)
-                    results.append((size, crc, None))
+                    chunks = reader.chunks(row["path"], row["kind"], row["position"])
+                    results.append((*visit(row, chunks, reader.opened), None))
                 except _READ_ERRORS as error:
                     reader.close()
                     results.append((None, None, f"{type(error).__name__}: {error}"))
@@ -441,8 +461,8 @@ def _store(row: dict, chunks: Iterable[bytes], opened: dict) -> tuple[int, int]:
     return storage.write_file(row["target"], chunks, opened)
 
 
-def _visited(members: DataFrame, partitions: int | None, chunk_bytes: int, visit) -> DataFrame:
-    placed = _spread(members, partitions)
+def _visited(rows: DataFrame, partitions: int | None, chunk_bytes: int, visit) -> DataFrame:
+    placed = _spread(rows, partitions)
     schema = T.StructType(
         [
             *placed.schema.fields,
@@ -456,7 +476,7 @@ def _visited(members: DataFrame, partitions: int | None, chunk_bytes: int, visit
 
 def verify_members(members: DataFrame, partitions: int | None = None) -> DataFrame:
     """Reads every member and compares sizes and checksums; no data leaves the tasks."""
-    visited = _visited(members, partitions, 1 << 20, _measure)
+    visited = _visited(data_members(members), partitions, 1 << 20, _measure)
     intact = (
         F.col("read_error").isNull()
         & (F.col("bytes_read") == F.col("uncompressed_size"))
@@ -488,15 +508,15 @@ def integrity(listed: DataFrame, partitions: int | None = None) -> DataFrame:
 
 
 def land_members(
-    members: DataFrame, partitions: int | None = None, chunk_bytes: int = 4 << 20
+    rows: DataFrame, partitions: int | None = None, chunk_bytes: int = 4 << 20
 ) -> DataFrame:
     """Writes each member to the file its `target` column names; returns the manifest.
 
-    Tasks copy straight from archive to file. Work happens when the manifest is
-    written or counted. Targets must be unique: use `last_by_base_name` where
-    several members would share one.
+    Tasks copy straight from archive to file; rows without target pass through.
+    Work happens when the manifest is written or counted. Targets must be unique:
+    use `last_by_base_name` where several members would share one.
     """
-    return _visited(members, partitions, chunk_bytes, _store)
+    return _visited(rows, partitions, chunk_bytes, _store)
 
 
 def with_head(archives: DataFrame, size: int = 8) -> DataFrame:
