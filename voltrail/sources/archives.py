@@ -31,6 +31,9 @@ CHUNK_BYTES = 32 << 20
 SLICE_BYTES = 128 << 20
 _BATCH_BYTES = 32 << 20
 _BATCH_ROWS = 4096
+_TASK_BYTES = 32 << 20
+_TASK_FILES = 16
+_MAX_TASKS = 50_000
 
 INVENTORY = (
     "path string, archive_bytes bigint, archive_modified timestamp, kind string, position int, "
@@ -100,6 +103,37 @@ def stream_archives(
     return reader.load(path).select("path", "modificationTime", "length")
 
 
+def locate_archives(keys: DataFrame, root: str, key: str = "key") -> DataFrame:
+    """Archive files named by a table of object keys below `root`.
+
+    A key named several times counts once; one that is not there gets no length.
+    """
+    found = "path string, modified_micros bigint, length bigint"
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened: dict = {}
+        for batch in batches:
+            rows = []
+            for path in batch.column(0).to_pylist():
+                there = storage.stat(path, opened)
+                rows.append({"path": path, "modified_micros": there and there[1], "length": there and there[0]})
+            yield pa.RecordBatch.from_pylist(
+                rows, pa.schema([("path", pa.string()), ("modified_micros", pa.int64()), ("length", pa.int64())])
+            )
+
+    paths = keys.select(F.concat(F.lit(root.rstrip("/") + "/"), F.col(key)).alias("path")).distinct()
+    return paths.mapInArrow(look_up, found).select(
+        "path", F.timestamp_micros("modified_micros").alias("modificationTime"), "length"
+    )
+
+
+def partition_count(archives: DataFrame) -> int:
+    """Tasks to read these archives with, from a small job over their sizes."""
+    total = archives.agg(F.sum("length").alias("bytes"), F.count("*").alias("files")).first()
+    wanted = max((total["bytes"] or 0) // _TASK_BYTES, total["files"] // _TASK_FILES)
+    return int(min(max(wanted, 1), _MAX_TASKS))
+
+
 def _kind(head: bytes) -> str:
     for name, magic in MAGIC:
         if head.startswith(bytes.fromhex(magic)):
@@ -178,8 +212,11 @@ def _stream_entry(kind: str, path: str, length: int, source) -> dict:
     }
 
 
-def _entries(path: str, length: int, slice_bytes: int, opened: dict) -> Iterator[dict]:
+def _entries(path: str, length: int | None, slice_bytes: int, opened: dict) -> Iterator[dict]:
     """One dict per member, one without position for an empty archive, or an error."""
+    if length is None:
+        yield {"error": "no such file"}
+        return
     kind = None
     try:
         source, kind = _open_kind(path, opened)

@@ -75,6 +75,15 @@ def open_input(uri: str, opened: dict) -> io.BufferedReader:
         raise StorageError(f"{uri}: {error}") from error
 
 
+def stat(uri: str, opened: dict) -> tuple[int, int] | None:
+    """Size and modification time in microseconds, None when there is no such file."""
+    fs, path = locate(uri, opened)
+    info = _guarded(fs.get_file_info, path)
+    if info.type != pafs.FileType.File:
+        return None
+    return info.size, (info.mtime_ns or 0) // 1000
+
+
 def _guarded(action, *args, **kwargs):
     try:
         return action(*args, **kwargs)

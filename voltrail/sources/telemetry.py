@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,18 +56,21 @@ def scan(
     The bounds also go to the partition column, so other days are not opened.
     """
     df = spark.table(table)
-    has_day = contract.DAY in df.columns
     ts_type = df.schema["ts"].dataType
+
+    def at(time: dt.datetime) -> Column:
+        return F.lit(time.isoformat(sep=" ")).cast(ts_type)
+
     if start is not None:
-        bound = F.lit(start.isoformat(sep=" ")).cast(ts_type)
-        df = df.where(F.col("ts") >= bound)
-        if has_day:
-            df = df.where(F.col(contract.DAY) >= F.to_date(bound))
+        df = df.where(F.col("ts") >= at(start))
     if end is not None:
-        bound = F.lit(end.isoformat(sep=" ")).cast(ts_type)
-        df = df.where(F.col("ts") < bound)
-        if has_day:
-            df = df.where(F.col(contract.DAY) <= F.to_date(bound))
+        df = df.where(F.col("ts") < at(end))
+    if contract.DAY in df.columns:
+        if start is not None:
+            df = df.where(F.col(contract.DAY) >= F.to_date(at(start)))
+        if end is not None:
+            last = end - dt.timedelta(microseconds=1)
+            df = df.where(F.col(contract.DAY) <= F.to_date(at(last)))
     return df.select(*contract.COLUMNS)
 
 

@@ -54,7 +54,11 @@ def land_archives(archive_files: DataFrame, source: str, target: str) -> DataFra
     target_file = F.when(
         is_data & (F.length(relative) > 0), F.concat(F.lit(root + "/"), folder, F.lit("/"), relative)
     )
-    return _manifest(archives.land_members(listed.withColumn("target", target_file)))
+    return _manifest(
+        archives.land_members(
+            listed.withColumn("target", target_file), archives.partition_count(archive_files)
+        )
+    )
 
 
 def land_archives_flat(archive_files: DataFrame, target: str) -> DataFrame:
@@ -69,7 +73,7 @@ def land_archives_flat(archive_files: DataFrame, target: str) -> DataFrame:
     )
     unread = listed.where(F.col("position").isNull())
     rows = winners.drop("base_name").unionByName(unread, allowMissingColumns=True)
-    return _manifest(archives.land_members(rows))
+    return _manifest(archives.land_members(rows, archives.partition_count(archive_files)))
 
 
 def _run(
@@ -123,7 +127,7 @@ def unpack_to_rows(
     """Stores the members of new archives as rows; unreadable ones keep their error."""
 
     def read(batch: DataFrame) -> DataFrame:
-        rows = archives.read_inventory(archives.inventory(batch))
+        rows = archives.read_inventory(archives.inventory(batch), archives.partition_count(batch))
         return rows.select(
             "path",
             "position",
