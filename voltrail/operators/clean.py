@@ -2,26 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltrail import contract
-from voltrail.functions.columns import primary_key
 
-_INT_MIN, _INT_MAX = -(2**31), 2**31 - 1
 
-
-def _narrowed(value: Column, actual: T.DataType, expected: T.DataType, name: str) -> Column:
-    """Cast that never wraps around, whatever the session's ANSI setting is."""
+def _narrowed(source: str, actual: T.DataType, expected: T.DataType, name: str) -> str:
+    """SQL of a cast that never wraps around, whatever the session's ANSI setting is."""
+    value, target = f"`{source}`", expected.simpleString()
     if actual == expected:
         return value
     fits_always = (T.ByteType, T.ShortType)
     if isinstance(expected, T.IntegerType) and not isinstance(actual, fits_always):
-        return F.when(
-            value.isNull() | value.between(_INT_MIN, _INT_MAX), value.cast(expected)
-        ).otherwise(F.raise_error(F.lit(f"{name} does not fit {expected.simpleString()}")))
-    return value.cast(expected)
+        return (
+            f"CASE WHEN {value} IS NULL OR {value} BETWEEN -2147483648 AND 2147483647 "
+            f"THEN CAST({value} AS {target}) ELSE raise_error('{name} does not fit {target}') END"
+        )
+    return f"CAST({value} AS {target})"
 
 
 def clean(df: DataFrame, ts_type: T.DataType | None = None) -> DataFrame:
@@ -30,27 +29,24 @@ def clean(df: DataFrame, ts_type: T.DataType | None = None) -> DataFrame:
     Columns the input lacks become typed NULLs; `vin_id` and `ts` must be there.
     `ts` keeps the kind of timestamp it has unless `ts_type` says otherwise.
     """
-    contract.require(df.schema)
-    sources = contract.source_names(df.schema)
-    ts_actual = df.schema[sources["ts"]].dataType
+    schema = df.schema
+    contract.require(schema)
+    sources = contract.source_names(schema)
     if ts_type is None:
+        ts_actual = schema[sources["ts"]].dataType
         ts_type = T.TimestampType() if isinstance(ts_actual, T.DateType) else ts_actual
-    columns = []
+    values = {}
     for field in contract.FIELDS:
         if field.name == contract.KEY:
             continue
         expected = ts_type if field.name == "ts" else field.type
         source = sources[field.name]
         if source is None:
-            value = F.lit(None).cast(expected)
+            values[field.name] = f"CAST(NULL AS {expected.simpleString()})"
         else:
-            value = _narrowed(F.col(source), df.schema[source].dataType, expected, field.name)
-        columns.append(value.alias(field.name))
-    return (
-        df.select(*columns)
-        .withColumn(contract.KEY, primary_key(F.col("vin_id"), F.col("ts")))
-        .select(*contract.COLUMNS)
-    )
+            values[field.name] = _narrowed(source, schema[source].dataType, expected, field.name)
+    values[contract.KEY] = f"concat({values['vin_id']}, '_', CAST({values['ts']} AS STRING))"
+    return df.selectExpr(*[f"{values[c]} AS `{c}`" for c in contract.COLUMNS])
 
 
 def with_day(df: DataFrame) -> DataFrame:

@@ -17,6 +17,9 @@ from voltrail.session import new_workdir
 from voltrail.sources.telemetry import read_raw, scan
 
 
+BASE_TABLE = "canbus01"
+
+
 def ingest(
     spark: SparkSession,
     input_path: str,
@@ -43,7 +46,9 @@ def ingest(
     writes.load_telemetry(cleaned, table, load_id)
     after = spark.table(table).count()
     missing = [f.column for f in found if f.status == "missing"]
-    row = (load_id, before, read.get["rows"], written.get["rows"], written.get["null_keys"], after, missing)
+    # Spark drops observations from a plan it knows to be empty.
+    counts = (0, 0, 0) if raw.isEmpty() else (read.get["rows"], written.get["rows"], written.get["null_keys"])
+    row = (load_id, before, *counts, after, missing)
     return spark.createDataFrame(
         [row],
         "load_id string, rows_before bigint, rows_read bigint, rows_written bigint, "
@@ -87,3 +92,32 @@ def refresh_summary_days(spark: SparkSession, table: str, namespace: str, days:
         writes.replace_partitions(build(rollup).hint("rebalance", "date"), target)
         names.append(target)
     return names
+
+
+def loaded_days(spark: SparkSession, table: str, load_id: str) -> list[dt.date]:
+    """Days a load wrote rows for; answered from the partition columns."""
+    rows = spark.table(table).where(F.col(contract.LOAD) == load_id)
+    day = F.col(contract.DAY) if contract.DAY in rows.columns else F.to_date("ts")
+    return [r[0] for r in rows.select(day.alias("day")).distinct().collect() if r[0] is not None]
+
+
+def ingest_and_summarize(
+    spark: SparkSession,
+    input_path: str,
+    namespace: str,
+    load_id: str,
+    ts_type: T.DataType = T.TimestampType(),
+    provider: str = "parquet",
+) -> DataFrame:
+    """Both jobs in a row; returns the ingest audit.
+
+    Summaries are built when absent, else only the days of this load are redone.
+    """
+    table = f"{namespace}.{BASE_TABLE}"
+    audit = ingest(spark, input_path, table, load_id, ts_type, provider)
+    targets = [f"{namespace}.{name}" for name in summaries.SUMMARIES]
+    if all(catalog.table_exists(spark, t) for t in targets):
+        refresh_summary_days(spark, table, namespace, loaded_days(spark, table, load_id))
+    else:
+        refresh_summaries(spark, table, namespace, provider)
+    return audit

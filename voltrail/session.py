@@ -15,6 +15,8 @@ def build_session(name: str = "voltrail", **conf: str) -> SparkSession:
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.ui.enabled": "false",
+        # Column call sites are for debugging; recording them slows plan building.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
