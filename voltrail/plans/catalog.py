@@ -39,6 +39,12 @@ def table_exists(spark: SparkSession, table: str) -> bool:
         return False
 
 
+def fresh_table(spark: SparkSession, table: str) -> DataFrame:
+    """The table with its files listed anew: another session may have replaced some."""
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
@@ -106,7 +112,7 @@ def catalog_report(spark: SparkSession, namespace: str) -> DataFrame:
     report = None
     for row in list_tables(spark, namespace).collect():
         table = f"{namespace}.{row['tableName']}"
-        df = spark.table(table)
+        df = fresh_table(spark, table)
         described = describe(spark, table).collect()
         partitioned = any(r["col_name"] == "# Partition Information" for r in described)
         partitions = list_partitions(spark, table).count() if partitioned else 0

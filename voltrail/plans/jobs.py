@@ -33,7 +33,7 @@ def ingest(
     One pass over the input: its counts are observed while it is written.
     """
     catalog.ensure_telemetry_table(spark, table, ts_type, provider)
-    before = spark.table(table).count()
+    before = catalog.fresh_table(spark, table).count()
     raw = read_raw(spark, input_path, ts_type)
     found = contract.require(raw.schema)
     read, written = Observation(), Observation()
@@ -81,7 +81,7 @@ def refresh_summary_days(spark: SparkSession, table: str, namespace: str, days:
     when rows of other days did not change.
     """
     wanted = sorted(set(days))
-    base = spark.table(table)
+    base = catalog.fresh_table(spark, table)
     if contract.DAY in base.columns:
         base = base.where(F.col(contract.DAY).isin(wanted))
     base = base.where(F.to_date("ts").isin(wanted)).select(*contract.COLUMNS)
@@ -96,7 +96,7 @@ def refresh_summary_days(spark: SparkSession, table: str, namespace: str, days:
 
 def loaded_days(spark: SparkSession, table: str, load_id: str) -> list[dt.date]:
     """Days a load wrote rows for; answered from the partition columns."""
-    rows = spark.table(table).where(F.col(contract.LOAD) == load_id)
+    rows = catalog.fresh_table(spark, table).where(F.col(contract.LOAD) == load_id)
     day = F.col(contract.DAY) if contract.DAY in rows.columns else F.to_date("ts")
     return [r[0] for r in rows.select(day.alias("day")).distinct().collect() if r[0] is not None]
 

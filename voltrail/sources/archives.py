@@ -80,7 +80,10 @@ class BadArchive(ValueError):
 
 
 def read_archives(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Archive files below `path`: `path, modificationTime, length`; content is not read."""
+    """Archive files below `path`: `path, modificationTime, length`; content is not read.
+
+    Spark's file sources pass over files of no bytes.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -287,7 +290,7 @@ def list_members(archives: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFra
 
 def summarize(listed: DataFrame) -> DataFrame:
     """One row per archive: size, methods, blocks, members and total bytes."""
-    data = ~F.col("is_directory") & (F.col("compressed_size") > 0)
+    data = ~F.col("is_directory") & (F.col("uncompressed_size") > 0)
     return listed.groupBy("path").agg(
         F.first("kind").alias("kind"),
         F.first("archive_bytes").alias("archive_bytes"),

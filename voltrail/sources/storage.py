@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import errno
 import io
 import uuid
 import zlib
@@ -49,7 +50,10 @@ class _Source(io.RawIOBase):
         return True
 
     def seek(self, offset: int, whence: int = 0) -> int:
-        return self._file.seek(offset, whence)
+        place = offset + (0, self._file.tell(), self._file.size())[whence]
+        if place < 0:
+            raise OSError(errno.EINVAL, "seek before the start of the file")
+        return self._file.seek(place)
 
     def tell(self) -> int:
         return self._file.tell()

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from voltrail import contract
 from voltrail.functions.columns import primary_key
+from voltrail.plans import catalog
 
 
 def read_raw(spark: SparkSession, path: str, ts_type: T.DataType = T.TimestampType()) -> DataFrame:
@@ -55,7 +56,7 @@ def scan(
 
     The bounds also go to the partition column, so other days are not opened.
     """
-    df = spark.table(table)
+    df = catalog.fresh_table(spark, table)
     ts_type = df.schema["ts"].dataType
 
     def at(time: dt.datetime) -> Column:
