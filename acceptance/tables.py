@@ -193,8 +193,8 @@ UNION ALL SELECT 'driving_mode_analysis', 8, (SELECT n FROM days), COUNT(*) FROM
 SELECT CAST(1 AS INT) AS run, 'load-1' AS load_id, CAST(0 AS BIGINT) AS rows_before, n AS rows_read,
        n AS rows_written, CAST(0 AS BIGINT) AS null_keys, n AS rows_after FROM n
 UNION ALL SELECT 2, 'load-1', n, n, n, 0, n FROM n""",
-    "compressed_export_roundtrip": "SELECT o.*, c.codec FROM orders o, (VALUES "
-    + ", ".join(f"('{c}')" for c in EXPORTED)
-    + ") AS c(codec)",
+    "compressed_export_roundtrip": " UNION ALL ".join(
+        f"SELECT *, '{c}' AS codec FROM orders" for c in EXPORTED
+    ),
     "split_export_roundtrip": "SELECT * FROM lineitem",
 }

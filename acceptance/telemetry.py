@@ -110,8 +110,8 @@ CHARGING_BODY = """
 SELECT vin_id, CAST(ts AS DATE) AS date,
        AVG(charging_time_remain_minute) AS avg_charging_time_remain,
        MAX(charging_time_remain_minute) AS max_charging_time_remain,
-       COUNT(CASE WHEN charging_time_remain_minute > 0 THEN 1 END) AS charging_sessions,
-       AVG(CASE WHEN charging_time_remain_minute > 0 THEN fuel_percentage END) AS avg_fuel_during_charging,
+       COUNT(*) FILTER (WHERE charging_time_remain_minute > 0) AS charging_sessions,
+       AVG(fuel_percentage) FILTER (WHERE charging_time_remain_minute > 0) AS avg_fuel_during_charging,
        COUNT(*) AS total_records
 FROM {source} GROUP BY vin_id, CAST(ts AS DATE)
 """
@@ -121,7 +121,7 @@ SELECT vin_id, CAST(ts AS DATE) AS date, clean_mode, road_mode,
        COUNT(*) AS mode_usage_count,
        AVG(display_speed) AS avg_speed_in_mode,
        AVG(fuel_percentage) AS avg_fuel_in_mode,
-       CAST(SUM(CASE WHEN ress_power_low_flag THEN 1 ELSE 0 END) AS BIGINT) AS low_power_incidents
+       COUNT(*) FILTER (WHERE ress_power_low_flag) AS low_power_incidents
 FROM {source} GROUP BY vin_id, CAST(ts AS DATE), clean_mode, road_mode
 """
 

@@ -310,3 +310,19 @@ def test_zip_with_prefix_and_unknown_method(spark, tmp_path):
     (tmp_path / "odd.zip").write_bytes(blob)
     listed = archives.inventory(read(spark, tmp_path))
     assert archives.integrity(listed).count() == 1
+
+
+def test_unmeasured_containers_are_still_verified(spark, tmp_path):
+    data = b"speed,soc\n" * 5000
+    (tmp_path / "a.gz").write_bytes(gzip.compress(data))
+    (tmp_path / "cut.gz").write_bytes(gzip.compress(data)[:40])
+    listed = archives.inventory(read(spark, tmp_path), measure=False)
+    assert [r["uncompressed_size"] for r in listed.collect()] == [None, None]
+    state = {r["path"].rsplit("/", 1)[-1]: r["status"] for r in archives.integrity(listed).collect()}
+    assert state == {"a.gz": "ok", "cut.gz": "bad"}
+
+
+def test_fixed_shards_need_no_size_lookup(spark):
+    df = spark.range(100).selectExpr("'one' AS a", "id", "'x' AS d")
+    packed = pack(df, F.col("a"), F.col("id").cast("string"), F.col("d"), ["id"], shards=4)
+    assert packed.agg(F.sum("members"), F.countDistinct("shard")).first() == (100, 4)

@@ -102,8 +102,13 @@ def _shards(df: DataFrame, order: list[str], shard_bytes: int) -> DataFrame:
         return df.withColumn("shard", F.lit(0))
     if len(listed) <= _LISTED_ARCHIVES:
         large = F.broadcast(df.sparkSession.createDataFrame(listed, large.schema))
-    dealt = F.pmod(F.xxhash64("member", *order), F.col("shards")).cast("int")
-    return df.join(large, "archive", "left").withColumn("shard", F.coalesce(dealt, F.lit(0)))
+    return df.join(large, "archive", "left").withColumn(
+        "shard", F.coalesce(_dealt(order, F.col("shards")), F.lit(0))
+    )
+
+
+def _dealt(order: list[str], shards: Column) -> Column:
+    return F.pmod(F.xxhash64("member", *order), shards).cast("int")
 
 
 def pack(
@@ -115,13 +120,15 @@ def pack(
     method: str = "DEFLATE",
     volume_bytes: int = VOLUME_BYTES,
     shard_bytes: int = SHARD_BYTES,
+    shards: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """ZIP volumes `archive, shard, volume, members, content`.
 
     Rows of an archive are packed in `order`, which must be unique within it, and
     a new volume begins when the data would exceed `volume_bytes`. Archives larger
-    than `shard_bytes` are split over tasks first (that looks at all sizes once).
+    than `shard_bytes` are split over tasks first. Finding them reads all sizes once;
+    give `shards` to split every archive alike instead and read the data only once.
     Volumes depend on the rows only, so a repeated run gives the same ones.
     """
     rows = df.select(
@@ -130,7 +137,10 @@ def pack(
         data.cast("binary").alias("data"),
         *order,
     )
-    sharded = _shards(rows, order, shard_bytes)
+    if shards is None:
+        sharded = _shards(rows, order, shard_bytes)
+    else:
+        sharded = rows.withColumn("shard", _dealt(order, F.lit(shards)))
     count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     number = METHODS[method]
     return (

@@ -149,6 +149,14 @@ def _chunks(stream, chunk_bytes: int) -> Iterator[bytes]:
         yield chunk
 
 
+def _measured(chunks: Iterable[bytes]) -> tuple[int, int]:
+    size = crc = 0
+    for chunk in chunks:
+        size += len(chunk)
+        crc = zlib.crc32(chunk, crc)
+    return size, crc
+
+
 def _decoder(kind: str, source):
     if kind == "gzip":
         return gzip.GzipFile(fileobj=source)
@@ -194,14 +202,13 @@ def _zip_entries(source, slice_bytes: int) -> Iterator[dict]:
             packed_before += info.compress_size
 
 
-def _stream_entry(kind: str, path: str, length: int, source) -> dict:
-    """Sizes of a one-member container are known only after decoding it."""
+def _stream_entry(kind: str, path: str, length: int, source, measure: bool) -> dict:
+    """Size and checksum of a one-member container are known only after decoding it."""
     suffix, method = STREAMS[kind]
-    size = crc = 0
-    with _decoder(kind, source) as stream:
-        for chunk in _chunks(stream, 1 << 20):
-            size += len(chunk)
-            crc = zlib.crc32(chunk, crc)
+    size = crc = None
+    if measure:
+        with _decoder(kind, source) as stream:
+            size, crc = _measured(_chunks(stream, 1 << 20))
     return {
         "position": 0,
         "member": path.rsplit("/", 1)[-1].removesuffix(suffix),
@@ -215,7 +222,9 @@ def _stream_entry(kind: str, path: str, length: int, source) -> dict:
     }
 
 
-def _entries(path: str, length: int | None, slice_bytes: int, opened: dict) -> Iterator[dict]:
+def _entries(
+    path: str, length: int | None, slice_bytes: int, measure: bool, opened: dict
+) -> Iterator[dict]:
     """One dict per member, one without position for an empty archive, or an error."""
     if length is None:
         yield {"error": "no such file"}
@@ -232,7 +241,7 @@ def _entries(path: str, length: int | None, slice_bytes: int, opened: dict) -> I
                 if not count:
                     yield {"kind": kind}
             elif kind in STREAMS:
-                yield {"kind": kind, **_stream_entry(kind, path, length, source)}
+                yield {"kind": kind, **_stream_entry(kind, path, length, source, measure)}
             elif kind == "7z":
                 raise BadArchive("no reader for 7z")
             else:
@@ -241,10 +250,14 @@ def _entries(path: str, length: int | None, slice_bytes: int, opened: dict) -> I
         yield {"kind": kind, "error": f"{type(error).__name__}: {error}"}
 
 
-def inventory(archives: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+def inventory(
+    archives: DataFrame, slice_bytes: int = SLICE_BYTES, measure: bool = True
+) -> DataFrame:
     """Every member of every archive, and one row with `error` per unreadable one.
 
-    An archive without members gives one row without position.
+    An archive without members gives one row without position. Containers of one
+    member (gzip and the like) do not state its size; without `measure` they are
+    not decoded for it, and size and checksum are NULL.
     """
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +265,10 @@ def inventory(archives: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
         rows: list[dict] = []
         for batch in batches:
             for archive in batch.to_pylist():
-                for entry in _entries(archive["path"], archive["archive_bytes"], slice_bytes, opened):
+                entries = _entries(
+                    archive["path"], archive["archive_bytes"], slice_bytes, measure, opened
+                )
+                for entry in entries:
                     rows.append({**archive, **entry})
                     if len(rows) >= _BATCH_ROWS:
                         yield pa.RecordBatch.from_pylist(rows, _INVENTORY_ARROW)
@@ -490,11 +506,7 @@ def _visit_batches(batches, chunk_bytes: int, visit) -> Iterator[pa.RecordBatch]
 
 
 def _measure(row: dict, chunks: Iterable[bytes], opened: dict) -> tuple[int, int]:
-    size = crc = 0
-    for chunk in chunks:
-        size += len(chunk)
-        crc = zlib.crc32(chunk, crc)
-    return size, crc
+    return _measured(chunks)
 
 
 def _store(row: dict, chunks: Iterable[bytes], opened: dict) -> tuple[int, int]:
@@ -519,8 +531,8 @@ def verify_members(members: DataFrame, partitions: int | None = None) -> DataFra
     visited = _visited(data_members(members), partitions, 1 << 20, _measure)
     intact = (
         F.col("read_error").isNull()
-        & (F.col("bytes_read") == F.col("uncompressed_size"))
-        & (F.col("data_crc32") == F.col("crc32"))
+        & (F.col("bytes_read") == F.coalesce("uncompressed_size", "bytes_read"))
+        & (F.col("data_crc32") == F.coalesce("crc32", "data_crc32"))
     )
     return visited.withColumn("intact", F.coalesce(intact, F.lit(False)))
 

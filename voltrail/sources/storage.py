@@ -104,7 +104,10 @@ def write_file(uri: str, chunks: Iterable[bytes], opened: dict) -> tuple[int, in
     fs, path = locate(uri, opened)
     folder, _, name = path.rpartition("/")
     hidden = f"{folder}/.{name}.{uuid.uuid4().hex}"
-    _guarded(fs.create_dir, folder, recursive=True)
+    made = opened.setdefault("folders", set())
+    if folder not in made:
+        _guarded(fs.create_dir, folder, recursive=True)
+        made.add(folder)
     size = crc = 0
     out = _guarded(fs.open_output_stream, hidden)
     try:

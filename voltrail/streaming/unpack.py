@@ -41,7 +41,7 @@ def land_archives(archive_files: DataFrame, source: str, target: str) -> DataFra
     Each member keeps its path, so members of equal name do not replace each other.
     """
     root, source_root = qualify(archive_files.sparkSession, target), qualify(archive_files.sparkSession, source)
-    listed = archives.with_output_names(archives.inventory(archive_files))
+    listed = archives.with_output_names(archives.inventory(archive_files, measure=False))
     # Spark and Hadoop differ in the slashes after the scheme; compare from the path on.
     below = F.regexp_replace("path", "^[a-z0-9]+:/+", "/")
     prefix = "/" + source_root.split(":", 1)[-1].strip("/") + "/"
@@ -64,7 +64,7 @@ def land_archives(archive_files: DataFrame, source: str, target: str) -> DataFra
 def land_archives_flat(archive_files: DataFrame, target: str) -> DataFrame:
     """Members as files directly in `target`; of equal base names the last one stays."""
     root = qualify(archive_files.sparkSession, target)
-    listed = archives.inventory(archive_files)
+    listed = archives.inventory(archive_files, measure=False)
     winners = archives.last_by_base_name(archives.members_of(listed)).withColumn(
         "target",
         F.when(F.col("base_name").isin("", ".", ".."), F.lit(None)).otherwise(
@@ -127,7 +127,7 @@ def unpack_to_rows(
     """Stores the members of new archives as rows; unreadable ones keep their error."""
 
     def read(batch: DataFrame) -> DataFrame:
-        rows = archives.read_inventory(archives.inventory(batch), archives.partition_count(batch))
+        rows = archives.read_inventory(archives.inventory(batch, measure=False), archives.partition_count(batch))
         return rows.select(
             "path",
             "position",
