@@ -233,3 +233,20 @@ def test_export_codecs(spark, tmp_path, codec):
 def test_unknown_codec(spark, tmp_path):
     with pytest.raises(ValueError, match="brotli"):
         writes.export_compressed(spark.range(1), str(tmp_path), "brotli")
+
+
+def test_table_without_dynamic_overwrite_is_not_emptied(spark, namespace):
+    name = f"{namespace}.foreign"
+    spark.sql(f"CREATE TABLE {name} (a int, d string) USING parquet PARTITIONED BY (d)")
+    spark.sql(f"INSERT INTO {name} VALUES (1, 'x'), (2, 'y')")
+    with pytest.raises(ValueError, match="partitionOverwriteMode"):
+        writes.replace_partitions(spark.sql("SELECT 3 AS a, 'x' AS d"), name)
+    assert spark.table(name).count() == 2
+
+
+def test_session_setting_is_left_alone(spark, namespace):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    made(spark, namespace)
+    made(spark, namespace, load="two")
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+    assert spark.table(f"{namespace}.canbus01").count() == 2000

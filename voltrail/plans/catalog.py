@@ -31,6 +31,13 @@ def describe(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"DESCRIBE TABLE {table}")
 
 
+def table_details(spark: SparkSession, table: str) -> dict[str, str]:
+    """What DESCRIBE EXTENDED tells besides the columns, by name."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    start = next((i for i, r in enumerate(rows) if r["col_name"].startswith("# Detailed")), 0)
+    return {r["col_name"]: r["data_type"] for r in rows[start + 1 :] if r["col_name"]}
+
+
 def table_exists(spark: SparkSession, table: str) -> bool:
     """Whether the table is there; a namespace or catalog that is not counts as no."""
     try:
@@ -71,7 +78,7 @@ def telemetry_table_ddl(
     else:
         columns += [f"`{contract.DAY}` date", f"`{contract.LOAD}` string"]
         layout = f"`{contract.DAY}`, `{contract.LOAD}`"
-        options = f"OPTIONS ('compression'='{compression}') "
+        options = f"OPTIONS ('compression'='{compression}', 'partitionOverwriteMode'='dynamic') "
         codec = ""
     return (
         f"CREATE TABLE {table} ({', '.join(columns)}) USING {provider} {options}"

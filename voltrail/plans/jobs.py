@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,19 +60,27 @@ def ingest(
 def _stored_rollup(spark: SparkSession, base: DataFrame) -> DataFrame:
     """The mode rollup as files in the shared folder, so three tables share one scan."""
     path = new_workdir(spark, "mode-rollup")
-    summaries.mode_rollup(base).write.parquet(path)
-    return spark.read.parquet(path)
+    rollup = summaries.mode_rollup(base)
+    rollup.write.parquet(path)
+    return spark.read.schema(rollup.schema).parquet(path)
+
+
+def _write_summaries(
+    rollup: DataFrame, namespace: str, write: Callable[[DataFrame, str], None]
+) -> list[str]:
+    """Writes the three tables side by side; each leaves most of a cluster idle."""
+    targets = {f"{namespace}.{name}": build for name, build in summaries.FROM_ROLLUP.items()}
+    with ThreadPoolExecutor(len(targets)) as pool:
+        list(pool.map(lambda target: write(targets[target](rollup), target), targets))
+    return list(targets)
 
 
 def refresh_summaries(spark: SparkSession, table: str, namespace: str, provider: str = "parquet") -> list[str]:
     """Rebuilds the three summary tables from one scan of the telemetry."""
     rollup = _stored_rollup(spark, scan(spark, table))
-    names = []
-    for name, build in summaries.FROM_ROLLUP.items():
-        target = f"{namespace}.{name}"
-        writes.create_table_as(build(rollup), target, "date", provider)
-        names.append(target)
-    return names
+    return _write_summaries(
+        rollup, namespace, lambda df, target: writes.create_table_as(df, target, "date", provider)
+    )
 
 
 def refresh_summary_days(spark: SparkSession, table: str, namespace: str, days: Iterable[dt.date]) -> list[str]:
@@ -85,13 +94,11 @@ def refresh_summary_days(spark: SparkSession, table: str, namespace: str, days:
     if contract.DAY in base.columns:
         base = base.where(F.col(contract.DAY).isin(wanted))
     base = base.where(F.to_date("ts").isin(wanted)).select(*contract.COLUMNS)
-    rollup = _stored_rollup(spark, base)
-    names = []
-    for name, build in summaries.FROM_ROLLUP.items():
-        target = f"{namespace}.{name}"
-        writes.replace_partitions(build(rollup).hint("rebalance", "date"), target)
-        names.append(target)
-    return names
+    return _write_summaries(
+        _stored_rollup(spark, base),
+        namespace,
+        lambda df, target: writes.replace_partitions(df.hint("rebalance", "date"), target),
+    )
 
 
 def loaded_days(spark: SparkSession, table: str, load_id: str) -> list[dt.date]:

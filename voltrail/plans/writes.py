@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,16 +10,7 @@ from voltrail.operators.clean import with_day
 from voltrail.plans import catalog
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Overwrites replace the partitions they touch, not the table."""
-    name = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+FILE_PROVIDERS = ("parquet", "orc", "json", "csv")
 
 
 def add_missing_columns(df: DataFrame, table: str) -> list[str]:
@@ -47,10 +35,19 @@ def append_by_name(df: DataFrame, table: str, evolve: bool = False) -> None:
 
 
 def replace_partitions(df: DataFrame, table: str) -> None:
-    """Replaces the partitions `df` has rows for; a repeat leaves the same table."""
+    """Replaces the partitions `df` has rows for; a repeat leaves the same table.
+
+    File tables must carry the option `partitionOverwriteMode=dynamic`, as those
+    made here do: without it the statement would empty the whole table.
+    """
     spark = df.sparkSession
-    with _dynamic_overwrite(spark):
-        spark.sql(f"INSERT OVERWRITE TABLE {table} BY NAME SELECT * FROM {{rows}}", rows=df)
+    details = catalog.table_details(spark, table)
+    if details.get("Provider", "").lower() not in FILE_PROVIDERS:
+        df.writeTo(table).overwritePartitions()
+        return
+    if "partitionOverwriteMode=dynamic" not in details.get("Storage Properties", ""):
+        raise ValueError(f"{table} was created without partitionOverwriteMode=dynamic")
+    spark.sql(f"INSERT OVERWRITE TABLE {table} BY NAME SELECT * FROM {{rows}}", rows=df)
 
 
 def load_telemetry(cleaned: DataFrame, table: str, load_id: str, gather_days: bool = True) -> None:
@@ -91,6 +88,7 @@ def create_table_as(
             gathered.write.format(provider)
             .mode("overwrite")
             .option("compression", compression)
+            .option("partitionOverwriteMode", "dynamic")
             .partitionBy(partition_by)
             .saveAsTable(table)
         )
