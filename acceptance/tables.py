@@ -63,7 +63,7 @@ def ctas_partitioned_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = summaries.daily_summary(cleaned(spark, sf_dir))
     for _ in range(2):
         writes.create_table_as(daily, name, "date")
-    return spark.table(name).select(*daily.columns)
+    return summaries.ordered(catalog.fresh_table(spark, name))
 
 
 def day_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,8 +82,7 @@ def _refreshed(spark: SparkSession, sf_dir: str, summary: str) -> DataFrame:
     namespace = fresh_namespace(spark)
     name = loaded_table(spark, sf_dir, namespace)
     jobs.refresh_summaries(spark, name, namespace)
-    columns = summaries.SUMMARIES[summary](scan(spark, name)).columns
-    return spark.table(f"{namespace}.{summary}").select(*columns)
+    return jobs.read_summary(spark, namespace, summary)
 
 
 def refreshed_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,8 +110,7 @@ def refreshed_summary_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = spark.table(name).where(F.col(contract.LOAD) == "late")
     days = [r[0] for r in late.select(contract.DAY).distinct().collect()]
     jobs.refresh_summary_days(spark, name, namespace, days)
-    columns = summaries.daily_summary(rows).columns
-    return spark.table(f"{namespace}.{summaries.DAILY}").select(*columns)
+    return jobs.read_summary(spark, namespace, summaries.DAILY)
 
 
 def ingest_job(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -326,3 +326,41 @@ def test_fixed_shards_need_no_size_lookup(spark):
     df = spark.range(100).selectExpr("'one' AS a", "id", "'x' AS d")
     packed = pack(df, F.col("a"), F.col("id").cast("string"), F.col("d"), ["id"], shards=4)
     assert packed.agg(F.sum("members"), F.countDistinct("shard")).first() == (100, 4)
+
+
+@pytest.mark.parametrize(
+    "uri, place, path",
+    [
+        ("s3a://bucket/raw/a b.zip", "s3://bucket/", "bucket/raw/a b.zip"),
+        ("gs://bucket/x", "gs://bucket/", "bucket/x"),
+        ("hdfs://nn:8020/raw/a.zip", "hdfs://nn:8020/", "/raw/a.zip"),
+        ("abfss://box@acc.dfs.core.windows.net/x/y", "abfs://box@acc.dfs.core.windows.net/", "box/x/y"),
+    ],
+)
+def test_paths_of_shared_storage(monkeypatch, uri, place, path):
+    asked = []
+
+    class Fake:
+        @staticmethod
+        def from_uri(name):
+            asked.append(name)
+            return "fs", ""
+
+    monkeypatch.setattr(storage.pafs, "FileSystem", Fake)
+    opened = {}
+    assert [storage.locate(uri, opened) for _ in range(2)] == [("fs", path)] * 2
+    assert asked == [place]
+
+
+def test_one_base_name_in_a_third_of_all_members(spark):
+    """The last member per name is found map-side first; one row per task is shuffled."""
+    listed = spark.range(0, 30_000, 1, 8).selectExpr(
+        "concat('file:/raw/', lpad(id div 100, 6, '0'), '.zip') AS path", "timestamp'2024-01-01' AS archive_modified",
+        "cast(id % 100 AS int) AS position", "false AS is_directory",
+        "CASE WHEN id % 3 = 0 THEN 'x/data.csv' ELSE concat('x/', id) END AS member",
+    )
+    winners = archives.last_by_base_name(listed)
+    assert "partial_max" in winners._jdf.queryExecution().executedPlan().toString()
+    hot = winners.where("base_name = 'data.csv'").first()
+    assert (hot["path"], hot["position"]) == ("file:/raw/000299.zip", 97)
+    assert winners.count() == 20_001

@@ -149,3 +149,9 @@ FROM_ROLLUP = {
     CHARGING: charging_from_rollup,
     DRIVING: driving_from_rollup,
 }
+
+
+def ordered(summary: DataFrame) -> DataFrame:
+    """Key columns first: tables give their partition column last."""
+    keys = [k for k in MODE_KEYS if k in summary.columns]
+    return summary.select(*keys, *[c for c in summary.columns if c not in keys])

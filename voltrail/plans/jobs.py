@@ -101,6 +101,11 @@ def refresh_summary_days(spark: SparkSession, table: str, namespace: str, days:
     )
 
 
+def read_summary(spark: SparkSession, namespace: str, name: str) -> DataFrame:
+    """A stored summary, with the columns in the order the builders give."""
+    return summaries.ordered(catalog.fresh_table(spark, f"{namespace}.{name}"))
+
+
 def loaded_days(spark: SparkSession, table: str, load_id: str) -> list[dt.date]:
     """Days a load wrote rows for; answered from the partition columns."""
     rows = catalog.fresh_table(spark, table).where(F.col(contract.LOAD) == load_id)

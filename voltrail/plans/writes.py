@@ -34,6 +34,15 @@ def append_by_name(df: DataFrame, table: str, evolve: bool = False) -> None:
     df.sparkSession.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {{rows}}", rows=df)
 
 
+def _is_file_table(spark: SparkSession, table: str) -> bool:
+    return catalog.table_details(spark, table).get("Provider", "").lower() in FILE_PROVIDERS
+
+
+def _overwrites_dynamically(spark: SparkSession, table: str) -> bool:
+    properties = catalog.table_details(spark, table).get("Storage Properties", "")
+    return "partitionOverwriteMode=dynamic" in properties
+
+
 def replace_partitions(df: DataFrame, table: str) -> None:
     """Replaces the partitions `df` has rows for; a repeat leaves the same table.
 
@@ -41,11 +50,10 @@ def replace_partitions(df: DataFrame, table: str) -> None:
     made here do: without it the statement would empty the whole table.
     """
     spark = df.sparkSession
-    details = catalog.table_details(spark, table)
-    if details.get("Provider", "").lower() not in FILE_PROVIDERS:
+    if not _is_file_table(spark, table):
         df.writeTo(table).overwritePartitions()
         return
-    if "partitionOverwriteMode=dynamic" not in details.get("Storage Properties", ""):
+    if not _overwrites_dynamically(spark, table):
         raise ValueError(f"{table} was created without partitionOverwriteMode=dynamic")
     spark.sql(f"INSERT OVERWRITE TABLE {table} BY NAME SELECT * FROM {{rows}}", rows=df)
 
@@ -82,8 +90,12 @@ def create_table_as(
     """
     spark = df.sparkSession
     gathered = df.hint("rebalance", partition_by)
-    columns = set(df.columns)
-    if not catalog.table_exists(spark, table) or set(spark.table(table).columns) != columns:
+    fits = (
+        catalog.table_exists(spark, table)
+        and set(spark.table(table).columns) == set(df.columns)
+        and (_overwrites_dynamically(spark, table) or not _is_file_table(spark, table))
+    )
+    if not fits:
         (
             gathered.write.format(provider)
             .mode("overwrite")

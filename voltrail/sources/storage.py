@@ -27,9 +27,9 @@ def locate(uri: str, opened: dict) -> tuple[pafs.FileSystem, str]:
     place = f"{SCHEMES.get(scheme, scheme)}://{authority}"
     if place not in opened:
         opened[place] = pafs.FileSystem.from_uri(place + "/")[0]
-    path = uri.split(authority, 1)[1] if authority else rest.lstrip("/")
+    path = uri.split(authority, 1)[1] if authority else "/" + rest.lstrip("/")
     if SCHEMES.get(scheme, scheme) in ("s3", "gs", "abfs"):
-        path = authority + path
+        path = authority.split("@")[0] + path
     return opened[place], path
 
 
