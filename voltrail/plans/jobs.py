@@ -14,7 +14,6 @@ from voltrail import contract
 from voltrail.operators import summaries
 from voltrail.operators.clean import clean
 from voltrail.plans import catalog, writes
-from voltrail.session import new_workdir
 from voltrail.sources.telemetry import read_raw, scan
 
 
@@ -40,16 +39,11 @@ def ingest(
     found = contract.require(raw.schema)
     writes.load_telemetry(clean(raw, ts_type), table, load_id)
     stored = catalog.fresh_table(spark, table)
-    loaded = stored.where(F.col(contract.LOAD) == load_id)
-    row = (
-        load_id,
-        before,
-        raw.count(),
-        loaded.count(),
-        loaded.where(F.col(contract.KEY).isNull()).count(),
-        stored.count(),
-        [f.column for f in found if f.status == "missing"],
-    )
+    of_load = F.col(contract.LOAD) == load_id
+    after = stored.agg(F.count("*").alias("all"), F.count(F.when(of_load, 1)).alias("load")).first()
+    null_keys = stored.where(of_load & F.col(contract.KEY).isNull()).count()
+    missing = [f.column for f in found if f.status == "missing"]
+    row = (load_id, before, raw.count(), after["load"], null_keys, after["all"], missing)
     return spark.createDataFrame(
         [row],
         "load_id string, rows_before bigint, rows_read bigint, rows_written bigint, "
@@ -57,14 +51,6 @@ def ingest(
     )
 
 
-def _stored_rollup(spark: SparkSession, base: DataFrame) -> DataFrame:
-    """The mode rollup as files in the shared folder, so three tables share one scan."""
-    path = new_workdir(spark, "mode-rollup")
-    rollup = summaries.mode_rollup(base)
-    rollup.write.parquet(path)
-    return spark.read.schema(rollup.schema).parquet(path)
-
-
 def _write_summaries(
     rollup: DataFrame, namespace: str, write: Callable[[DataFrame, str], None]
 ) -> list[str]:
@@ -77,7 +63,7 @@ def _write_summaries(
 
 def refresh_summaries(spark: SparkSession, table: str, namespace: str, provider: str = "parquet") -> list[str]:
     """Rebuilds the three summary tables from one scan of the telemetry."""
-    rollup = _stored_rollup(spark, scan(spark, table))
+    rollup = writes.stored(summaries.mode_rollup(scan(spark, table)), "mode-rollup")
     return _write_summaries(
         rollup, namespace, lambda df, target: writes.create_table_as(df, target, "date", provider)
     )
@@ -95,7 +81,7 @@ def refresh_summary_days(spark: SparkSession, table: str, namespace: str, days:
         base = base.where(F.col(contract.DAY).isin(wanted))
     base = base.where(F.to_date("ts").isin(wanted)).select(*contract.COLUMNS)
     return _write_summaries(
-        _stored_rollup(spark, base),
+        writes.stored(summaries.mode_rollup(base), "mode-rollup"),
         namespace,
         lambda df, target: writes.replace_partitions(df.hint("rebalance", "date"), target),
     )

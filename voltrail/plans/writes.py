@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from voltrail import contract
 from voltrail.operators.clean import with_day
 from voltrail.plans import catalog
+from voltrail.session import new_workdir
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder and read from there, so they are computed once."""
+    path = new_workdir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 FILE_PROVIDERS = ("parquet", "orc", "json", "csv")
@@ -85,11 +93,11 @@ def create_table_as(
 ) -> None:
     """Full refresh of a table partitioned by one column.
 
-    An existing table of the same columns keeps its rows until the new ones are
-    complete: its partitions are replaced, then those without new rows dropped.
+    For an existing table of the same columns the new rows are first completed in
+    the shared folder. Then they replace the partitions, and partitions without
+    new rows are dropped; until then the old rows stay.
     """
     spark = df.sparkSession
-    gathered = df.hint("rebalance", partition_by)
     fits = (
         catalog.table_exists(spark, table)
         and set(spark.table(table).columns) == set(df.columns)
@@ -97,7 +105,8 @@ def create_table_as(
     )
     if not fits:
         (
-            gathered.write.format(provider)
+            df.hint("rebalance", partition_by)
+            .write.format(provider)
             .mode("overwrite")
             .option("compression", compression)
             .option("partitionOverwriteMode", "dynamic")
@@ -105,9 +114,10 @@ def create_table_as(
             .saveAsTable(table)
         )
         return
-    replace_partitions(gathered, table)
+    rows = stored(df, "refresh")
+    replace_partitions(rows.hint("rebalance", partition_by), table)
     old = spark.table(table).select(partition_by).distinct()
-    stale = old.join(df.select(partition_by).distinct(), partition_by, "left_anti")
+    stale = old.join(rows.select(partition_by).distinct(), partition_by, "left_anti")
     for row in stale.collect():
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_by}='{row[0]}')")
 

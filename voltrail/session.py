@@ -42,5 +42,4 @@ def new_workdir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="voltrail-")
-        spark.conf.set("spark.checkpoint.dir", shared)
     return qualify(spark, f"{shared.rstrip('/')}/voltrail/{label}-{uuid.uuid4().hex}")
