@@ -176,7 +176,9 @@ def test_failed_refresh_keeps_the_old_table(spark, namespace):
 def test_day_refresh_equals_full_rebuild(spark, namespace):
     name = made(spark, namespace, rows(spark, days=3), "one")
     jobs.refresh_summaries(spark, name, namespace)
-    made(spark, namespace, rows(spark, n=300, days=2, start="2024-03-03"), "two")
+    late = rows(spark, n=300, days=2, start="2024-03-03")
+    timeless = F.when(F.col("Clean_Mode") > 0, F.col("ts"))
+    made(spark, namespace, late.withColumn("ts", timeless), "two")
     jobs.refresh_summary_days(spark, name, namespace, jobs.loaded_days(spark, name, "two"))
     base = telemetry.scan(spark, name)
     for summary, build in summaries.SUMMARIES.items():
@@ -258,3 +260,14 @@ def test_full_refresh_of_a_table_made_elsewhere(spark, namespace):
     daily.limit(3).write.partitionBy("date").saveAsTable(name)
     writes.create_table_as(daily, name, "date")
     assert spark.table(name).count() == daily.count()
+
+
+def test_full_refresh_with_rows_of_no_date(spark, namespace):
+    name = f"{namespace}.{summaries.DAILY}"
+    timeless = F.when(F.col("Clean_Mode") > 0, F.col("ts"))
+    some = summaries.daily_summary(clean(rows(spark).withColumn("ts", timeless)))
+    none = summaries.daily_summary(clean(rows(spark)))
+    for wanted in (some, some, none, some):
+        writes.create_table_as(wanted, name, "date")
+        got = summaries.ordered(catalog.fresh_table(spark, name))
+        assert snapshot(got) == snapshot(wanted)

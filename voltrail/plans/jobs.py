@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,17 +69,26 @@ def refresh_summaries(spark: SparkSession, table: str, namespace: str, provider:
     )
 
 
-def refresh_summary_days(spark: SparkSession, table: str, namespace: str, days: Iterable[dt.date]) -> list[str]:
+def _on_days(day: Column, days: Iterable[dt.date | None]) -> Column:
+    """Whether a day is one of these; None stands for rows without time."""
+    wanted = set(days)
+    test = day.isin(sorted(d for d in wanted if d is not None))
+    return test | day.isNull() if None in wanted else test
+
+
+def refresh_summary_days(
+    spark: SparkSession, table: str, namespace: str, days: Iterable[dt.date | None]
+) -> list[str]:
     """Replaces only the given days of the three summary tables.
 
     Reads only the partitions of those days; the result equals a full rebuild
     when rows of other days did not change.
     """
-    wanted = sorted(set(days))
+    wanted = list(days)
     base = catalog.fresh_table(spark, table)
     if contract.DAY in base.columns:
-        base = base.where(F.col(contract.DAY).isin(wanted))
-    base = base.where(F.to_date("ts").isin(wanted)).select(*contract.COLUMNS)
+        base = base.where(_on_days(F.col(contract.DAY), wanted))
+    base = base.where(_on_days(F.to_date("ts"), wanted)).select(*contract.COLUMNS)
     return _write_summaries(
         writes.stored(summaries.mode_rollup(base), "mode-rollup"),
         namespace,
@@ -92,11 +101,11 @@ def read_summary(spark: SparkSession, namespace: str, name: str) -> DataFrame:
     return summaries.ordered(catalog.fresh_table(spark, f"{namespace}.{name}"))
 
 
-def loaded_days(spark: SparkSession, table: str, load_id: str) -> list[dt.date]:
+def loaded_days(spark: SparkSession, table: str, load_id: str) -> list[dt.date | None]:
     """Days a load wrote rows for; answered from the partition columns."""
     rows = catalog.fresh_table(spark, table).where(F.col(contract.LOAD) == load_id)
     day = F.col(contract.DAY) if contract.DAY in rows.columns else F.to_date("ts")
-    return [r[0] for r in rows.select(day.alias("day")).distinct().collect() if r[0] is not None]
+    return [r[0] for r in rows.select(day.alias("day")).distinct().collect()]
 
 
 def ingest_and_summarize(

@@ -116,10 +116,12 @@ def create_table_as(
         return
     rows = stored(df, "refresh")
     replace_partitions(rows.hint("rebalance", partition_by), table)
-    old = spark.table(table).select(partition_by).distinct()
-    stale = old.join(rows.select(partition_by).distinct(), partition_by, "left_anti")
-    for row in stale.collect():
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_by}='{row[0]}')")
+    held = spark.table(table).select(partition_by).distinct()
+    kept = rows.select(F.col(partition_by).alias("kept")).distinct()
+    stale = held.join(kept, F.col(partition_by).eqNullSafe(F.col("kept")), "left_anti")
+    for (value,) in stale.collect():
+        literal = "null" if value is None else f"'{value}'"
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_by}={literal})")
 
 
 # Archive codec names and the file format and codec that carry them.
