@@ -95,3 +95,10 @@ def test_schema_report(spark):
 def test_one_projection(spark):
     plan = clean(raw(spark, [("A", 1, True, NOON)]))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Project") <= 1
+
+
+def test_report_of_odd_column_names(spark):
+    df = raw(spark, [("A", 1, None, NOON), ("B", None, None, NOON)]).withColumn("odd.`name", F.lit(1))
+    report = {r["column"]: (r["status"], r["non_null"]) for r in contract.contract_report(df).collect()}
+    assert report["odd.`name"] == ("extra", 2)
+    assert report["clean_mode"] == ("ok", 1) and report["road_mode"] == ("missing", 0)

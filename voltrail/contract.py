@@ -146,13 +146,17 @@ def schema_report(df: DataFrame) -> DataFrame:
     )
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def contract_report(df: DataFrame) -> DataFrame:
     """The findings with the number of non-null values, in one pass over the data."""
     sources = source_names(df.schema)
     found = findings(df.schema)
     counted = df.agg(
         *[
-            F.count(F.col(f"`{sources.get(f.column) or f.column}`")).alias(f"n{i}")
+            F.count(F.col(_quoted(sources.get(f.column) or f.column))).alias(f"n{i}")
             if f.status != "missing"
             else F.lit(0).cast("bigint").alias(f"n{i}")
             for i, f in enumerate(found)

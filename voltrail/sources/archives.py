@@ -526,9 +526,8 @@ def _visited(rows: DataFrame, partitions: int | None, chunk_bytes: int, visit) -
     return placed.mapInArrow(lambda batches: _visit_batches(batches, chunk_bytes, visit), schema)
 
 
-def verify_members(members: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Reads every member and compares sizes and checksums; no data leaves the tasks."""
-    visited = _visited(data_members(members), partitions, 1 << 20, _measure)
+def _verified(rows: DataFrame, partitions: int | None) -> DataFrame:
+    visited = _visited(rows, partitions, 1 << 20, _measure)
     intact = (
         F.col("read_error").isNull()
         & (F.col("bytes_read") == F.coalesce("uncompressed_size", "bytes_read"))
@@ -537,20 +536,22 @@ def verify_members(members: DataFrame, partitions: int | None = None) -> DataFra
     return visited.withColumn("intact", F.coalesce(intact, F.lit(False)))
 
 
+def verify_members(members: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Reads every member and compares sizes and checksums; no data leaves the tasks."""
+    return _verified(data_members(members), partitions)
+
+
 def integrity(listed: DataFrame, partitions: int | None = None) -> DataFrame:
     """Per archive of an inventory: `ok`, `bad` with the first bad member, or `unreadable`."""
-    read = verify_members(members_of(listed), partitions).select("path", "position", "member", "intact")
-    whole = listed.where(F.col("position").isNull()).select(
-        "path", F.col("error").isNotNull().alias("unreadable")
-    )
-    bad = ~F.col("intact")
+    is_data = F.col("position").isNotNull() & ~F.col("is_directory")
+    bad = is_data & ~F.col("intact")
     per_archive = (
-        read.unionByName(whole, allowMissingColumns=True)
+        _verified(listed, partitions)
         .groupBy("path")
         .agg(
-            F.max(F.coalesce("unreadable", F.lit(False))).alias("unreadable"),
+            F.max(F.col("position").isNull() & F.col("error").isNotNull()).alias("unreadable"),
             F.min(F.when(bad, F.struct("position", "member"))).alias("first"),
-            F.count("position").alias("members_read"),
+            F.count(F.when(is_data, 1)).alias("members_read"),
         )
     )
     status = F.when(F.col("unreadable"), "unreadable").when(F.col("first").isNotNull(), "bad").otherwise("ok")

@@ -1 +1,4 @@
 """Structured Streaming jobs over arriving files."""
+
+# A backlog is worked off in batches of this many files, so a failure costs one batch.
+FILES_PER_BATCH = 10_000

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from voltrail.functions.columns import resolved_member_path
 from voltrail.session import qualify
 from voltrail.sources import archives
+from voltrail.streaming import FILES_PER_BATCH
 
 
 def _status() -> Column:
@@ -102,7 +103,7 @@ def unpack_to_files(
     flat: bool = False,
     glob: str | None = None,
     name: str = "unpack-files",
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = FILES_PER_BATCH,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Lands the members of new archives as files and records what became of each."""
@@ -121,7 +122,7 @@ def unpack_to_rows(
     checkpoint: str,
     glob: str | None = None,
     name: str = "unpack-rows",
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = FILES_PER_BATCH,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Stores the members of new archives as rows; unreadable ones keep their error."""
