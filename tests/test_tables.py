@@ -271,3 +271,8 @@ def test_full_refresh_with_rows_of_no_date(spark, namespace):
         writes.create_table_as(wanted, name, "date")
         got = summaries.ordered(catalog.fresh_table(spark, name))
         assert snapshot(got) == snapshot(wanted)
+
+
+def test_load_without_gathering(spark, namespace):
+    name = made(spark, namespace, gather_days=False)
+    assert snapshot(telemetry.scan(spark, name)) == snapshot(clean(rows(spark)))

@@ -27,6 +27,7 @@ def ingest(
     load_id: str,
     ts_type: T.DataType = T.TimestampType(),
     provider: str = "parquet",
+    gather_days: bool = True,
 ) -> DataFrame:
     """Reads, cleans and loads the landing files; returns the row-count audit.
 
@@ -37,7 +38,7 @@ def ingest(
     before = catalog.fresh_table(spark, table).count()
     raw = read_raw(spark, input_path, ts_type)
     found = contract.require(raw.schema)
-    writes.load_telemetry(clean(raw, ts_type), table, load_id)
+    writes.load_telemetry(clean(raw, ts_type), table, load_id, gather_days)
     stored = catalog.fresh_table(spark, table)
     of_load = F.col(contract.LOAD) == load_id
     after = stored.agg(F.count("*").alias("all"), F.count(F.when(of_load, 1)).alias("load")).first()

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltrail import contract
+from voltrail.functions.columns import primary_key
 from voltrail.operators.clean import with_day
 from voltrail.plans import catalog
 from voltrail.session import new_workdir
@@ -71,21 +72,23 @@ def load_telemetry(cleaned: DataFrame, table: str, load_id: str, gather_days: bo
 
     `gather_days` brings rows of a day together before the write; a day larger
     than Spark's advisory partition size is spread over several tasks. Leave it
-    out when each input file already covers few days.
+    out when each input file already covers few days: then nothing is shuffled.
+    The key is derived from other columns, so it is built after the shuffle.
     """
     spark = cleaned.sparkSession
-    columns = spark.table(table).columns
-    if contract.DAY in columns:
+    rows = cleaned.drop(contract.KEY)
+    day = F.to_date("ts")
+    if contract.DAY in spark.table(table).columns:
         zone = catalog.table_property(spark, table, "day.zone")
         instant = cleaned.schema["ts"].dataType.simpleString() == "timestamp"
         if instant and zone and zone != spark.conf.get("spark.sql.session.timeZone"):
             raise ValueError(f"{table} counts days in {zone}; set the session to that zone")
-        rows = with_day(cleaned)
-    else:
-        rows = cleaned
+        rows = with_day(rows)
+        day = F.col(contract.DAY)
     if gather_days:
-        rows = rows.hint("rebalance", F.to_date("ts") if contract.DAY not in columns else F.col(contract.DAY))
-    replace_partitions(rows.withColumn(contract.LOAD, F.lit(load_id)), table)
+        rows = rows.hint("rebalance", day)
+    key = primary_key(F.col("vin_id"), F.col("ts"))
+    replace_partitions(rows.withColumns({contract.KEY: key, contract.LOAD: F.lit(load_id)}), table)
 
 
 def create_table_as(
