@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from acceptance.telemetry_view import table
 from voltrail.functions.columns import base_name, resolved_member_path
-from voltrail.operators.pack import pack, volume_name, write_files
+from voltrail.operators.pack import pack, split_volumes, volume_name, write_files
 from voltrail.session import new_workdir
 from voltrail.sources import archives
 
@@ -209,6 +209,24 @@ def archive_pack_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def archive_volumes_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives cut into volumes of fixed size and read from them."""
+    folder = new_workdir(spark, "volumes")
+    packed = pack(
+        table(spark, sf_dir, "documents"),
+        F.expr(_ARCHIVE),
+        F.expr(_MEMBER),
+        F.col("text"),
+        ["doc_id"],
+        volume_bytes=VOLUME,
+    )
+    files = packed.select(F.concat(F.lit(folder + "/"), volume_name()).alias("target"), "content")
+    volumes = split_volumes(files, 20_000)
+    write_files(volumes, F.col("target"), F.col("content")).write.format("noop").mode("overwrite").save()
+    found = archives.join_volumes(archives.read_archives(spark, folder))
+    return _texts(archives.list_members(found))
+
+
 def single_member_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as compressed JSON lines, opened again as archives."""
     customer = table(spark, sf_dir, "customer")
@@ -239,6 +257,7 @@ QUERIES = {
     "duplicate_member_names": duplicate_member_names,
     "landing_last_wins": landing_last_wins,
     "archive_pack_roundtrip": archive_pack_roundtrip,
+    "archive_volumes_roundtrip": archive_volumes_roundtrip,
     "single_member_containers": single_member_containers,
 }
 
@@ -299,6 +318,7 @@ SELECT 'pair-' || CAST(doc_id // 2 AS VARCHAR) || '.txt' AS name,
        arg_max(text, archive || '-00000-00000.zip' || '#' || lpad(CAST(doc_id AS VARCHAR), 20, '0')) AS text
 FROM docs GROUP BY doc_id // 2""",
     "archive_pack_roundtrip": "SELECT page_id, html FROM pages",
+    "archive_volumes_roundtrip": "SELECT doc_id, text FROM documents",
     "single_member_containers": " UNION ALL ".join(
         f"SELECT *, '{kind}' AS kind FROM customer" for kind in ("gzip", "bzip2")
     ),

@@ -364,3 +364,36 @@ def test_one_base_name_in_a_third_of_all_members(spark):
     hot = winners.where("base_name = 'data.csv'").first()
     assert (hot["path"], hot["position"]) == ("file:/raw/000299.zip", 97)
     assert winners.count() == 20_001
+
+
+def test_volumes(spark, tmp_path):
+    from voltrail.operators.pack import split_volumes
+
+    data = [(f"m{i}", bytes(i * j % 256 for j in range(900))) for i in range(20)]
+    whole = zip_file(tmp_path / "whole.zip", data).read_bytes()
+    names = ["a.zip", "gap.zip"]
+    files = spark.createDataFrame([(f"{tmp_path}/v/{n}", whole) for n in names], "target string, content binary")
+    write_files(split_volumes(files, 1000), F.col("target"), F.col("content")).count()
+    sizes = [p.stat().st_size for p in sorted((tmp_path / "v").glob("a.zip.*"))]
+    assert set(sizes[:-1]) == {1000} and sum(sizes) == len(whole)
+    (tmp_path / "v" / "gap.zip.0003").rename(tmp_path / "taken-away")
+    (tmp_path / "v" / "single.zip").write_bytes(whole)
+    found = archives.join_volumes(read(spark, tmp_path / "v")).cache()
+    lengths = {r["path"].rsplit("/", 1)[-1]: r["length"] for r in found.collect()}
+    last = f"{len(sizes):04d}"
+    assert lengths == {
+        f"a.zip.{{0001..{last}}}": len(whole), f"gap.zip.{{0001..{last}}}": None, "single.zip": len(whole),
+    }
+    listed = archives.inventory(found, slice_bytes=2000)
+    assert [r["error"] for r in archives.quarantine_of(listed).collect()] == ["no such file"]
+    got = contents(archives.read_members(archives.members_of(listed)))
+    assert len(got) == 40 and {(m, d) for (_, _, m), d in got.items()} == set(data)
+    assert {r["status"] for r in archives.integrity(archives.members_of(listed)).collect()} == {"ok"}
+
+
+def test_empty_file_is_one_volume(spark):
+    from voltrail.operators.pack import split_volumes
+
+    files = spark.createDataFrame([("x", b""), ("y", b"ab"), ("z", b"abc")], "target string, content binary")
+    got = {r["target"]: bytes(r["content"]) for r in split_volumes(files, 2).collect()}
+    assert got == {"x.0001": b"", "y.0001": b"ab", "z.0001": b"ab", "z.0002": b"c"}

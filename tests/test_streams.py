@@ -144,3 +144,17 @@ def test_landed_parquet_feeds_the_ingest_stream(spark, namespace, tmp_path):
     assert snapshot(telemetry.scan(spark, name)) == snapshot(clean(raw(spark, 0, 200)))
     end = dt.datetime(2024, 3, 2)
     assert telemetry.scan(spark, name, end=end).agg(F.max("ts")).first()[0] < end
+
+
+def test_odd_file_and_member_names(spark, tmp_path):
+    source, target = tmp_path / "raw", tmp_path / "processed"
+    archive(source / "ä b%20c+d#1.zip", [("ü x%41/y z.txt", b"odd"), ("a:b", b"colon"), ("q?*", b"glob")])
+    unpack_to_files(
+        spark, str(source), str(target), str(tmp_path / "m"), str(tmp_path / "c")
+    ).awaitTermination()
+    files = {str(p.relative_to(target)): p.read_bytes() for p in target.rglob("*") if p.is_file()}
+    assert files == {
+        "ä b%20c+d#1.zip/ü x%41/y z.txt": b"odd",
+        "ä b%20c+d#1.zip/a:b": b"colon",
+        "ä b%20c+d#1.zip/q?*": b"glob",
+    }

@@ -156,6 +156,20 @@ def volume_name() -> Column:
     return F.format_string("%s-%05d-%05d.zip", "archive", "shard", "volume")
 
 
+def split_volumes(files: DataFrame, volume_bytes: int = VOLUME_BYTES) -> DataFrame:
+    """Files `target, content` cut into volumes `target.0001`, `target.0002`, …
+
+    Every volume but the last of a file has exactly `volume_bytes`.
+    """
+    count = F.greatest(F.ceil(F.length("content") / volume_bytes), F.lit(1)).cast("int")
+    numbered = files.select("target", "content", F.explode(F.sequence(F.lit(1), count)).alias("n"))
+    start = (F.col("n") - 1) * volume_bytes + 1
+    return numbered.select(
+        F.format_string("%s.%04d", "target", "n").alias("target"),
+        F.substring(F.col("content"), start, F.lit(volume_bytes)).alias("content"),
+    )
+
+
 def write_files(df: DataFrame, target: Column, content: Column) -> DataFrame:
     """Writes one file per row; returns the manifest `target, bytes, crc32`.
 

@@ -106,6 +106,35 @@ def stream_archives(
     return reader.load(path).select("path", "modificationTime", "length")
 
 
+def join_volumes(archives: DataFrame) -> DataFrame:
+    """Archives kept as volumes `name.0001`, `name.0002`, …, one row per set.
+
+    Files without a volume number stay as they are. A set with a gap, or one that
+    does not begin at volume 1, gets no length and is reported as not there.
+    """
+    number = F.regexp_extract("path", "\\.(\\d{4,})$", 1)
+    parts = archives.withColumn("volume", number).withColumn(
+        "base", F.regexp_replace("path", "\\.\\d{4,}$", "")
+    )
+    sets = (
+        parts.groupBy("base", F.when(F.col("volume") == "", F.col("path")).alias("single"))
+        .agg(
+            F.max("modificationTime").alias("modificationTime"),
+            F.sum("length").alias("bytes"),
+            F.count("*").alias("volumes"),
+            F.min(F.struct(F.col("volume").try_cast("bigint").alias("n"), "volume")).alias("first"),
+            F.max(F.struct(F.col("volume").try_cast("bigint").alias("n"), "volume")).alias("last"),
+        )
+    )
+    whole = (F.col("first.n") == 1) & (F.col("last.n") == F.col("volumes"))
+    joined = F.format_string("%s.{%s..%s}", "base", "first.volume", "last.volume")
+    return sets.select(
+        F.coalesce("single", joined).alias("path"),
+        "modificationTime",
+        F.when(F.col("single").isNotNull() | whole, F.col("bytes")).alias("length"),
+    )
+
+
 def locate_archives(keys: DataFrame, root: str, key: str = "key") -> DataFrame:
     """Archive files named by a table of object keys below `root`.
 

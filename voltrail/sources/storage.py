@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import errno
 import io
+import re
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterable
+from itertools import accumulate
 from urllib.parse import urlsplit
 
 from pyarrow import fs as pafs
@@ -70,11 +73,59 @@ class _Source(io.RawIOBase):
         super().close()
 
 
+class _Volumes:
+    """Several files read as one; holds one of them open."""
+
+    def __init__(self, fs: pafs.FileSystem, paths: list[str]):
+        self._fs, self._paths = fs, paths
+        self._ends = list(accumulate(info.size for info in fs.get_file_info(paths)))
+        self._place, self._index, self._file = 0, None, None
+
+    def size(self) -> int:
+        return self._ends[-1]
+
+    def tell(self) -> int:
+        return self._place
+
+    def seek(self, place: int) -> int:
+        self._place = place
+        return place
+
+    def readinto(self, buffer) -> int:
+        index = bisect_right(self._ends, self._place)
+        if index == len(self._ends):
+            return 0
+        if index != self._index:
+            self.close()
+            self._file, self._index = self._fs.open_input_file(self._paths[index]), index
+        start = self._ends[index - 1] if index else 0
+        self._file.seek(self._place - start)
+        count = self._file.readinto(memoryview(buffer)[: self._ends[index] - self._place])
+        self._place += count
+        return count
+
+    def close(self) -> None:
+        if self._file is not None:
+            self._file.close()
+        self._file = self._index = None
+
+
+# Paths `name.{0001..0012}` stand for the volumes of one file.
+_VOLUME_SET = re.compile(r"(.*)\.\{(\d+)\.\.(\d+)\}", re.DOTALL)
+
+
 def open_input(uri: str, opened: dict) -> io.BufferedReader:
     """Seekable reader that fetches a megabyte at a time."""
-    fs, path = locate(uri, opened)
+    volumes = _VOLUME_SET.fullmatch(uri)
+    fs, path = locate(volumes[1] if volumes else uri, opened)
     try:
-        return io.BufferedReader(_Source(fs.open_input_file(path)), 1 << 20)
+        if volumes:
+            first, last = volumes[2], volumes[3]
+            numbers = range(int(first), int(last) + 1)
+            file = _Volumes(fs, [f"{path}.{n:0{len(first)}d}" for n in numbers])
+        else:
+            file = fs.open_input_file(path)
+        return io.BufferedReader(_Source(file), 1 << 20)
     except OSError as error:
         raise StorageError(f"{uri}: {error}") from error
 
