@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from voltrail.functions.columns import resolved_member_path
 from voltrail.session import qualify
 from voltrail.sources import archives
-from voltrail.streaming import FILES_PER_BATCH
+from voltrail.streaming import FILES_PER_BATCH, stream_id
 
 
 def _status() -> Column:
@@ -80,10 +80,11 @@ def land_archives_flat(archive_files: DataFrame, target: str) -> DataFrame:
 def _run(
     archive_files: DataFrame, per_batch, output: str, checkpoint: str, name: str, trigger: dict | None
 ) -> StreamingQuery:
-    """Writes what `per_batch` returns under the batch id; a repeated batch replaces it."""
+    """Writes what `per_batch` returns under stream and batch; a repeated batch replaces it."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        per_batch(batch).write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+        place = f"{output}/stream={stream_id(batch, name)}/batch_id={batch_id}"
+        per_batch(batch).write.mode("overwrite").parquet(place)
 
     return (
         archive_files.writeStream.queryName(name)
