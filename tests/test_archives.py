@@ -224,7 +224,13 @@ def expected_path(member, target):
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.lists(st.sampled_from(["a", "out", "land", "..", ".", "", "b c"]), max_size=6), min_size=40, max_size=60))
+@given(
+    st.lists(
+        st.lists(st.sampled_from(["a", "out", "land", "..", ".", "", "b c"]), max_size=6),
+        min_size=40,
+        max_size=60,
+    )
+)
 def test_member_paths(spark, data):
     names = ["/".join(parts) for parts in data] + ["/etc/passwd", ".//etc/passwd", ".//land/out/x", "//x"]
     df = spark.createDataFrame([(n,) for n in names], "member string")
@@ -237,7 +243,8 @@ def test_keys(spark):
     from urllib.parse import unquote_plus
 
     keys = ["raw/a+b.zip", "raw%2Fx%2B1.7z", "100%", "%zz%41", "draw/x.zip", "raw/x.ZIP", "x/raw.zip", "%E4%BD%A0.zip"]
-    df = spark.createDataFrame([(k,) for k in keys], "k string").select("k", decode_key(F.col("k")).alias("d"))
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    df = df.select("k", decode_key(F.col("k")).alias("d"))
     df = df.withColumn("w", is_raw_archive_key(F.col("d"))).withColumn("b", base_name(F.col("d")))
     for r in df.collect():
         d = unquote_plus(r["k"])

@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from voltrail.session import task_count
 from voltrail.sources import storage
 
 VOLUME_BYTES = 10 << 20
@@ -141,7 +142,7 @@ def pack(
         sharded = _shards(rows, order, shard_bytes)
     else:
         sharded = rows.withColumn("shard", _dealt(order, F.lit(shards)))
-    count = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    count = partitions or task_count(df.sparkSession)
     number = METHODS[method]
     return (
         sharded.repartition(count, "archive", "shard")

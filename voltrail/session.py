@@ -43,3 +43,12 @@ def new_workdir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="voltrail-")
     return qualify(spark, f"{shared.rstrip('/')}/voltrail/{label}-{uuid.uuid4().hex}")
+
+
+def task_count(spark: SparkSession) -> int:
+    """Partitions for shuffles that Spark does not resize: those that feed file work.
+
+    They move small rows that stand for much work, so their bytes say nothing.
+    """
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(wanted, 2 * spark.sparkContext.defaultParallelism)

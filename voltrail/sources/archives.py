@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltrail.functions.columns import MAGIC, base_name, file_kind, member_output_name
+from voltrail.session import task_count
 from voltrail.sources import storage
 
 CHUNK_BYTES = 32 << 20
@@ -392,8 +393,7 @@ def data_members(listed: DataFrame) -> DataFrame:
 
 def _spread(rows: DataFrame, partitions: int | None) -> DataFrame:
     """Slices over tasks, members of a slice in order so its archive is opened once."""
-    spark = rows.sparkSession
-    count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = partitions or task_count(rows.sparkSession)
     return rows.repartition(count, "path", "slice").sortWithinPartitions("path", "position")
 
 
