@@ -277,3 +277,23 @@ def test_full_refresh_with_rows_of_no_date(spark, namespace):
 def test_load_without_gathering(spark, namespace):
     name = made(spark, namespace, gather_days=False)
     assert snapshot(telemetry.scan(spark, name)) == snapshot(clean(rows(spark)))
+
+
+def test_files_of_different_columns_are_read_whole(spark, namespace, tmp_path):
+    landing = str(tmp_path / "landing")
+    for part in (["Road_Mode"], ["Clean_Mode"], ["Road_Mode", "Clean_Mode", "DISPLAY_SPEED"]):
+        rows(spark, n=100).drop(*part).coalesce(1).write.mode("append").parquet(landing)
+    line = jobs.ingest(spark, landing, f"{namespace}.canbus01", "one", NTZ).first()
+    assert line["rows_written"] == 300
+    counts = telemetry.scan(spark, f"{namespace}.canbus01").agg(
+        F.count("road_mode"), F.count("clean_mode"), F.count("display_speed"), F.count("fuel_percentage")
+    )
+    assert list(counts.first()) == [100, 100, 200, 300]
+
+
+def test_files_without_a_mandatory_column_stop_the_job(spark, namespace, tmp_path):
+    landing = str(tmp_path / "landing")
+    rows(spark, n=100).drop("vin_id").write.parquet(landing)
+    with pytest.raises(contract.ContractError, match="vin_id"):
+        jobs.ingest(spark, landing, f"{namespace}.canbus01", "one", NTZ)
+    assert spark.table(f"{namespace}.canbus01").count() == 0

@@ -14,7 +14,7 @@ from voltrail import contract
 from voltrail.operators import summaries
 from voltrail.operators.clean import clean
 from voltrail.plans import catalog, writes
-from voltrail.sources.telemetry import read_raw, scan
+from voltrail.sources.telemetry import file_schema, read_raw, scan
 
 
 BASE_TABLE = "canbus01"
@@ -36,8 +36,9 @@ def ingest(
     """
     catalog.ensure_telemetry_table(spark, table, ts_type, provider)
     before = catalog.fresh_table(spark, table).count()
-    raw = read_raw(spark, input_path, ts_type)
-    found = contract.require(raw.schema)
+    schema = file_schema(spark, input_path, ts_type)
+    found = contract.require(schema)
+    raw = read_raw(spark, input_path, ts_type, schema)
     writes.load_telemetry(clean(raw, ts_type), table, load_id, gather_days)
     stored = catalog.fresh_table(spark, table)
     of_load = F.col(contract.LOAD) == load_id

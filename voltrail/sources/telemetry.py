@@ -14,19 +14,42 @@ from voltrail.functions.columns import primary_key
 from voltrail.plans import catalog
 
 
-def read_raw(spark: SparkSession, path: str, ts_type: T.DataType = T.TimestampType()) -> DataFrame:
-    """Landing Parquet below `path`, with the types its footers state.
+def file_schema(
+    spark: SparkSession, path: str, ts_type: T.DataType = T.TimestampType()
+) -> T.StructType:
+    """Columns of the landing files as a footer states them.
 
-    A folder without files reads as no rows of the declared schema; a path that
-    does not exist is an error.
+    A folder without files has the declared columns; a path that does not exist
+    is an error.
     """
-    reader = spark.read.option("recursiveFileLookup", "true")
     try:
-        return reader.parquet(path)
+        return spark.read.option("recursiveFileLookup", "true").parquet(path).schema
     except AnalysisException as error:
         if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
-        return reader.schema(contract.raw_schema(ts_type)).parquet(path)
+        return contract.raw_schema(ts_type)
+
+
+def read_raw(
+    spark: SparkSession,
+    path: str,
+    ts_type: T.DataType = T.TimestampType(),
+    found: T.StructType | None = None,
+) -> DataFrame:
+    """Landing Parquet below `path`; `found` is its `file_schema` when already known.
+
+    Files may differ in their columns: contract columns that the footer looked at
+    does not have are declared too, so they are read from the files that do.
+    """
+    found = found or file_schema(spark, path, ts_type)
+    seen = {name.lower() for name in found.names}
+    declared = [
+        f
+        for f in contract.raw_schema(ts_type)
+        if f.name.lower() not in seen and f.name not in (*contract.MANDATORY, *contract.SYSTEM_COLUMNS)
+    ]
+    schema = T.StructType([*found.fields, *declared])
+    return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
 
 def stream_raw(
