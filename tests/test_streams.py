@@ -182,3 +182,15 @@ def test_odd_file_and_member_names(spark, tmp_path):
         "ä b%20c+d#1.zip/a:b": b"colon",
         "ä b%20c+d#1.zip/q?*": b"glob",
     }
+
+
+def test_stream_of_wider_types_is_narrowed(spark, namespace, tmp_path):
+    landing = str(tmp_path / "landing")
+    wide = raw(spark, 0, 20).withColumn("Clean_Mode", F.col("Clean_Mode").cast("bigint"))
+    wide = wide.withColumn("DISPLAY_SPEED", F.col("DISPLAY_SPEED").cast("double"))
+    wide.write.parquet(landing)
+    name = f"{namespace}.canbus01"
+    ingest_stream(
+        spark, landing, name, str(tmp_path / "c"), ts_type=NTZ, schema=telemetry.file_schema(spark, landing)
+    ).awaitTermination()
+    assert snapshot(telemetry.scan(spark, name)) == snapshot(clean(raw(spark, 0, 20)))

@@ -103,7 +103,7 @@ def create_table_as(
     spark = df.sparkSession
     fits = (
         catalog.table_exists(spark, table)
-        and set(spark.table(table).columns) == set(df.columns)
+        and {f.name: f.dataType for f in spark.table(table).schema} == {f.name: f.dataType for f in df.schema}
         and (_overwrites_dynamically(spark, table) or not _is_file_table(spark, table))
     )
     if not fits:

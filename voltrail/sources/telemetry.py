@@ -57,12 +57,16 @@ def stream_raw(
     path: str,
     schema: T.StructType | None = None,
     max_files_per_trigger: int | None = None,
+    glob: str = "*.parquet",
 ) -> DataFrame:
-    """Landing Parquet as it arrives; every file is read once per checkpoint."""
+    """Landing Parquet as it arrives; every file is read once per checkpoint.
+
+    Archives may land other files too, so only names matching `glob` are read.
+    """
     reader = (
         spark.readStream.schema(schema or contract.raw_schema())
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.parquet")
+        .option("pathGlobFilter", glob)
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
