@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltrail import contract
 from voltrail.functions.columns import primary_key
@@ -91,6 +92,10 @@ def load_telemetry(cleaned: DataFrame, table: str, load_id: str, gather_days: bo
     replace_partitions(rows.withColumns({contract.KEY: key, contract.LOAD: F.lit(load_id)}), table)
 
 
+def _columns(df: DataFrame) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in df.schema}
+
+
 def create_table_as(
     df: DataFrame, table: str, partition_by: str, provider: str = "parquet", compression: str = "snappy"
 ) -> None:
@@ -101,12 +106,11 @@ def create_table_as(
     new rows are dropped; until then the old rows stay.
     """
     spark = df.sparkSession
-    fits = (
-        catalog.table_exists(spark, table)
-        and {f.name: f.dataType for f in spark.table(table).schema} == {f.name: f.dataType for f in df.schema}
-        and (_overwrites_dynamically(spark, table) or not _is_file_table(spark, table))
-    )
-    if not fits:
+    fits = catalog.table_exists(spark, table) and _columns(spark.table(table)) == _columns(df)
+    if fits and not _is_file_table(spark, table):
+        df.hint("rebalance", partition_by).writeTo(table).overwrite(F.lit(True))
+        return
+    if not fits or not _overwrites_dynamically(spark, table):
         (
             df.hint("rebalance", partition_by)
             .write.format(provider)
