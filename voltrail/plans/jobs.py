@@ -56,16 +56,16 @@ def ingest(
 def _write_summaries(
     rollup: DataFrame, namespace: str, write: Callable[[DataFrame, str], None]
 ) -> list[str]:
-    """Writes the three tables side by side; each leaves most of a cluster idle."""
+    """Stores the rollup, then writes the three tables from it side by side."""
     targets = {f"{namespace}.{name}": build for name, build in summaries.FROM_ROLLUP.items()}
-    with ThreadPoolExecutor(len(targets)) as pool:
-        list(pool.map(lambda target: write(targets[target](rollup), target), targets))
+    with writes.stored(rollup, "mode-rollup") as rows, ThreadPoolExecutor(len(targets)) as pool:
+        list(pool.map(lambda target: write(targets[target](rows), target), targets))
     return list(targets)
 
 
 def refresh_summaries(spark: SparkSession, table: str, namespace: str, provider: str = "parquet") -> list[str]:
     """Rebuilds the three summary tables from one scan of the telemetry."""
-    rollup = writes.stored(summaries.mode_rollup(scan(spark, table)), "mode-rollup")
+    rollup = summaries.mode_rollup(scan(spark, table))
     return _write_summaries(
         rollup, namespace, lambda df, target: writes.create_table_as(df, target, "date", provider)
     )
@@ -92,7 +92,7 @@ def refresh_summary_days(
         base = base.where(_on_days(F.col(contract.DAY), wanted))
     base = base.where(_on_days(F.to_date("ts"), wanted)).select(*contract.COLUMNS)
     return _write_summaries(
-        writes.stored(summaries.mode_rollup(base), "mode-rollup"),
+        summaries.mode_rollup(base),
         namespace,
         lambda df, target: writes.replace_partitions(df.hint("rebalance", "date"), target),
     )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,14 +13,22 @@ from voltrail import contract
 from voltrail.functions.columns import primary_key
 from voltrail.operators.clean import with_day
 from voltrail.plans import catalog
-from voltrail.session import new_workdir
+from voltrail.session import discard, new_workdir
+
 
+@contextmanager
+def stored(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """The rows written to the shared folder and read from there, so they are computed once.
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """The rows written to the shared folder and read from there, so they are computed once."""
-    path = new_workdir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    The folder goes when the block ends.
+    """
+    spark = df.sparkSession
+    path = new_workdir(spark, label)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        discard(spark, path)
 
 
 FILE_PROVIDERS = ("parquet", "orc", "json", "csv")
@@ -121,12 +132,12 @@ def create_table_as(
             .saveAsTable(table)
         )
         return
-    rows = stored(df, "refresh")
-    replace_partitions(rows.hint("rebalance", partition_by), table)
-    held = spark.table(table).select(partition_by).distinct()
-    kept = rows.select(F.col(partition_by).alias("kept")).distinct()
-    stale = held.join(kept, F.col(partition_by).eqNullSafe(F.col("kept")), "left_anti")
-    for (value,) in stale.collect():
+    with stored(df, "refresh") as rows:
+        replace_partitions(rows.hint("rebalance", partition_by), table)
+        held = spark.table(table).select(partition_by).distinct()
+        kept = rows.select(F.col(partition_by).alias("kept")).distinct()
+        stale = held.join(kept, F.col(partition_by).eqNullSafe(F.col("kept")), "left_anti").collect()
+    for (value,) in stale:
         literal = "null" if value is None else f"'{value}'"
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_by}={literal})")
 

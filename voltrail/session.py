@@ -24,20 +24,31 @@ def build_session(name: str = "voltrail", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def _hadoop(spark: SparkSession, path: str):
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
 def qualify(spark: SparkSession, path: str) -> str:
     """The path with scheme and authority, so every executor opens the same place."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hadoop_path = _hadoop(spark, path)
     return fs.makeQualified(hadoop_path).toString()
 
 
+def discard(spark: SparkSession, workdir: str) -> None:
+    """Deletes a folder that `new_workdir` gave."""
+    if "/voltrail/" not in workdir:
+        raise ValueError(f"{workdir} is no work folder")
+    fs, hadoop_path = _hadoop(spark, workdir)
+    fs.delete(hadoop_path, True)
+
+
 def new_workdir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
     Only a local session without that setting gets a folder of its own.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
