@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltrail.llm import bpe
+from voltrail.llm import bpe, fingerprints, html_text, line_dedup, mixing, quality, secrets, simhash_dedup
 
-_MODULES = (bpe,)
+_MODULES = (line_dedup, simhash_dedup, fingerprints, quality, bpe, mixing, html_text, secrets)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
