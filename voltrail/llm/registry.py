@@ -6,9 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltrail.llm import bpe, fingerprints, html_text, line_dedup, mixing, quality, secrets, simhash_dedup
-
-_MODULES = (line_dedup, simhash_dedup, fingerprints, quality, bpe, mixing, html_text, secrets)
+from voltrail.llm import bpe, fingerprints, html_text, line_dedup, mixing, neighbours, quality, repeats, secrets, simhash_dedup
+
+_MODULES = (
+    line_dedup,
+    simhash_dedup,
+    fingerprints,
+    neighbours,
+    repeats,
+    quality,
+    bpe,
+    mixing,
+    html_text,
+    secrets,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
