@@ -1,0 +1,155 @@
+"""Plain versions of what the operators compute."""
+
+import collections
+import hashlib
+import re
+import struct
+
+import xxhash
+
+SPACES = " \t\n\x0b\x0c\r"
+
+
+def sha(data) -> str:
+    return hashlib.sha256(data if isinstance(data, bytes) else data.encode()).hexdigest()
+
+
+def lower(text: str) -> str:
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def words(text: str) -> list[str]:
+    return re.findall(r"[^\x20\x09-\x0D]+", text)
+
+
+def line_dedup(docs, min_docs=10, keep_first=False):
+    """(n_lines, n_dropped, kept text) per document; docs are (id, text) with own ids."""
+    seen = collections.defaultdict(set)
+    first = {}
+    keyed = []
+    for doc_id, text in docs:
+        lines = (text or "").split("\n")
+        keys = [lower(x.strip(SPACES)) for x in lines]
+        keyed.append((doc_id, lines, keys))
+        for i, k in enumerate(keys):
+            seen[k].add(doc_id)
+            first[k] = min(first.get(k, (doc_id, i)), (doc_id, i))
+    out = {}
+    for doc_id, lines, keys in keyed:
+        gone = [
+            bool(k) and len(seen[k]) >= min_docs and not (keep_first and first[k] == (doc_id, i))
+            for i, k in enumerate(keys)
+        ]
+        out[doc_id] = (len(lines), sum(gone), "\n".join(x for x, g in zip(lines, gone) if not g))
+    return out
+
+
+def simhash(text) -> int:
+    found = words(lower(text or ""))
+    if not found:
+        return 0
+    shingles = [" ".join(found[i : i + 3]) for i in range(max(1, len(found) - 2))]
+    votes = [0] * 64
+    for s in shingles:
+        h = xxhash.xxh64_intdigest(s.encode(), 42)
+        for b in range(64):
+            votes[b] += h >> b & 1
+    return sum(1 << b for b in range(64) if 2 * votes[b] > len(shingles))
+
+
+def near_components(prints, bits=3):
+    """Smallest index reachable for each of a list of fingerprints."""
+    parent = list(range(len(prints)))
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, a in enumerate(prints):
+        for j in range(i):
+            if (a ^ prints[j]).bit_count() <= bits:
+                x, y = top(i), top(j)
+                parent[max(x, y)] = min(x, y)
+    return [top(i) for i in range(len(prints))]
+
+
+def repeats(texts, length=200):
+    """Which bytes are covered by windows that start in two places."""
+    count = collections.Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    covered = []
+    for t in texts:
+        gone = bytearray(len(t))
+        for i in range(len(t) - length + 1):
+            if count[t[i : i + length]] > 1:
+                gone[i : i + length] = b"\x01" * length
+        covered.append(bytes(gone))
+    return covered
+
+
+def spark_hash(seed: int, *strings) -> int:
+    """Spark's xxhash64 of an int and strings; nulls leave the hash as it is."""
+    h = xxhash.xxh64_intdigest(struct.pack("<i", seed), 42)
+    for s in strings:
+        if s is not None:
+            h = xxhash.xxh64_intdigest(s.encode(), h)
+    return h
+
+
+def weighted_simhash(text) -> str:
+    found = words(text or "")
+    out = ""
+    for seed in (1, 2):
+        votes, total = [0] * 64, 0
+        for a, b in zip(found, [*found[1:], None]):
+            weight = min(4, 1 + len(a.encode()) // 4)
+            total += weight
+            h = spark_hash(seed, a, b)
+            for bit in range(64):
+                votes[bit] += weight * (h >> bit & 1)
+        out += f"{sum(1 << b for b in range(64) if 2 * votes[b] > total):016x}"
+    return out
+
+
+BASE = {
+    "assign": re.compile(
+        r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    ),
+    "access": re.compile(r"AKIA[A-Z0-9]+"),
+    "hex": re.compile(r"[0-9a-f]+"),
+}
+
+
+def base_secrets(text):
+    """(start, place of the kind, kind, end), sorted."""
+    found = []
+    for place, (kind, pattern) in enumerate(BASE.items()):
+        for m in pattern.finditer(text or ""):
+            size = len(m[1]) if kind == "assign" else len(m[0])
+            if size >= {"assign": 8, "access": 16, "hex": 32}[kind]:
+                found.append((m.start(), place, kind, m.end()))
+    return sorted(found)
+
+
+def listed(spans) -> str:
+    return ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in spans)
+
+
+def targets(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
+    """Shares by weight, caps, and the excess reshared until none is above."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    total, fixed, free = share * sum(sizes.values()), {}, set(names)
+    while free:
+        left = total - sum(fixed.values())
+        each = left / sum(weight[s] for s in free)
+        over = {s for s in free if weight[s] * each > most * sizes[s]}
+        if not over:
+            return fixed | {s: weight[s] * each for s in free}
+        fixed |= {s: most * sizes[s] for s in over}
+        free -= over
+    return fixed
+
+
+def rows_by_id(rows, key="doc_id"):
+    return {r[key]: r.asDict() for r in rows}

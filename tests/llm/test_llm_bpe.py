@@ -1,0 +1,81 @@
+import random
+
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import brute
+from brute import rows_by_id
+from voltrail.llm import bpe
+
+RAW = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+OWN = bpe.Codec(RAW, public_tokenizers.PATTERN)
+LIBRARY = tiktoken.Encoding(
+    "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.parse_ranks(RAW), special_tokens={}
+)
+
+
+def encoded(text, own=OWN):
+    return [i for chunk in own.encode(text) for i in chunk]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text())
+def test_any_text(text):
+    ids = encoded(text)
+    assert ids == LIBRARY.encode_ordinary(text)
+    assert "".join(OWN.decode([ids[i : i + 1] for i in range(len(ids))])) == text
+
+
+def test_hard_texts():
+    rng = random.Random(6)
+    texts = ["a" * 20_000, "ab" * 3_000 + " " * 700 + "x", "\x1c \x85 x\xa0​", "<|endoftext|> don't 123", "é" * 999]
+    texts += ["".join(rng.choice("abcdeé ñ中🙂 \t\n.,'0aeiou") for _ in range(300)) for _ in range(100)]
+    for text in texts:
+        assert encoded(text) == LIBRARY.encode_ordinary(text)
+
+
+def test_forgetting_and_parts_change_nothing(monkeypatch, spark, sf_dir):
+    """Tiny tables of states and pieces, windows and parts."""
+    monkeypatch.setattr(bpe, "WINDOW", 16)
+    monkeypatch.setattr(bpe, "PART", 50)
+    monkeypatch.setattr(bpe, "MAX_PIECES", 20)
+    small = bpe.Codec(RAW, public_tokenizers.PATTERN)
+    small.transducer.max_states = 50
+    texts = [r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(20).collect()]
+    for text in [*texts, "abcdefghij" * 500, "a" * 5_000]:
+        assert encoded(text, small) == LIBRARY.encode_ordinary(text)
+
+
+def test_other_vocabulary():
+    raw = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    own = bpe.Codec(raw, public_tokenizers.PATTERN)
+    library = tiktoken.Encoding(
+        "multi", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.parse_ranks(raw), special_tokens={}
+    )
+    for text in ("Größenordnung, naïveté; 東京都に行く", "the quick brown fox jumps over"):
+        assert encoded(text, own) == library.encode_ordinary(text)
+
+
+def test_query(spark, sf_dir):
+    docs = rows_by_id(spark.read.parquet(f"{sf_dir}/documents.parquet").collect())
+    rows = bpe.op7_byte_bpe(spark, sf_dir).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        ids = LIBRARY.encode_ordinary(docs[r["doc_id"]]["text"] or "")
+        assert r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == brute.sha(" ".join(map(str, ids)))
+        assert r["decoded_sha256"] == brute.sha(LIBRARY.decode_bytes(ids))
+
+
+def test_encode_and_decode_tables(spark):
+    rows = [(1, "héllo wörld 🙂", 5), (2, None, 6), (3, "", 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_tokens long")
+    ids = bpe.encode(df, RAW, public_tokenizers.PATTERN)
+    assert ids.columns == [*df.columns, "token_ids"]
+    back = bpe.decode(ids.drop("text"), RAW, public_tokenizers.PATTERN)
+    assert {(r["doc_id"], r["n_tokens"], r["text"]) for r in back.collect()} == {(1, 5, rows[0][1]), (2, 6, ""), (3, 7, "")}
+    with pytest.raises(ValueError):
+        bpe.encode(ids, RAW, public_tokenizers.PATTERN)

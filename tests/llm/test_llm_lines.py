@@ -1,0 +1,68 @@
+import random
+
+import pytest
+
+import brute
+from brute import rows_by_id
+from voltrail.llm import line_dedup
+
+
+def shared_lines(n=60):
+    rng = random.Random(2)
+    common = ["The Same Line", "another one ", "  third", "x", "été", "ÉTÉ"]
+    docs = []
+    for i in range(n):
+        lines = [rng.choice(common) if rng.random() < 0.4 else f"own {i} {j}" for j in range(rng.randint(1, 9))]
+        if i % 2:
+            lines.append("\tTHE same line\r")
+        if i < 9:
+            lines += ["nine only", "nine only"]
+        if i < 10:
+            lines.insert(0, "ten exactly")
+        docs.append((i, "\n".join(lines)))
+    return docs
+
+
+@pytest.mark.parametrize("keep_first", [False, True])
+@pytest.mark.parametrize("partitions", ["1", "7", "40"])
+def test_against_brute_force(spark, keep_first, partitions):
+    docs = shared_lines()
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        bitmaps = line_dedup.keep_bitmaps(df, keep_first=keep_first)
+        got = rows_by_id(line_dedup.apply(df, bitmaps).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = brute.line_dedup(docs, keep_first=keep_first)
+    assert {i: r["text"] for i, r in got.items()} == {i: w[2] for i, w in want.items()}
+
+
+def test_short_keys_and_threshold(spark):
+    docs = shared_lines()
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bitmaps = rows_by_id(line_dedup.keep_bitmaps(df, min_docs=11, min_chars=2).collect())
+    texts = dict(docs)
+    for i, r in bitmaps.items():
+        kept = line_dedup.kept_text(texts[i], r["keep_bitmap"]).split("\n")
+        n = len(texts[i].split("\n"))
+        assert n - len(kept) == r["n_dropped"] or (kept == [""] and r["n_dropped"] == n)
+        assert "ten exactly" not in set(texts[i].split("\n")) - set(kept)
+        assert kept.count("x") == texts[i].split("\n").count("x")
+
+
+def test_query(folder, spark):
+    docs = [*shared_lines(), (100, None), (101, ""), (102, "\n \n"), (103, "the same LINE")]
+    sf = folder("documents", docs, "doc_id long, text string")
+    got = rows_by_id(line_dedup.op1_line_dedup(spark, sf).collect())
+    for i, (n, gone, kept) in brute.line_dedup(docs).items():
+        assert (got[i]["n_lines"], got[i]["n_dropped"], got[i]["kept_sha256"]) == (n, gone, brute.sha(kept))
+
+
+def test_one_long_run_is_not_held_back(spark):
+    """A line in every document: its rows are spread and all of them drop."""
+    df = spark.range(5000).selectExpr("id AS doc_id", "concat('same\nown ', id) AS text")
+    kept = line_dedup.apply(df, line_dedup.keep_bitmaps(df))
+    assert kept.where("text <> concat('own ', doc_id)").count() == 0

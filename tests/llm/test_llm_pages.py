@@ -1,0 +1,114 @@
+import html
+import re
+
+import numpy as np
+import pytest
+
+from voltrail.llm import boosting, html_text
+
+
+def article(page):
+    """The blocks of the only article of a test page."""
+    inner = page[page.index("<article>") + 9 : page.index("</article>")]
+    inner = re.sub(r"<[^>]*>", " ", re.sub(r"</?(?:p|h1)>", "\x00", inner))
+    blocks = (" ".join(html.unescape(b).split()) for b in inner.split("\x00"))
+    return "\n\n".join(b for b in blocks if b)
+
+
+def test_query(spark, sf_dir):
+    pages = {r["page_id"]: r for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    rows = html_text.op9_html_extraction(spark, sf_dir).collect()
+    assert len(rows) == len(pages)
+    for r in rows:
+        assert r["text"] == article(pages[r["page_id"]]["html"])
+        assert r["n_chars"] == len(r["text"]) and r["url"] == pages[r["page_id"]]["url"]
+
+
+@pytest.fixture(scope="module")
+def model(spark, sf_dir):
+    return html_text.train(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+LONG = "This is a long text of the article, with commas, and sentences. It goes on for a while, as texts do."
+FURNITURE = [
+    "<nav><ul><li><a href=/>Home</a><li><a href=/b>Bee</a></ul></nav>",
+    "<header><a href=/>Logo</a> Slogan</header>",
+    "<footer>&copy; 2020 Someone</footer>",
+    "<aside><p>Read this as well, it is quite long, and has commas.</p></aside>",
+    '<div class="cookie-notice"><p>We use cookies, accept them.</p></div>',
+    '<div id="sideBar"><p>Side text, of some length.</p></div>',
+    "<form action=/q><label>Name</label><input><button>Send</button></form>",
+    '<section class="comments"><div class="comment"><p>Nice post, really, thanks for it.</p></div></section>',
+    '<div class="ad">Buy one, get two.</div>',
+    "<script>if (a < b) document.write('<p>no</p>')</script><style>p > a {}</style><!-- <p>no</p> -->",
+    '<div role="navigation">Here and there</div>',
+    '<div style="display: none">Hidden words</div>',
+]
+
+
+@pytest.mark.parametrize("furniture", FURNITURE)
+@pytest.mark.parametrize("shell", ["<article>{}</article>", '<div class="content">{}</div>'])
+def test_furniture_goes(model, furniture, shell):
+    inside = shell.format(f"<h1>Title &amp; more</h1><p>{LONG}<p>A <b>bold</b>\n word{furniture}<p>{LONG}")
+    page = f"<html><head><title>x</title></head><body>{furniture}{inside}{furniture}</body></html>"
+    text = html_text.extract_all([page], model)[0]
+    assert text == f"Title & more\n\n{LONG}\n\nA bold word\n\n{LONG}"
+
+
+def test_lists_tables_and_quotes_of_an_article_stay(model):
+    page = (
+        f"<body><article><p>{LONG}</p><ul><li>one</li><li>two <a href=/x>link</a></li></ul>"
+        f"<blockquote>said</blockquote><table><tr><td>c1</td><td>c2</td></tr></table><p>{LONG}</p></article></body>"
+    )
+    text = html_text.extract_all([page], model)[0]
+    assert text == f"{LONG}\n\none\n\ntwo link\n\nsaid\n\nc1\n\nc2\n\n{LONG}"
+
+
+def test_a_page_without_landmarks(model):
+    menu = "".join(f"<a href=/{i}>Item</a> " for i in range(9))
+    page = f"<body><div>{menu}</div><div><p>{LONG} {LONG}</p><p>{LONG}</p></div><div>{menu}</div></body>"
+    assert html_text.extract_all([page], model)[0] == f"{LONG} {LONG}\n\n{LONG}"
+
+
+def test_odd_pages(model):
+    deep = "<div>" * 3000 + "deep" + "</div>" * 3000
+    pages = ["", "plain &lt;text&gt; only", "<p", "<p>unclosed <b>bold", "</div></p>", deep, "<a title='a > b'>t</a>"]
+    texts = html_text.extract_all(pages, model)
+    assert texts[0] == "" and texts[1] == "plain <text> only" and texts[4] == ""
+    assert len(texts) == len(pages)
+
+
+def test_decoding_is_the_best_consistent_labelling():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        n = int(rng.integers(2, 9))
+        nodes = [html_text.Node("div", -1 if i == 0 else int(rng.integers(0, i)), 0) for i in range(n)]
+        margin = rng.normal(0, 2, n)
+        logs = np.stack([-np.logaddexp(0, margin), -np.logaddexp(0, -margin)])
+        logs[1, 0] = 0.0
+        best, found = -np.inf, None
+        for bits in range(1 << n):
+            kept = [(bits >> i) & 1 for i in range(n)]
+            if kept[0] and all(kept[x.parent] >= kept[i] for i, x in enumerate(nodes) if i):
+                total = sum(logs[k, i] for i, k in enumerate(kept))
+                if total > best:
+                    best, found = total, kept
+        assert html_text.decode(nodes, margin).astype(int).tolist() == found
+
+
+def test_boosting_learns():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(3000, 6))
+    y = ((x[:, 0] > 0.3) ^ (x[:, 1] > 0)).astype(float)
+    trees = boosting.fit(x[:2000], y[:2000], np.ones(2000), np.zeros(2000))
+    assert ((boosting.margins(x[2000:], trees) > 0) == (y[2000:] > 0)).mean() > 0.95
+
+
+def test_odd_rows(folder, spark):
+    rows = [(1, None, None), (None, "u", "<p>x"), (2, "u", ""), (3, "v", "<article>" + "<p>word word.</p>" * 5000)] * 2
+    sf = folder("pages", rows, "page_id long, url string, html string", ("text", "n_chars", "x", "y"))
+    got = html_text.op9_html_extraction(spark, sf).collect()
+    assert len(got) == 8 and sum(r["text"] == "" for r in got) >= 4
+    assert max(r["n_chars"] for r in got) == 5000 * 12 - 2
+    empty = html_text.op9_html_extraction(spark, folder("pages", [], "page_id long, url string, html string"))
+    assert empty.collect() == []

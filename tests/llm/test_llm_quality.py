@@ -1,0 +1,51 @@
+import numpy as np
+
+from voltrail.llm import quality
+
+
+def test_given_labels(spark):
+    """No label was used, so all of them are held out."""
+    sf_dir = "/root/testdata/sf0.01"
+    scores = quality.op6_quality_classifier(spark, sf_dir)
+    rows = scores.join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id").collect()
+    good = [r["keep"] for r in rows if r["quality"] == 1]
+    junk = [r["keep"] for r in rows if r["quality"] == 0]
+    assert np.mean(good) >= 0.98 and np.mean(junk) <= 0.08
+
+
+def test_label_model_finds_who_errs():
+    """Planted classes and labellers of known accuracy."""
+    rng = np.random.default_rng(1)
+    k = len(quality.LABELLERS)
+    truth = rng.random(20_000) < 0.8
+    votes = np.zeros((len(truth), k), dtype=int)
+    planted = np.r_[np.full(3, 0.72), np.full(k - 3, 0.97)]
+    for j in range(k):
+        voting = rng.random(len(truth)) < 0.9 if j < 3 else np.zeros(len(truth), dtype=bool)
+        if j < 3:
+            votes[voting & (truth | (rng.random(len(truth)) < 0.3)), j] = quality.GOOD
+        else:
+            votes[(~truth & (rng.random(len(truth)) < 0.4)) | (truth & (rng.random(len(truth)) < 0.002)), j] = quality.JUNK
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    good, right = quality.label_model(patterns, counts.astype(float))
+    known = {tuple(p): g for p, g in zip(patterns.tolist(), good)}
+    found = np.array([known[tuple(v)] for v in votes.tolist()]) >= 0.5
+    assert (found == truth).mean() > 0.97
+    assert (right[3:] > right[:3].max()).all() and len(planted) == k
+
+
+def test_a_clean_corpus_stays_whole(spark):
+    texts = [f"This is sentence number {i}, and it says a little. It has some words, as texts do." for i in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = quality.apply(df, quality.train(quality.described(df)))
+    assert kept.count() == 300
+
+
+def test_decisions_of_apply_and_query_agree(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = quality.described(docs)
+    model = quality.train(rows)
+    want = {r["doc_id"] for r in quality.scored(rows, model).where("keep").collect()}
+    kept = quality.apply(docs, model)
+    assert kept.columns == docs.columns
+    assert {r["doc_id"] for r in kept.select("doc_id").collect()} == want

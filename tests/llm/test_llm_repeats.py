@@ -1,0 +1,60 @@
+import random
+
+import numpy as np
+
+import brute
+from voltrail.llm import repeats
+
+
+def passages():
+    rng = random.Random(4)
+
+    def prose(n):
+        return "".join(rng.choice("abcdefgh éü\n") for _ in range(n))
+
+    long, other = prose(900), prose(400)
+    docs = [prose(rng.randint(0, 700)) for _ in range(15)]
+    docs += [prose(150) + long + prose(90), prose(10) + long, long[100:700] + prose(333), long[:250] + "X" + long[251:]]
+    docs += [other, other, other[:199], other[:200] + prose(5), "ab" * 400, "z" * 1000, "z" * 230, prose(3) + other[150:]]
+    docs += [long[300:520] + other[20:230] + long[300:520], "", None, prose(199), prose(200)]
+    return list(enumerate(docs))
+
+
+def test_query(folder, spark):
+    docs = passages()
+    rows = repeats.op5_suffix_dedup(spark, folder("documents", docs, "doc_id long, text string")).collect()
+    got = {r["doc_id"]: r for r in rows}
+    texts = [(t or "").encode() for _, t in docs]
+    for (i, _), text, gone in zip(docs, texts, brute.repeats(texts)):
+        kept = bytes(b for b, g in zip(text, gone) if not g)
+        spans = sum(1 for a, b in zip(b"\x00" + gone, gone) if b and not a)
+        assert (got[i]["n_bytes"], got[i]["n_removed"], got[i]["n_spans"]) == (len(text), sum(gone), spans)
+        assert got[i]["kept_sha256"] == brute.sha(kept)
+
+
+def test_on_the_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    texts = [(r["text"] or "").encode() for r in docs]
+    want = {r["doc_id"]: sum(g) for r, g in zip(docs, brute.repeats(texts))}
+    got = {r["doc_id"]: r["n_removed"] for r in repeats.op5_suffix_dedup(spark, sf_dir).collect()}
+    assert got == want and sum(want.values())
+
+
+def test_parts_of_long_texts(folder, spark, monkeypatch):
+    """Windows at the border of two parts pick as they would inside one."""
+    whole = repeats.picked_places(b"abcabdabe" * 400, 20)
+    monkeypatch.setattr(repeats, "PART", 37)
+    parts = repeats.picked_places(b"abcabdabe" * 400, 20)
+
+    def per_window(rows):
+        return np.concatenate([np.full(last - first + 1, place) for place, first, last in rows])
+
+    assert (per_window(whole) == per_window(parts)).all()
+    rng = random.Random(9)
+    shared = "".join(rng.choice("abcd") for _ in range(500))
+    docs = [(i, "".join(rng.choice("abcd") for _ in range(300)) + shared[i * 13 :]) for i in range(12)]
+    found = repeats.found_repeats(spark.createDataFrame(docs, "doc_id long, text string"))
+    want = brute.repeats([t.encode() for _, t in docs])
+    for r in found.collect():
+        lists = [np.array(r[c] or [], dtype=np.int64) for c in ("alone", "open", "single")]
+        assert repeats.removed_bytes(r["text"].encode(), *lists).tolist() == [bool(x) for x in want[r["doc_id"]]]

@@ -43,6 +43,24 @@ def text_key(col: str = "text") -> Column:
     return F.xxhash64(content(col))
 
 
+def _field(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """Each row as one struct, `row`, beside doc_id and text_key: whatever the columns
+    are called, they meet no column of a join."""
+    return docs.select(
+        F.struct(*[_field(c) for c in docs.columns]).alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        text_key().alias("text_key"),
+    )
+
+
+def rows_again(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.select(*[F.col("row").getField(c).alias(c) for c in columns])
+
+
 def in_batches(
     df: DataFrame, rows: Callable[[pa.RecordBatch], dict], schema: str
 ) -> DataFrame:

@@ -30,7 +30,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltrail.llm.common import SPACES, content, in_batches, stored, table, text_key, utf8
+from voltrail.llm.common import (
+    SPACES,
+    content,
+    in_batches,
+    rows_again,
+    stored,
+    table,
+    text_key,
+    utf8,
+    whole_rows,
+)
 
 _STRIP = SPACES.encode()
 _DROP, _PENDING, _COUNT = 0, 1, 2
@@ -245,16 +255,12 @@ def kept_text(text: str, bitmap: bytes | None) -> str:
     return "\n".join(x for i, x in enumerate(lines) if i >= len(keep) or keep[i])
 
 
-def with_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """All columns of `docs`, and __dropped and __bitmap (null: nothing is dropped)."""
-    own = bitmaps.select(
-        F.col("doc_id").alias("__id"),
-        F.col("text_key").alias("__key"),
-        F.col("n_dropped").alias("__dropped"),
-        F.col("keep_bitmap").alias("__bitmap"),
-    )
-    same = docs["doc_id"].cast("long").eqNullSafe(own["__id"]) & (text_key() == own["__key"])
-    return docs.join(own, same, "left").drop("__id", "__key")
+def with_bitmaps(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """`rows` (doc_id, text_key and more) with n_dropped and keep_bitmap, null where
+    nothing is dropped."""
+    a, b = rows.alias("a"), bitmaps.alias("b")
+    same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.text_key") == F.col("b.text_key"))
+    return a.join(b, same, "left").select("a.*", "b.n_dropped", "b.keep_bitmap")
 
 
 def apply(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
@@ -267,39 +273,36 @@ def apply(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     def kept(text: pd.Series, bitmap: pd.Series) -> pd.Series:
         return pd.Series([kept_text(t, b) for t, b in zip(text, bitmap)], dtype=object)
 
-    joined = with_bitmaps(docs, bitmaps).withColumn("text", kept("text", "__bitmap"))
+    joined = with_bitmaps(whole_rows(docs), bitmaps)
+    joined = joined.withColumn("row", F.col("row").withField("text", kept("row.text", "keep_bitmap")))
     if "n_chars" in docs.columns:
-        kind = dict(docs.dtypes)["n_chars"]
-        joined = joined.withColumn(
-            "n_chars",
-            F.when(F.col("__bitmap").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind)),
-        )
-    return joined.select(*docs.columns)
+        shorter = F.char_length("row.text").cast(dict(docs.dtypes)["n_chars"])
+        n_chars = F.when(F.col("keep_bitmap").isNull(), F.col("row.n_chars")).otherwise(shorter)
+        joined = joined.withColumn("row", F.col("row").withField("n_chars", n_chars))
+    return rows_again(joined, docs.columns)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    joined = with_bitmaps(docs, keep_bitmaps(docs))
+    docs = table(spark, sf_dir, "documents")
+    rows_of = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key"), content().alias("text")
+    )
+    joined = with_bitmaps(rows_of, keep_bitmaps(docs))
 
     def rows(batch: pa.RecordBatch) -> dict:
         texts = batch.column("text").to_pylist()
         kept = [
             hashlib.sha256(kept_text(t, b).encode()).hexdigest()
-            for t, b in zip(texts, batch.column("__bitmap").to_pylist())
+            for t, b in zip(texts, batch.column("keep_bitmap").to_pylist())
         ]
         return {
             "doc_id": batch.column("doc_id"),
             "n_lines": [t.count("\n") + 1 for t in texts],
-            "n_dropped": batch.column("__dropped"),
+            "n_dropped": batch.column("n_dropped").fill_null(0),
             "kept_sha256": kept,
         }
 
-    picked = joined.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        content().alias("text"),
-        F.coalesce("__dropped", F.lit(0)).cast("long").alias("__dropped"),
-        "__bitmap",
-    )
+    picked = joined.select("doc_id", "text", "n_dropped", "keep_bitmap")
     return in_batches(picked, rows, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
 
 

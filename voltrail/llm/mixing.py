@@ -18,11 +18,12 @@ of their own, equal but for which of them is taken; an empty table gives no rows
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voltrail.llm.common import SPACES, SPACE_CLASS, content, stored, table, text_key
+from voltrail.llm.common import SPACES, SPACE_CLASS, content, rows_again, stored, table, text_key, whole_rows
 
 BINS = 1 << 16
 #: Up to so many sources the table of sources is broadcast; beyond, it is joined.
@@ -149,27 +150,20 @@ def mix(
 
 def apply(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The documents as often as they are taken, all columns as they were."""
-    own = mixed.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("source").alias("__source")).agg(
-        F.sum("copies").alias("__copies"), F.count("*").alias("__rows")
-    )
+    key = ["doc_id", "text_key", "source"]
+    a = whole_rows(docs).withColumn("source", F.col("row.source").cast("string")).alias("a")
+    b = mixed.groupBy(*key).agg(F.sum("copies").alias("copies"), F.count("*").alias("alike")).alias("b")
+    same = reduce(lambda x, y: x & y, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in key])
+    joined = a.join(b.where("copies > 0"), same).select("a.*", "b.copies", "b.alike")
     # Rows repeated in the input share what their copies add up to.
-    alike = Window.partitionBy("__id", "__key", "__source").orderBy(F.lit(0))
-    same = (
-        docs["doc_id"].cast("long").eqNullSafe(own["__id"])
-        & (text_key() == own["__key"])
-        & docs["source"].cast("string").eqNullSafe(own["__source"])
-    )
-    joined = docs.join(own.where("__copies > 0"), same)
-    single = joined.where("__rows = 1").withColumn("__n", F.col("__copies"))
-    several = joined.where("__rows > 1").withColumn("__at", F.row_number().over(alike)).withColumn(
-        "__n",
-        F.floor(F.col("__copies") / F.col("__rows"))
-        + (F.col("__at") <= F.col("__copies") % F.col("__rows")).cast("int"),
-    )
-    taken = single.unionByName(several.drop("__at")).where("__n > 0")
-    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int")))).select(
-        *docs.columns
-    )
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
+    more = (F.col("place") <= F.col("copies") % F.col("alike")).cast("int")
+    single = joined.where("alike = 1").withColumn("n", F.col("copies"))
+    several = joined.where("alike > 1").withColumn("place", place)
+    several = several.withColumn("n", F.floor(F.col("copies") / F.col("alike")) + more).drop("place")
+    taken = single.unionByName(several).where("n > 0")
+    each = taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+    return rows_again(each, docs.columns)
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -223,7 +223,7 @@ def found_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     keyed = docs.select(
         doc_id.alias("doc_id"),
         F.coalesce(doc_id, F.lit(0)).alias("id"),
-        F.xxhash64(doc_id.isNull(), content()).cast("int").alias("key"),
+        F.pmod(F.xxhash64(doc_id.isNull(), content()), F.lit(1 << 31)).cast("int").alias("key"),
         content().alias("text"),
     )
     long = keyed.where(F.octet_length("text") >= length)

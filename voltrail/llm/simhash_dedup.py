@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voltrail.llm.common import content, in_batches, stored, table, text_key, utf8
+from voltrail.llm.common import content, in_batches, rows_again, stored, table, text_key, utf8, whole_rows
 from voltrail.llm.components import components
 
 SEED = 42
@@ -162,12 +162,11 @@ def apply(docs: DataFrame, groups: DataFrame) -> DataFrame:
     best = groups.groupBy("component_id").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("best")
     )
-    own = best.select(F.col("best.doc_id").alias("__id"), F.col("best.text_key").alias("__key"))
-    same = docs["doc_id"].cast("long").eqNullSafe(own["__id"]) & (text_key() == own["__key"])
-    kept = docs.join(own, same).withColumn(
-        "__n", F.row_number().over(Window.partitionBy("__id", "__key").orderBy(F.lit(0)))
-    )
-    return kept.where("__n = 1").select(*docs.columns)
+    a, b = whole_rows(docs).alias("a"), best.select("best.*").alias("b")
+    same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.text_key") == F.col("b.text_key"))
+    alike = Window.partitionBy("doc_id", "text_key").orderBy(F.lit(0))
+    kept = a.join(b, same).select("a.*").withColumn("n", F.row_number().over(alike)).where("n = 1")
+    return rows_again(kept, docs.columns)
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
