@@ -85,7 +85,7 @@ def fingerprinted(rows: DataFrame, text: str, *, by: list[str], prefix: str = ""
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, fp0, fp1 of every row."""
     rows = keyed(docs)
-    prints = fingerprinted(rows.dropDuplicates(["id", "text_key"]), "text", by=["id", "text_key"])
+    prints = fingerprinted(rows, "text", by=["id", "text_key"])
     return rows.drop("text").join(prints, ["id", "text_key"]).select("doc_id", *WORDS)
 
 
@@ -174,30 +174,42 @@ def followers(keys: DataFrame) -> DataFrame:
 
 
 def edited(docs: DataFrame) -> DataFrame:
-    """Per row: the document, its edited text and the fingerprints of both and of the
-    next document. The second half of the text gives way to the next one's beginning."""
+    """Per document: its edited text and the fingerprints of the text and of the next
+    document's. The second half of the text gives way to the next one's beginning.
+
+    What is known of a document beside its text is small and stored. Whole texts are
+    shuffled once, by (id, text_key); the second use of them reuses that exchange and
+    sends only the beginnings that the documents before them need.
+    """
     key = ["id", "text_key"]
     rows = keyed(docs)
-    same = Window.partitionBy(*key)
-    once = rows.withColumn("copies", F.count("*").over(same)).withColumn(
-        "at", F.row_number().over(same.orderBy(F.lit(0)))
+    known = rows.select(
+        *key, F.col("doc_id").isNull().alias("no_id"), F.char_length("text").cast("long").alias("n")
     )
-    # The only time whole texts are shuffled; all that follows joins on this key.
-    once = once.where("at = 1").drop("at")
-    keys = rows.select("id", "text_key", F.col("doc_id").isNull().alias("no_id"), F.char_length("text").cast("long").alias("n")).distinct()
-    follows = stored(followers(keys), "document-followers")
-    prints = stored(fingerprinted(once, "text", by=key), "document-fingerprints")
-    parts = once.join(follows, key).join(prints, key)
-    parts = parts.select(
+    known = stored(known.groupBy(*key, "no_id", "n").agg(F.count("*").alias("copies")), "document-keys")
+    follows = followers(known.select(*key, "no_id", "n"))
+    # A repeated row votes as often in all: the same bits win.
+    prints = fingerprinted(rows, "text", by=key)
+    known = stored(known.join(follows, key).join(prints, key), "document-facts")
+    texts = rows.select(*key, "text").join(known, key)
+    first = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
+    once = texts.withColumn("at", first).where("at = 1")
+    beginnings = once.select(
         F.col("prev_id").alias("id"),
         F.col("prev_key").alias("text_key"),
         F.left("text", F.floor(F.col("prev_chars") / 2).cast("int")).alias("beginning"),
         *[F.col(w).alias(f"next_{w}") for w in WORDS],
     )
-    own = once.withColumn("n_chars", F.char_length("text").cast("long")).withColumn(
-        "head", F.left("text", (F.col("n_chars") - F.floor(F.col("n_chars") / 2)).cast("int"))
+    head = F.left("text", (F.col("n") - F.floor(F.col("n") / 2)).cast("int"))
+    own = once.select(
+        *key,
+        F.when(~F.col("no_id"), F.col("id")).alias("doc_id"),
+        "copies",
+        F.col("n").alias("n_chars"),
+        head.alias("head"),
+        *WORDS,
     )
-    return own.join(prints, key).join(parts, key).select(
+    return own.join(beginnings, key).select(
         *key,
         "doc_id",
         "copies",
