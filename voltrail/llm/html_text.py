@@ -43,6 +43,8 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""(class|id|role|style|aria-hidden|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+_TOKENS = re.compile(r"[a-z0-9]+")
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "audio", "video"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _BLOCK = set(
@@ -91,7 +93,7 @@ def _attributes(tag: str, raw: str, node: Node) -> None:
     for name, a, b, c in _ATTRIBUTE.findall(raw):
         value, name = a or b or c, name.lower()
         if name in ("class", "id", "role"):
-            words = {w.lower() for w in _WORDS.findall(value)}
+            words = {w.lower() for w in _WORDS.findall(value)} | set(_TOKENS.findall(value.lower()))
             if tag not in ("html", "body", "main"):  # they speak of the whole page
                 node.furniture += len(words & _FURNITURE_WORDS)
             node.main += len(words & _MAIN_WORDS)
@@ -188,7 +190,7 @@ def features(nodes: list[Node]) -> tuple[np.ndarray, np.ndarray]:
     """Feature rows, and self-told labels (1 article, 0 furniture, -1 none)."""
     n = len(nodes)
     totals = np.array(
-        [(x.text, x.links, x.words, x.marks, x.digits, x.blocks) for x in nodes], dtype=float
+        [(x.text, x.links, x.words, x.marks, x.digits, x.blocks, x.tag in _HEADINGS) for x in nodes], dtype=float
     )
     own = totals[:, 0].copy()
     parents = [x.parent for x in nodes]
@@ -199,10 +201,11 @@ def features(nodes: list[Node]) -> tuple[np.ndarray, np.ndarray]:
     has_main = any(x.tag in _MAIN_TAGS or x.main for x in nodes)
     above = np.zeros((n, 3))  # furniture tag, furniture words, main
     for i, node in enumerate(nodes):
-        text, links, words, marks, digits, blocks = totals[i]
+        text, links, words, marks, digits, blocks, headings = totals[i]
         tag = node.tag
         up = above[node.parent] if i else np.zeros(3)
-        page_header = tag == "header" and not up[2]
+        # A header inside an article is the article's if it has a heading.
+        page_header = tag == "header" and not (up[2] and headings)
         furniture = tag in _FURNITURE_TAGS or page_header
         main = tag in _MAIN_TAGS or node.main > 0
         above[i] = (max(up[0], furniture), max(up[1], node.furniture > 0), max(up[2], main))
@@ -224,7 +227,7 @@ def features(nodes: list[Node]) -> tuple[np.ndarray, np.ndarray]:
             has_main,
             node.depth,
             tag == "p",
-            tag in ("h1", "h2", "h3", "h4", "h5", "h6"),
+            tag in _HEADINGS,
             tag in ("ul", "ol", "dl", "li", "dd", "dt"),
             tag in ("table", "tbody", "thead", "tr", "td", "th"),
             tag in ("div", "section"),

@@ -183,15 +183,11 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     none = F.array().cast("array<struct<start:bigint,place:int,kind:string,end:bigint>>")
     joined = joined.withColumn("found", F.coalesce("found", none))
     joined = joined.withColumn("base", F.filter("found", lambda s: s["place"] < 3))
-    return joined.select(
-        "doc_id",
-        *[
-            F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-            for kind in ("assign", "access", "hex")
-        ],
-        "base",
-        "found",
-    )
+
+    def counted(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return joined.select("doc_id", *[counted(k) for k in ("assign", "access", "hex")], "base", "found")
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
