@@ -58,7 +58,7 @@ def _doc_id() -> Column:
 
 
 def _texts(members: DataFrame) -> DataFrame:
-    return archives.read_members(members).select(
+    return archives.read_whole(members).select(
         _doc_id(), F.col("data").cast("string").alias("text")
     )
 
@@ -203,7 +203,7 @@ def archive_pack_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = F.concat(F.lit(folder + "/"), volume_name())
     write_files(packed, target, F.col("content")).write.format("noop").mode("overwrite").save()
     members = archives.list_members(archives.read_archives(spark, folder))
-    return archives.read_members(members).select(
+    return archives.read_whole(members).select(
         F.regexp_extract("member", "^(\\d+)", 1).cast("bigint").alias("page_id"),
         F.col("data").cast("string").alias("html"),
     )
@@ -237,8 +237,8 @@ def single_member_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
             .option("maxRecordsPerFile", 10_000)
             .json(f"{folder}/{codec}")
         )
-    listed = archives.list_members(archives.read_archives(spark, folder, "part-*"))
-    lines = archives.read_members(listed).select(
+    listed = archives.list_members(archives.read_archives(spark, folder, "part-*"), measure=False)
+    lines = archives.read_whole(listed).select(
         "kind", F.explode(F.split(F.col("data").cast("string"), "\n")).alias("line")
     )
     parsed = F.from_json("line", customer.schema).alias("c")

@@ -19,12 +19,6 @@ def content_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return protect.with_digests(docs, "text", ["md5", "sha1", "sha256"]).drop("text")
 
 
-def content_digests_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The digests DuckDB has no function for."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return protect.with_digests(docs, "text", ["sha224", "sha384", "sha512"]).drop("text")
-
-
 def aes_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two columns encrypted and decrypted in each mode."""
     customer = table(spark, sf_dir, "customer")
@@ -39,7 +33,6 @@ def aes_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "content_digests": content_digests,
-    "content_digests_wide": content_digests_wide,
     "aes_roundtrip": aes_roundtrip,
 }
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -116,7 +117,7 @@ def refreshed_summary_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ingest job run twice over the same landing folder."""
     landing = new_workdir(spark, "landing")
-    raw_telemetry(spark, sf_dir).repartition(8).write.parquet(landing)
+    raw_telemetry(spark, sf_dir).write.option("maxRecordsPerFile", 2_000).parquet(landing)
     name = f"{fresh_namespace(spark)}.canbus01"
     runs = [
         jobs.ingest(spark, landing, name, "load-1", NTZ).withColumn("run", F.lit(i))
@@ -130,12 +131,42 @@ def ingest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 EXPORTED = ("copy", "snappy", "lz4", "deflate", "zstd", "bzip2")
 
 
+def _repeated_load(spark: SparkSession, sf_dir: str) -> str:
+    """All days under one load id with their summaries, then the same load with part of
+    them; returns the namespace."""
+    namespace = fresh_namespace(spark)
+    landing = new_workdir(spark, "landing")
+    raw = raw_telemetry(spark, sf_dir)
+    for rows in (raw, raw.where(F.col("ts") < F.lit("2024-01-12 06:00:00").cast(NTZ))):
+        rows.write.mode("overwrite").parquet(landing)
+        jobs.ingest_and_summarize(spark, landing, namespace, "same", NTZ)
+    return namespace
+
+
+def repeated_load_shrinks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(spark, f"{_repeated_load(spark, sf_dir)}.canbus01")
+
+
+def repeated_load_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.read_summary(spark, _repeated_load(spark, sf_dir), summaries.DAILY)
+
+
+def repeated_load_charging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.read_summary(spark, _repeated_load(spark, sf_dir), summaries.CHARGING)
+
+
+def repeated_load_driving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jobs.read_summary(spark, _repeated_load(spark, sf_dir), summaries.DRIVING)
+
+
 def compressed_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
+    # One file of rows is one task: spread them before they are compressed.
+    orders = table(spark, sf_dir, "orders").repartition(spark.sparkContext.defaultParallelism)
     folder = new_workdir(spark, "export")
+    with ThreadPoolExecutor(len(EXPORTED)) as pool:
+        list(pool.map(lambda c: writes.export_compressed(orders, f"{folder}/{c}", c), EXPORTED))
     parts = []
     for codec in EXPORTED:
-        writes.export_compressed(orders, f"{folder}/{codec}", codec)
         back = writes.read_export(spark, f"{folder}/{codec}", codec, orders.schema)
         parts.append(back.withColumn("codec", F.lit(codec)))
     return reduce(DataFrame.unionByName, parts)
@@ -158,11 +189,16 @@ QUERIES = {
     "refreshed_driving_modes": refreshed_driving_modes,
     "refreshed_summary_days": refreshed_summary_days,
     "ingest_job": ingest_job,
+    "repeated_load_shrinks": repeated_load_shrinks,
+    "repeated_load_daily": repeated_load_daily,
+    "repeated_load_charging": repeated_load_charging,
+    "repeated_load_driving": repeated_load_driving,
     "compressed_export_roundtrip": compressed_export_roundtrip,
     "split_export_roundtrip": split_export_roundtrip,
 }
 
 _CLEAN = TELEMETRY_SQL["clean_telemetry"]
+_EARLY = "ts < TIMESTAMP '2024-01-12 06:00:00'"
 
 SQL = {
     "append_by_name": f"""{WITH_CLEANED}
@@ -191,6 +227,15 @@ UNION ALL SELECT 'driving_mode_analysis', 8, (SELECT n FROM days), COUNT(*) FROM
 SELECT CAST(1 AS INT) AS run, 'load-1' AS load_id, CAST(0 AS BIGINT) AS rows_before, n AS rows_read,
        n AS rows_written, CAST(0 AS BIGINT) AS null_keys, n AS rows_after FROM n
 UNION ALL SELECT 2, 'load-1', n, n, n, 0, n FROM n""",
+    "repeated_load_shrinks": f"{_CLEAN} WHERE {_EARLY}",
+    **{
+        name: f"{WITH_CLEANED}, part AS (SELECT * FROM cleaned WHERE {_EARLY}) {body.format(source='part')}"
+        for name, body in (
+            ("repeated_load_daily", DAILY_BODY),
+            ("repeated_load_charging", CHARGING_BODY),
+            ("repeated_load_driving", DRIVING_BODY),
+        )
+    },
     "compressed_export_roundtrip": " UNION ALL ".join(
         f"SELECT *, '{c}' AS codec FROM orders" for c in EXPORTED
     ),

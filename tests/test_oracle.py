@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from acceptance import registry
 from oracle import compare, connect
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.queries()
+SQL = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,17 +16,18 @@ def con(sf_dir):
         yield connection
 
 
-def test_every_sql_has_a_query():
-    assert set(SQL) <= set(QUERIES)
+def test_each_query_has_its_sql():
+    assert set(SQL) == set(QUERIES)
+
+
+def test_the_entry_registers_all_of_them():
+    assert QUERIES.items() <= entry.queries().items()
+    assert SQL.items() <= entry.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, sf_dir, name):
-    df = QUERIES[name](spark, sf_dir)
-    if name in SQL:
-        assert compare(df, con, SQL[name]) > 0
-    else:
-        assert df.count() > 0
+    assert compare(QUERIES[name](spark, sf_dir), con, SQL[name]) > 0
 
 
 def test_entry(spark):

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltrail import contract
+from voltrail.operators import summaries
 
 
 def key_audit(cleaned: DataFrame) -> DataFrame:
@@ -40,6 +41,15 @@ def table_stats(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def summary_stats(rollup: DataFrame) -> DataFrame:
+    """Rows each summary table has, from one pass over `summaries.mode_rollup`."""
+    per_day = rollup.groupBy("vin_id", "date").agg(F.count("*").alias("modes"))
+    counts = per_day.agg(F.count("*").alias("days"), F.coalesce(F.sum("modes"), F.lit(0)).alias("modes"))
+    named = [(summaries.DAILY, "days"), (summaries.CHARGING, "days"), (summaries.DRIVING, "modes")]
+    rows = F.array(*[F.struct(F.lit(n).alias("table_name"), F.col(c).alias("row_count")) for n, c in named])
+    return counts.select(F.inline(rows))
+
+
 def preview(df: DataFrame, keys: list[str], n: int) -> DataFrame:
     """The first `n` rows by `keys`; tasks keep `n` rows each."""
     return df.orderBy(*keys).limit(n)

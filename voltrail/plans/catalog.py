@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +29,23 @@ def list_partitions(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {table}")
 
 
+# Fixed value: how file tables write a NULL partition value.
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_values(
+    spark: SparkSession, table: str, where: dict[str, str] | None = None
+) -> list[dict[str, str | None]]:
+    """Values of the table's partitions as the catalog has them; no file is opened.
+
+    `where` picks by exact values, before the rows leave the listing.
+    """
+    spec = ", ".join("`%s`='%s'" % (k, v.replace("\\", "\\\\").replace("'", "\\'")) for k, v in (where or {}).items())
+    rows = spark.sql(f"SHOW PARTITIONS {table}" + (f" PARTITION ({spec})" if spec else "")).collect()
+    parsed = [dict(part.split("=", 1) for part in r["partition"].split("/")) for r in rows]
+    return [{k: None if v == _NULL_PARTITION else unquote(v) for k, v in p.items()} for p in parsed]
+
+
 def describe(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"DESCRIBE TABLE {table}")
 

@@ -79,8 +79,25 @@ def replace_partitions(df: DataFrame, table: str) -> None:
     spark.sql(f"INSERT OVERWRITE TABLE {table} BY NAME SELECT * FROM {{rows}}", rows=df)
 
 
+def _literal(value: str | None) -> str:
+    return "null" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def drop_partitions(spark: SparkSession, table: str, partitions: list[dict[str, str | None]]) -> None:
+    """Drops these partitions, all in one statement."""
+    if partitions:
+        specs = ", ".join(
+            "PARTITION (" + ", ".join(f"`{k}`={_literal(v)}" for k, v in p.items()) + ")" for p in partitions
+        )
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+
+
 def load_telemetry(cleaned: DataFrame, table: str, load_id: str, gather_days: bool = True) -> None:
-    """Writes cleaned rows as load `load_id`; the same load again replaces itself.
+    """Writes cleaned rows as load `load_id`; the same load again replaces itself, days
+    that it no longer has rows for included.
+
+    Which days a load held before is in the catalog. Only where it held any, so for a
+    repeat, the days of the new rows are read as well.
 
     `gather_days` brings rows of a day together before the write; a day larger
     than Spark's advisory partition size is spread over several tasks. Leave it
@@ -100,7 +117,16 @@ def load_telemetry(cleaned: DataFrame, table: str, load_id: str, gather_days: bo
     if gather_days:
         rows = rows.hint("rebalance", day)
     key = primary_key(F.col("vin_id"), F.col("ts"))
-    replace_partitions(rows.withColumns({contract.KEY: key, contract.LOAD: F.lit(load_id)}), table)
+    whole = rows.withColumns({contract.KEY: key, contract.LOAD: F.lit(load_id)})
+    if not _is_file_table(spark, table):
+        whole.writeTo(table).overwrite(F.col(contract.LOAD) == load_id)
+        return
+    held = catalog.partition_values(spark, table, {contract.LOAD: load_id})
+    replace_partitions(whole, table)
+    if held:
+        # One row per day.
+        now = {r[0] for r in cleaned.select(F.to_date("ts").cast("string")).distinct().collect()}
+        drop_partitions(spark, table, [p for p in held if p[contract.DAY] not in now])
 
 
 def _columns(df: DataFrame) -> dict[str, T.DataType]:
@@ -112,18 +138,20 @@ def create_table_as(
 ) -> None:
     """Full refresh of a table partitioned by one column.
 
-    For an existing table of the same columns the new rows are first completed in
-    the shared folder. Then they replace the partitions, and partitions without
-    new rows are dropped; until then the old rows stay.
+    The new rows are first completed in the shared folder; until then the old table
+    stays as it is. If the columns are the same, the rows replace the partitions, and
+    partitions without new rows are dropped; else the table is made anew from them.
     """
     spark = df.sparkSession
-    fits = catalog.table_exists(spark, table) and _columns(spark.table(table)) == _columns(df)
+    exists = catalog.table_exists(spark, table)
+    fits = exists and _columns(spark.table(table)) == _columns(df)
     if fits and not _is_file_table(spark, table):
         df.hint("rebalance", partition_by).writeTo(table).overwrite(F.lit(True))
         return
-    if not fits or not _overwrites_dynamically(spark, table):
+
+    def make(rows: DataFrame) -> None:
         (
-            df.hint("rebalance", partition_by)
+            rows.hint("rebalance", partition_by)
             .write.format(provider)
             .mode("overwrite")
             .option("compression", compression)
@@ -131,15 +159,31 @@ def create_table_as(
             .partitionBy(partition_by)
             .saveAsTable(table)
         )
+
+    if not exists:
+        make(df)
         return
     with stored(df, "refresh") as rows:
+        if not fits or not _overwrites_dynamically(spark, table):
+            make(rows)
+            return
         replace_partitions(rows.hint("rebalance", partition_by), table)
-        held = spark.table(table).select(partition_by).distinct()
-        kept = rows.select(F.col(partition_by).alias("kept")).distinct()
-        stale = held.join(kept, F.col(partition_by).eqNullSafe(F.col("kept")), "left_anti").collect()
-    for (value,) in stale:
-        literal = "null" if value is None else f"'{value}'"
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_by}={literal})")
+        now = {r[0] for r in rows.select(F.col(partition_by).cast("string")).distinct().collect()}
+        held = catalog.partition_values(spark, table)
+        drop_partitions(spark, table, [p for p in held if p[partition_by] not in now])
+
+
+def replace_days(df: DataFrame, table: str, days: set, column: str = "date") -> None:
+    """Replaces the partitions of these days; those that `df` has no rows for go."""
+    spark = df.sparkSession
+    if not _is_file_table(spark, table):
+        on_day = F.col(column).isin([d for d in days if d is not None])
+        df.writeTo(table).overwrite(on_day | F.col(column).isNull() if None in days else on_day)
+        return
+    now = {r[0] for r in df.select(column).distinct().collect()}
+    replace_partitions(df.hint("rebalance", column), table)
+    gone = {None if d is None else str(d) for d in days - now}
+    drop_partitions(spark, table, [{column: d} for d in sorted(gone, key=str)])
 
 
 # Archive codec names and the file format and codec that carry them.

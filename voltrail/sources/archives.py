@@ -30,11 +30,12 @@ from voltrail.sources import storage
 
 CHUNK_BYTES = 32 << 20
 SLICE_BYTES = 128 << 20
+# The largest member that is read as one value.
+WHOLE_BYTES = (1 << 31) - (1 << 16)
 _BATCH_BYTES = 32 << 20
 _BATCH_ROWS = 4096
 _TASK_BYTES = 32 << 20
 _TASK_FILES = 16
-_MAX_TASKS = 50_000
 
 INVENTORY = (
     "path string, archive_bytes bigint, archive_modified timestamp, kind string, position int, "
@@ -129,6 +130,8 @@ def join_volumes(archives: DataFrame) -> DataFrame:
     )
     whole = (F.col("first.n") == 1) & (F.col("last.n") == F.col("volumes"))
     joined = F.format_string("%s.{%s..%s}", "base", "first.volume", "last.volume")
+    # As for locate_archives: a small shuffle before file work.
+    sets = sets.repartition(task_count(archives.sparkSession), "base")
     return sets.select(
         F.coalesce("single", joined).alias("path"),
         "modificationTime",
@@ -155,6 +158,8 @@ def locate_archives(keys: DataFrame, root: str, key: str = "key") -> DataFrame:
             )
 
     paths = keys.select(F.concat(F.lit(root.rstrip("/") + "/"), F.col(key)).alias("path")).distinct()
+    # Few bytes that stand for much work: left alone they would end up in one task.
+    paths = paths.repartition(task_count(keys.sparkSession), "path")
     return paths.mapInArrow(look_up, found).select(
         "path", F.timestamp_micros("modified_micros").alias("modificationTime"), "length"
     )
@@ -163,8 +168,7 @@ def locate_archives(keys: DataFrame, root: str, key: str = "key") -> DataFrame:
 def partition_count(archives: DataFrame) -> int:
     """Tasks to read these archives with, from a small job over their sizes."""
     total = archives.agg(F.sum("length").alias("bytes"), F.count("*").alias("files")).first()
-    wanted = max((total["bytes"] or 0) // _TASK_BYTES, total["files"] // _TASK_FILES)
-    return int(min(max(wanted, 1), _MAX_TASKS))
+    return int(max((total["bytes"] or 0) // _TASK_BYTES, total["files"] // _TASK_FILES, 1))
 
 
 def _kind(head: bytes) -> str:
@@ -330,8 +334,10 @@ def quarantine_of(listed: DataFrame) -> DataFrame:
     return listed.where(F.col("error").isNotNull()).select("path", "member", "error")
 
 
-def list_members(archives: DataFrame, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    return members_of(inventory(archives, slice_bytes))
+def list_members(
+    archives: DataFrame, slice_bytes: int = SLICE_BYTES, measure: bool = True
+) -> DataFrame:
+    return members_of(inventory(archives, slice_bytes, measure))
 
 
 def summarize(listed: DataFrame) -> DataFrame:
@@ -489,6 +495,22 @@ def read_members(
     return read_inventory(data_members(members), partitions, chunk_bytes)
 
 
+def read_whole(members: DataFrame, partitions: int | None = None) -> DataFrame:
+    """As `read_members`, each member in one row, for data that may not be cut anywhere.
+
+    What does not fit one value (2 GB) ends in `read_error`; read such members in
+    chunks, or land them and let Spark's readers split the files.
+    """
+    read = read_members(members, partitions, WHOLE_BYTES)
+    cut = F.col("uncompressed_size") > WHOLE_BYTES
+    return read.where(F.col("chunk").isNull() | (F.col("chunk") == 0)).withColumns(
+        {
+            "data": F.when(~F.coalesce(cut, F.lit(False)), F.col("data")),
+            "read_error": F.when(cut, F.lit("larger than one value")).otherwise(F.col("read_error")),
+        }
+    )
+
+
 def read_inventory(
     listed: DataFrame, partitions: int | None = None, chunk_bytes: int = CHUNK_BYTES
 ) -> DataFrame:
