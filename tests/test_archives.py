@@ -404,3 +404,24 @@ def test_empty_file_is_one_volume(spark):
     files = spark.createDataFrame([("x", b""), ("y", b"ab"), ("z", b"abc")], "target string, content binary")
     got = {r["target"]: bytes(r["content"]) for r in split_volumes(files, 2).collect()}
     assert got == {"x.0001": b"", "y.0001": b"ab", "z.0001": b"ab", "z.0002": b"c"}
+
+
+def test_members_are_whole_where_asked(spark, tmp_path):
+    zip_file(tmp_path / "a.zip", [("é.txt", "é".encode() * 1000), ("b", b"")])
+    members = archives.list_members(read(spark, tmp_path))
+    assert archives.read_members(members, chunk_bytes=7).count() > 200
+    whole = {r["member"]: r["data"].decode() for r in archives.read_whole(members).collect()}
+    assert whole == {"é.txt": "é" * 1000, "b": ""}
+
+
+def test_a_name_that_looks_like_a_volume(spark, tmp_path):
+    for name in ("drive.2024", "set.0002", "set.0003"):
+        zip_file(tmp_path / name, [("n", b"1")])
+    found = archives.join_volumes(read(spark, tmp_path))
+    assert archives.list_members(found).count() == 3
+
+
+def test_many_keys_are_looked_up_by_many_tasks(spark):
+    keys = spark.range(20_000).selectExpr("concat(id, '.zip') AS key")
+    found = archives.locate_archives(keys, "file:/nowhere").withColumn("task", F.spark_partition_id())
+    assert found.select("task").distinct().count() > 1

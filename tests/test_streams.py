@@ -194,3 +194,25 @@ def test_stream_of_wider_types_is_narrowed(spark, namespace, tmp_path):
         spark, landing, name, str(tmp_path / "c"), ts_type=NTZ, schema=telemetry.file_schema(spark, landing)
     ).awaitTermination()
     assert snapshot(telemetry.scan(spark, name)) == snapshot(clean(raw(spark, 0, 20)))
+
+
+def test_odd_targets_do_not_stop_the_stream(spark, tmp_path):
+    """Equal targets, a file that is a folder too, and names that are too long."""
+    from test_archives import zip_file
+
+    from voltrail.streaming.unpack import unpack_to_files
+
+    source, target = tmp_path / "raw", tmp_path / "processed"
+    source.mkdir()
+    names = ["a.txt", "a.txt", "a.txt_0", "b/./c", "b/c", "d", "d/e", "x" * 240]
+    zip_file(source / "odd.zip", [(n, str(i).encode()) for i, n in enumerate(names)])
+    for _ in range(2):
+        unpack_to_files(
+            spark, str(source), str(target), str(tmp_path / "m"), str(tmp_path / "c"), glob="*.zip"
+        ).awaitTermination()
+    rows = {r["position"]: r["status"] for r in spark.read.parquet(str(tmp_path / "m")).collect()}
+    assert rows == {
+        0: "landed", 1: "replaced", 2: "landed", 3: "replaced", 4: "landed", 5: "rejected", 6: "landed", 7: "rejected",
+    }
+    files = {str(p.relative_to(target / "odd.zip")): p.read_bytes() for p in target.rglob("*") if p.is_file()}
+    assert files == {"a.txt": b"0", "a.txt_0": b"2", "b/c": b"4", "d/e": b"6"}

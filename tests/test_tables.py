@@ -297,3 +297,56 @@ def test_files_without_a_mandatory_column_stop_the_job(spark, namespace, tmp_pat
     with pytest.raises(contract.ContractError, match="vin_id"):
         jobs.ingest(spark, landing, f"{namespace}.canbus01", "one", NTZ)
     assert spark.table(f"{namespace}.canbus01").count() == 0
+
+
+def test_a_repeat_with_fewer_days_drops_the_others(spark, namespace):
+    name = made(spark, namespace, load="it's one")
+    made(spark, namespace, load="two")
+    made(spark, namespace, clean(rows(spark, n=10, days=1)), load="it's one")
+    left = {(r["load_id"], r["n"]) for r in spark.table(name).groupBy("load_id").agg(F.count("*").alias("n")).collect()}
+    assert left == {("it's one", 10), ("two", 1000)}
+    assert jobs.loaded_days(spark, name, "it's one") == [dt.date(2024, 3, 1)]
+
+
+def test_emptied_days_leave_the_summaries(spark, namespace):
+    name = made(spark, namespace)
+    jobs.refresh_summaries(spark, name, namespace)
+    made(spark, namespace, clean(rows(spark, n=20, days=2)))
+    jobs.refresh_summary_days(spark, name, namespace, [dt.date(2024, 3, 1) + dt.timedelta(days=i) for i in range(5)])
+    for summary, build in summaries.SUMMARIES.items():
+        want = snapshot(summaries.ordered(build(telemetry.scan(spark, name))))
+        assert snapshot(jobs.read_summary(spark, namespace, summary)) == want
+
+
+def test_a_failing_refresh_with_new_columns_leaves_the_table(spark, namespace):
+    name = f"{namespace}.by_day"
+    df = rows(spark).withColumn("day", F.to_date("ts"))
+    writes.create_table_as(df, name, "day")
+    before = snapshot(spark.table(name))
+    broken = df.withColumn("more", F.raise_error(F.lit("stop")).cast("string"))
+    with pytest.raises(Exception, match="stop"):
+        writes.create_table_as(broken, name, "day")
+    assert snapshot(catalog.fresh_table(spark, name)) == before
+    writes.create_table_as(df.withColumn("more", F.lit("x")), name, "day")
+    assert "more" in catalog.fresh_table(spark, name).columns
+
+
+def test_odd_partition_values(spark, namespace):
+    name = f"{namespace}.odd"
+    values = ["a/b", "it's", "x=y", "%41", "back\\slash", None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "n int, kind string")
+    writes.create_table_as(df, name, "kind")
+    assert {p["kind"] for p in catalog.partition_values(spark, name)} == set(values)
+    writes.create_table_as(df.where("n = 2"), name, "kind")
+    assert [r["kind"] for r in catalog.fresh_table(spark, name).collect()] == ["x=y"]
+
+
+def test_command_line(spark, namespace, tmp_path, capsys):
+    from voltrail.__main__ import main
+
+    rows(spark).write.parquet(str(tmp_path / "in"))
+    main([str(tmp_path / "in"), namespace, "--load-id", "cli"])
+    assert "cli" in capsys.readouterr().out
+    assert jobs.read_summary(spark, namespace, summaries.DAILY).count() > 0
+    with pytest.raises(SystemExit):
+        main([str(tmp_path / "in"), namespace])

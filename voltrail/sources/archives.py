@@ -20,7 +20,7 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -111,13 +111,15 @@ def stream_archives(
 def join_volumes(archives: DataFrame) -> DataFrame:
     """Archives kept as volumes `name.0001`, `name.0002`, …, one row per set.
 
-    Files without a volume number stay as they are. A set with a gap, or one that
-    does not begin at volume 1, gets no length and is reported as not there.
+    Files without a volume number stay as they are, and so do those of a set that does
+    not begin at volume 1 (`drive.2024` is a name of its own). A set with a gap gets no
+    length and is reported as not there.
     """
     number = F.regexp_extract("path", "\\.(\\d{4,})$", 1)
-    parts = archives.withColumn("volume", number).withColumn(
-        "base", F.regexp_replace("path", "\\.\\d{4,}$", "")
-    )
+    base = F.regexp_replace("path", "\\.\\d{4,}$", "")
+    parts = archives.withColumn("number", number).withColumn("base", base)
+    least = F.min(F.col("number").try_cast("bigint")).over(Window.partitionBy("base"))
+    parts = parts.withColumn("volume", F.when(least == 1, F.col("number")).otherwise(""))
     sets = (
         parts.groupBy("base", F.when(F.col("volume") == "", F.col("path")).alias("single"))
         .agg(
@@ -128,7 +130,7 @@ def join_volumes(archives: DataFrame) -> DataFrame:
             F.max(F.struct(F.col("volume").try_cast("bigint").alias("n"), "volume")).alias("last"),
         )
     )
-    whole = (F.col("first.n") == 1) & (F.col("last.n") == F.col("volumes"))
+    whole = F.col("last.n") == F.col("volumes")
     joined = F.format_string("%s.{%s..%s}", "base", "first.volume", "last.volume")
     # As for locate_archives: a small shuffle before file work.
     sets = sets.repartition(task_count(archives.sparkSession), "base")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,11 +12,17 @@ from voltrail.sources import archives
 from voltrail.streaming import FILES_PER_BATCH, stream_id
 
 
+REPLACED = "a later member has the same target"
+# File names have 255 bytes; a file being written has a longer name for a while.
+NAME_BYTES = 255 - 40
+
+
 def _status() -> Column:
     return (
         F.when(F.col("error").isNotNull(), "unreadable")
         .when(F.col("position").isNull(), "empty")
         .when(F.col("is_directory"), "directory")
+        .when(F.col("problem") == REPLACED, "replaced")
         .when(F.col("target").isNull(), "rejected")
         .when(F.col("read_error").isNotNull(), "damaged")
         .otherwise("landed")
@@ -30,12 +36,42 @@ def _manifest(landed: DataFrame) -> DataFrame:
         "member",
         "target",
         _status().alias("status"),
-        F.coalesce("error", "read_error").alias("error"),
+        F.coalesce("error", "read_error", F.nullif("problem", F.lit(REPLACED))).alias("error"),
         F.col("bytes_read").alias("bytes"),
         F.col("data_crc32").alias("crc32"),
     )
 
 
+def settled_targets(members: DataFrame) -> DataFrame:
+    """Adds `problem`, and takes the `target` from members that cannot be landed.
+
+    Of several members with one target the last of the archive stays, the others are
+    replaced. A target that other members need as a folder, or whose name is longer than
+    file systems take with the writer's suffix, is refused: told from names alone, before
+    any file is touched.
+    """
+    name = F.element_at(F.split("target", "/"), -1)
+    steps = F.split(F.regexp_replace("target", "^[a-z0-9]+:/+", "/"), "/")
+    folders = members.where(F.col("target").isNotNull()).select(
+        F.explode(
+            F.transform(F.sequence(F.lit(1), F.size(steps) - 1), lambda n: F.array_join(F.slice(steps, 1, n), "/"))
+        ).alias("folder")
+    )
+    clear = F.regexp_replace("target", "^[a-z0-9]+:/+", "/")
+    last = Window.partitionBy("target").orderBy(F.desc("position"), F.desc("path"))
+    placed = (
+        members.withColumn("place", F.when(F.col("target").isNotNull(), F.row_number().over(last)))
+        .join(folders.distinct(), clear == F.col("folder"), "left")
+        .withColumn(
+            "problem",
+            F.when(F.col("folder").isNotNull(), "other members need this name as a folder")
+            .when(F.octet_length(name) > NAME_BYTES, "name too long")
+            .when(F.col("place") > 1, REPLACED),
+        )
+    )
+    return placed.withColumn("target", F.when(F.col("problem").isNull(), F.col("target"))).drop("place", "folder")
+
+
 def land_archives(archive_files: DataFrame, source: str, target: str) -> DataFrame:
     """Members as files below `target`, in a folder per archive; returns the manifest.
 
@@ -55,11 +91,8 @@ def land_archives(archive_files: DataFrame, source: str, target: str) -> DataFra
     target_file = F.when(
         is_data & (F.length(relative) > 0), F.concat(F.lit(root + "/"), folder, F.lit("/"), relative)
     )
-    return _manifest(
-        archives.land_members(
-            listed.withColumn("target", target_file), archives.partition_count(archive_files)
-        )
-    )
+    rows = settled_targets(listed.withColumn("target", target_file))
+    return _manifest(archives.land_members(rows, archives.partition_count(archive_files)))
 
 
 def land_archives_flat(archive_files: DataFrame, target: str) -> DataFrame:
@@ -73,7 +106,7 @@ def land_archives_flat(archive_files: DataFrame, target: str) -> DataFrame:
         ),
     )
     unread = listed.where(F.col("position").isNull())
-    rows = winners.drop("base_name").unionByName(unread, allowMissingColumns=True)
+    rows = settled_targets(winners.drop("base_name").unionByName(unread, allowMissingColumns=True))
     return _manifest(archives.land_members(rows, archives.partition_count(archive_files)))
 
 
