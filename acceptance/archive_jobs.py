@@ -25,9 +25,10 @@ def written_archives(
     member: str = _MEMBER,
     method: str = "DEFLATE",
     content: Column | None = None,
+    below: str = "",
 ) -> str:
     """Packs the documents and writes the ZIP files; returns their folder."""
-    folder = new_workdir(spark, "raw")
+    folder = new_workdir(spark, "raw") + below
     packed = pack(
         table(spark, sf_dir, "documents"),
         F.expr(_ARCHIVE),

@@ -342,11 +342,42 @@ def test_odd_partition_values(spark, namespace):
 
 
 def test_command_line(spark, namespace, tmp_path, capsys):
+    from test_archives import zip_file
+
     from voltrail.__main__ import main
 
-    rows(spark).write.parquet(str(tmp_path / "in"))
-    main([str(tmp_path / "in"), namespace, "--load-id", "cli"])
+    rows(spark).withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(str(tmp_path / "in"))
+    main(["load", str(tmp_path / "in"), namespace, "--load-id", "cli"])
     assert "cli" in capsys.readouterr().out
-    assert jobs.read_summary(spark, namespace, summaries.DAILY).count() > 0
+    want = snapshot(jobs.read_summary(spark, namespace, summaries.DAILY))
+    spark.sql(f"DROP TABLE {namespace}.{summaries.DAILY}")
+    main(["summaries", namespace])
+    assert snapshot(jobs.read_summary(spark, namespace, summaries.DAILY)) == want
+    main(["days", namespace, "2024-03-01", "2024-03-02"])
+    assert snapshot(jobs.read_summary(spark, namespace, summaries.DAILY)) == want and want
+    main(["stream-load", str(tmp_path / "in"), namespace, str(tmp_path / "c1")])
+    assert spark.table(f"{namespace}.canbus01").count() == 2000
+
+    (tmp_path / "raw").mkdir()
+    zip_file(tmp_path / "raw" / "a.zip", [("x", b"1"), ("y", b"2")])
+    body = '{"Records":[{"s3":{"object":{"key":"raw/a.zip"}}},{"s3":{"object":{"key":"raw/gone.zip"}}}]}'
+    sent = spark.createDataFrame([(body,), (body,), ("no json",)], "body string")
+    sent.write.json(str(tmp_path / "sent"))
+    for _ in range(2):
+        args = [str(tmp_path / n) for n in ("sent", "", "out", "m")]
+        main(["unpack", *args, "--run-id", "r/1"])
+    members = spark.read.parquet(str(tmp_path / "m/members"))
+    assert sorted((r["member"] or "", r["status"]) for r in members.collect()) == [
+        ("", "unreadable"), ("x", "landed"), ("y", "landed"),
+    ]
+    assert spark.read.parquet(str(tmp_path / "m/rejected")).count() == 1
+    main(["stream-unpack", str(tmp_path / "raw"), str(tmp_path / "out2"), str(tmp_path / "m2"), str(tmp_path / "c2")])
+    assert sorted(p.name for p in (tmp_path / "out2").rglob("*") if p.is_file()) == ["x", "y"]
     with pytest.raises(SystemExit):
-        main([str(tmp_path / "in"), namespace])
+        main(["load", str(tmp_path / "in"), namespace])
+
+
+def test_iceberg_summaries_fix_format_and_codec():
+    assert writes.iceberg_properties("zstd") == {
+        "write.format.default": "parquet", "write.parquet.compression-codec": "zstd",
+    }

@@ -1,26 +1,87 @@
-"""Command line of the batch job: landing folder to table and summaries."""
+"""Command line of the jobs: loads, summaries, unpacking, streams."""
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
+
+from pyspark.sql import SparkSession
 
 from voltrail.plans import catalog, jobs
 from voltrail.session import build_session
+from voltrail.streaming.ingest import ingest_stream
+from voltrail.streaming.unpack import unpack_notified, unpack_to_files
 
 
-def main(argv: list[str] | None = None) -> None:
-    parser = argparse.ArgumentParser(prog="voltrail", description=__doc__)
-    parser.add_argument("input_path", help="folder of landing Parquet files")
-    parser.add_argument("namespace", help="namespace of the tables, with catalog if needed")
-    parser.add_argument("--load-id", required=True, help="name of this load; the same name replaces it")
-    parser.add_argument("--provider", default="parquet", help="table format")
-    args = parser.parse_args(argv)
-    spark = build_session("voltrail-batch")
+def _table(args) -> str:
+    return f"{args.namespace}.{jobs.BASE_TABLE}"
+
+
+def load(spark: SparkSession, args) -> None:
     catalog.ensure_namespace(spark, args.namespace)
-    audit = jobs.ingest_and_summarize(
+    jobs.ingest_and_summarize(
         spark, args.input_path, args.namespace, args.load_id, provider=args.provider
+    ).show(truncate=False)
+
+
+def summaries(spark: SparkSession, args) -> None:
+    jobs.refresh_summaries(spark, _table(args), args.namespace, args.provider)
+
+
+def days(spark: SparkSession, args) -> None:
+    jobs.refresh_summary_days(spark, _table(args), args.namespace, args.days)
+
+
+def unpack(spark: SparkSession, args) -> None:
+    messages = spark.read.schema("body string").json(args.messages)
+    unpack_notified(messages, args.root, args.target, args.manifest, args.run_id).groupBy("status").count().show()
+
+
+def stream_load(spark: SparkSession, args) -> None:
+    catalog.ensure_namespace(spark, args.namespace)
+    ingest_stream(
+        spark, args.input_path, _table(args), args.checkpoint, provider=args.provider
+    ).awaitTermination()
+
+
+def stream_unpack(spark: SparkSession, args) -> None:
+    unpack_to_files(
+        spark, args.source, args.target, args.manifest, args.checkpoint, glob=args.glob
+    ).awaitTermination()
+
+
+def parser() -> argparse.ArgumentParser:
+    whole = argparse.ArgumentParser(prog="voltrail", description=__doc__)
+    commands = whole.add_subparsers(required=True)
+
+    def command(run, name: str, text: str, *names: str) -> argparse.ArgumentParser:
+        own = commands.add_parser(name, help=text)
+        own.set_defaults(run=run)
+        for positional in names:
+            own.add_argument(positional)
+        return own
+
+    own = command(load, "load", "landing folder to table and summaries", "input_path", "namespace")
+    own.add_argument("--load-id", required=True, help="name of this load; the same name replaces it")
+    own.add_argument("--provider", default="parquet", help="table format")
+    own = command(summaries, "summaries", "all three summaries anew", "namespace")
+    own.add_argument("--provider", default="parquet", help="table format")
+    own = command(days, "days", "the summaries of some days anew", "namespace")
+    own.add_argument("days", nargs="+", type=dt.date.fromisoformat, help="days as YYYY-MM-DD")
+    own = command(unpack, "unpack", "archives named by messages", "messages", "root", "target", "manifest")
+    own.add_argument("--run-id", required=True, help="name of this run; the same name replaces its manifest")
+    own = command(stream_load, "stream-load", "new landing files to the table", "input_path", "namespace", "checkpoint")
+    own.add_argument("--provider", default="parquet", help="table format")
+    own = command(
+        stream_unpack, "stream-unpack", "new archives to files", "source", "target", "manifest", "checkpoint"
     )
-    audit.show(truncate=False)
+    own.add_argument("--glob", help="names of the archives to take")
+    return whole
+
+
+def main(argv: list[str] | None = None) -> None:
+    args = parser().parse_args(argv)
+    args.run(build_session("voltrail-batch"), args)
 
 
 if __name__ == "__main__":

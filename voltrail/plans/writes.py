@@ -133,6 +133,11 @@ def _columns(df: DataFrame) -> dict[str, T.DataType]:
     return {f.name: f.dataType for f in df.schema}
 
 
+def iceberg_properties(compression: str) -> dict[str, str]:
+    """Table properties that fix file format and codec."""
+    return {"write.format.default": "parquet", "write.parquet.compression-codec": compression}
+
+
 def create_table_as(
     df: DataFrame, table: str, partition_by: str, provider: str = "parquet", compression: str = "snappy"
 ) -> None:
@@ -150,6 +155,12 @@ def create_table_as(
         return
 
     def make(rows: DataFrame) -> None:
+        if provider.lower() == "iceberg":
+            made = rows.hint("rebalance", partition_by).writeTo(table).using(provider)
+            for name, value in iceberg_properties(compression).items():
+                made = made.tableProperty(name, value)
+            made.partitionedBy(F.col(partition_by)).createOrReplace()
+            return
         (
             rows.hint("rebalance", partition_by)
             .write.format(provider)

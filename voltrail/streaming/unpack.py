@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from voltrail.functions.columns import resolved_member_path
 from voltrail.session import qualify
-from voltrail.sources import archives
+from voltrail.sources import archives, messages
 from voltrail.streaming import FILES_PER_BATCH, stream_id
 
 
@@ -110,6 +112,23 @@ def land_archives_flat(archive_files: DataFrame, target: str) -> DataFrame:
     return _manifest(archives.land_members(rows, archives.partition_count(archive_files)))
 
 
+def unpack_notified(notifications: DataFrame, root: str, target: str, manifest: str, run_id: str) -> DataFrame:
+    """Lands the archives that a table of messages names; returns the manifest.
+
+    Takes messages to files: keys of records, those of raw archives, each once, looked up
+    below `root`, members landed below `target`. What became of each member, and messages
+    that are no JSON, are written below `manifest` under the run's id. The same run again
+    lands the same files and replaces what it wrote.
+    """
+    spark = notifications.sparkSession
+    keys = messages.wanted_archives(messages.object_keys(notifications))
+    landed = land_archives(archives.locate_archives(keys, qualify(spark, root)), root, target)
+    places = [f"{manifest}/{kind}/run={quote(run_id, safe='')}" for kind in ("members", "rejected")]
+    landed.write.mode("overwrite").parquet(places[0])
+    messages.rejected_messages(notifications).write.mode("overwrite").parquet(places[1])
+    return spark.read.schema(landed.schema).parquet(places[0])
+
+
 def _run(
     archive_files: DataFrame, per_batch, output: str, checkpoint: str, name: str, trigger: dict | None
 ) -> StreamingQuery:
