@@ -1,9 +1,11 @@
 import random
 
 import numpy as np
+import pytest
 
 import brute
 from voltrail.llm import repeats
+from voltrail.llm.common import in_batches
 
 
 def passages():
@@ -40,21 +42,35 @@ def test_on_the_table(spark, sf_dir):
     assert got == want and sum(want.values())
 
 
-def test_parts_of_long_texts(folder, spark, monkeypatch):
-    """Windows at the border of two parts pick as they would inside one."""
-    whole = repeats.picked_places(b"abcabdabe" * 400, 20)
-    monkeypatch.setattr(repeats, "PART", 37)
-    parts = repeats.picked_places(b"abcabdabe" * 400, 20)
-
-    def per_window(rows):
-        return np.concatenate([np.full(last - first + 1, place) for place, first, last in rows])
-
-    assert (per_window(whole) == per_window(parts)).all()
-    rng = random.Random(9)
-    shared = "".join(rng.choice("abcd") for _ in range(500))
-    docs = [(i, "".join(rng.choice("abcd") for _ in range(300)) + shared[i * 13 :]) for i in range(12)]
-    found = repeats.found_repeats(spark.createDataFrame(docs, "doc_id long, text string"))
-    want = brute.repeats([t.encode() for _, t in docs])
-    for r in found.collect():
-        lists = [np.array(r[c] or [], dtype=np.int64) for c in ("alone", "open", "single")]
-        assert repeats.removed_bytes(r["text"].encode(), *lists).tolist() == [bool(x) for x in want[r["doc_id"]]]
+def test_parts_and_company_change_no_pick(monkeypatch):
+    """Windows pick alike in parts of a long text and among other texts."""
+    rng = random.Random(1)
+    texts = [b"abcabdabe" * 400, b"", b"ab", b"z" * 300, bytes(rng.choices(b"abc", k=777)), b"abcabdabe" * 4]
+    alone = [repeats.picked_places([t], 20)[:, 1:].tolist() for t in texts]
+    for part in (37, 100, 1000):
+        monkeypatch.setattr(repeats, "PART", part)
+        rows = repeats.picked_places(texts, 20)
+        assert [rows[rows[:, 0] == i][:, 1:].tolist() for i in range(len(texts))] == alone
+
+
+@pytest.mark.parametrize("part", [37, 500, 1 << 18, (1 << 18) + 1])
+def test_many_small_texts(spark, monkeypatch, part):
+    """Short windows over few letters: every kind of overlap, all lists in use."""
+    monkeypatch.setattr(repeats, "PART", part)
+    rng = random.Random(part)
+    for length in (6, 40, 60):
+        base = ["".join(rng.choice("abcd") for _ in range(rng.randint(0, 160))) for _ in range(8)]
+        docs = []
+        for i in range(90):
+            parts = [rng.choice(base) for _ in range(rng.randint(0, 3))]
+            cut = [b[rng.randint(0, len(b)) :][: rng.randint(0, 200)] for b in parts]
+            docs.append((i, "".join(cut)))
+        want = brute.repeats([t.encode() for _, t in docs], length)
+        found = repeats.found_repeats(spark.createDataFrame(docs, "doc_id long, text string"), length)
+
+        def rows(batch):
+            gone = repeats.removed_bytes(batch, length)
+            return {"doc_id": batch.column("doc_id"), "gone": [x.astype(np.uint8).tobytes() for x in gone]}
+
+        got = {r["doc_id"]: bytes(r["gone"]) for r in in_batches(found, rows, "doc_id long, gone binary").collect()}
+        assert got == {i: w for (i, _), w in zip(docs, want)}
