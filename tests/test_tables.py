@@ -381,3 +381,24 @@ def test_iceberg_summaries_fix_format_and_codec():
     assert writes.iceberg_properties("zstd") == {
         "write.format.default": "parquet", "write.parquet.compression-codec": "zstd",
     }
+
+
+def test_rows_without_vehicle_are_rejected_alike(spark, namespace, tmp_path):
+    """A file that lacks the vehicle's column, in a batch and in a stream."""
+    from voltrail.streaming.ingest import ingest_stream
+
+    landing = str(tmp_path / "in")
+    for i in range(2):
+        rows(spark).coalesce(1).write.mode("append").parquet(landing)
+    rows(spark, n=10).coalesce(1).drop("vin_id").write.mode("append").parquet(landing)
+    declared = rows(spark).schema
+    spark.read.schema(declared).parquet(landing).write.parquet(str(tmp_path / "whole"))
+    audit = jobs.ingest(spark, str(tmp_path / "whole"), f"{namespace}.batch", "one", NTZ).first()
+    assert (audit["rows_read"], audit["rows_written"], audit["rows_rejected"]) == (2010, 2000, 10)
+    for _ in range(2):
+        name = f"{namespace}.streamed"
+        ingest_stream(spark, landing, name, str(tmp_path / "c"), ts_type=NTZ).awaitTermination()
+    for table in ("batch", "streamed"):
+        assert spark.table(f"{namespace}.{table}").where("vin_id is not null").count() == 2000
+        assert spark.table(f"{namespace}.{table}").count() == 2000
+    assert spark.table(f"{namespace}.streamed_rejected").agg(F.sum("rows_rejected")).first()[0] == 10

@@ -52,3 +52,13 @@ def clean(df: DataFrame, ts_type: T.DataType | None = None) -> DataFrame:
 def with_day(df: DataFrame) -> DataFrame:
     """Adds the day the table is partitioned by."""
     return df.withColumn(contract.DAY, F.to_date("ts"))
+
+
+def with_vehicle(cleaned: DataFrame) -> DataFrame:
+    """Rows a load takes: those that name their vehicle. Rows without time are kept."""
+    return cleaned.where(F.col("vin_id").isNotNull())
+
+
+def without_vehicle(cleaned: DataFrame) -> DataFrame:
+    """Rows a load rejects."""
+    return cleaned.where(F.col("vin_id").isNull())

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from voltrail import contract
 from voltrail.operators import summaries
-from voltrail.operators.clean import clean
+from voltrail.operators.clean import clean, with_vehicle
 from voltrail.plans import catalog, writes
 from voltrail.sources.telemetry import file_schema, read_raw, scan
 
@@ -35,22 +35,24 @@ def ingest(
     The data is read once, by the load. Counts come from file footers and from
     the rows the table holds afterwards, so tasks run twice cannot distort them.
     Rows before and after are counted in one job each; key counts are those of the load.
+    Rows that name no vehicle, as from files without that column, are rejected and counted.
     """
     catalog.ensure_telemetry_table(spark, table, ts_type, provider)
     before = catalog.fresh_table(spark, table).count()
     schema = file_schema(spark, input_path, ts_type)
     found = contract.require(schema)
     raw = read_raw(spark, input_path, ts_type, schema)
-    writes.load_telemetry(clean(raw, ts_type), table, load_id, gather_days)
+    writes.load_telemetry(with_vehicle(clean(raw, ts_type)), table, load_id, gather_days)
     stored = catalog.fresh_table(spark, table)
     after = stored.count()
     own = stored.where(F.col(contract.LOAD) == load_id)
     load = own.agg(F.count("*").alias("rows"), F.count(contract.KEY).alias("keys")).first()
     missing = [f.column for f in found if f.status == "missing"]
-    row = (load_id, before, raw.count(), load["rows"], load["rows"] - load["keys"], after, missing)
+    read = raw.count()
+    row = (load_id, before, read, load["rows"], read - load["rows"], load["rows"] - load["keys"], after, missing)
     return spark.createDataFrame(
         [row],
-        "load_id string, rows_before bigint, rows_read bigint, rows_written bigint, "
+        "load_id string, rows_before bigint, rows_read bigint, rows_written bigint, rows_rejected bigint, "
         "null_keys bigint, rows_after bigint, missing_columns array<string>",
     )
 

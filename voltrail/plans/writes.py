@@ -129,6 +129,22 @@ def load_telemetry(cleaned: DataFrame, table: str, load_id: str, gather_days: bo
         drop_partitions(spark, table, [p for p in held if p[contract.DAY] not in now])
 
 
+def count_rejected(rejected: DataFrame, table: str, load_id: str) -> int:
+    """Notes in `<table>_rejected` how many rows a load rejects; a repeat replaces the note."""
+    spark, notes = rejected.sparkSession, f"{table}_rejected"
+    count = rejected.count()
+    known = catalog.table_exists(spark, notes)
+    if count and not known:
+        spark.sql(
+            f"CREATE TABLE {notes} (`rows_rejected` bigint, `{contract.LOAD}` string) USING parquet "
+            f"OPTIONS ('partitionOverwriteMode'='dynamic') PARTITIONED BY (`{contract.LOAD}`)"
+        )
+    if count or known:
+        row = spark.createDataFrame([(count, load_id)], f"rows_rejected bigint, {contract.LOAD} string")
+        replace_partitions(row, notes)
+    return count
+
+
 def _columns(df: DataFrame) -> dict[str, T.DataType]:
     return {f.name: f.dataType for f in df.schema}
 
