@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from voltrail.llm.common import SPACES, SPACE_CLASS, content, rows_again, stored, table, text_key, whole_rows
 
 BINS = 1 << 16
+#: Bits of a bin's number that its coarse bin leaves out: 256 coarse bins of 256 each.
+COARSE = 8
 #: Up to so many sources the table of sources is broadcast; beyond, it is joined.
 SMALL_SOURCES = 50_000
 
@@ -90,6 +92,19 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, mos
     return rows.select("source", "source_size", target.alias("target"))
 
 
+def _ends(sums: DataFrame, budgets: DataFrame) -> DataFrame:
+    """source, place, rest, before: the place of `sums` (source, place, bin_size) in which
+    the budget `rest` ends, `before` being the sizes of all places before it."""
+    own = budgets.select(F.col("source").alias("__source"), "rest", F.col("before").alias("begun"))
+    upto = Window.partitionBy("source").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    through = F.col("begun") + F.sum("bin_size").over(upto)
+    rows = sums.join(own, F.col("source").eqNullSafe(F.col("__source"))).withColumn("through", through)
+    before = F.col("through") - F.col("bin_size")
+    met = rows.where((F.col("through") >= F.col("rest")) & (before < F.col("rest")))
+    first = F.min(F.struct("place", "rest", before.alias("before"))).alias("end")
+    return met.groupBy("source").agg(first).select("source", "end.*")
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = (5, 2, 1),
@@ -107,19 +122,20 @@ def mix(
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     targets = source_targets(sizes, weights, share, most).withColumn("epochs", epochs.cast("int"))
     targets = targets.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-    # The bin in which a source's budget ends.
-    own = targets.select(F.col("source").alias("__source"), "rest")
-    upto = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    ends = (
-        bins.withColumn("through", F.sum("bin_size").over(upto))
-        .join(own, F.col("source").eqNullSafe(F.col("__source")))
-        .where((F.col("through") >= F.col("rest")) & (F.col("through") - F.col("bin_size") < F.col("rest")))
-        .groupBy("__source")
-        .agg(
-            F.min(F.struct("bin", (F.col("through") - F.col("bin_size")).alias("before"))).alias("end")
-        )
-        .select("__source", F.col("end.bin").alias("end_bin"), F.col("end.before").alias("before"))
+    # The bin in which a source's budget ends: first the coarse one, then the fine one in it.
+    budgets = targets.select("source", "rest", F.lit(0).cast("long").alias("before"))
+    coarse = bins.withColumn("place", F.shiftright("bin", COARSE))
+    sums = coarse.groupBy("source", "place").agg(F.sum("bin_size").alias("bin_size"))
+    wide = _ends(sums, budgets)
+    inside = coarse.join(
+        wide.select(F.col("source").alias("__source"), F.col("place").alias("__place")),
+        F.col("source").eqNullSafe(F.col("__source")) & (F.col("place") == F.col("__place")),
+        "left_semi",
+    )
+    narrow = _ends(
+        inside.select("source", F.col("bin").alias("place"), "bin_size"), wide.select("source", "rest", "before")
     )
+    ends = narrow.select(F.col("source").alias("__source"), F.col("place").alias("end_bin"), "before")
     plan = stored(
         targets.join(ends, F.col("source").eqNullSafe(F.col("__source")), "left").drop("__source"), "mix-plan"
     )
