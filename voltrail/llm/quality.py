@@ -7,8 +7,8 @@ probability that a document with these votes is good. A linear scorer on hashed
 shapes is fitted to these probabilities and decides about every document. No given
 labels are used, so all of them can serve as a check.
 
-The scorer is fitted on at most SAMPLE documents, those with the smallest hash. Votes,
-counts and scores cover all documents and whole texts.
+The scorer is fitted on about SAMPLE documents, picked by a hash of theirs, never more
+than twice as many. Votes, counts and scores cover all documents and whole texts.
 
 Defined results: a null, empty or wordless text is no prose and is scored like any
 other (it has neither votes nor features but its emptiness); equal texts have equal
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from voltrail.llm.common import content, in_batches, stored, table, utf8
 
-#: Documents the scorer is fitted on, at most.
+#: Documents the scorer is fitted on, about.
 SAMPLE = 6_000
 DIMENSIONS = 1 << 12
 ROUNDS = 60
@@ -202,7 +202,10 @@ def train(rows: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     votes = np.array([r["votes"] for r in patterns], dtype=int)
     good, _ = label_model(votes, np.array([r["count"] for r in patterns], dtype=float))
     known = {tuple(v): g for v, g in zip(votes.tolist(), good)}
-    some = rows.orderBy("order").limit(sample).select("votes", "slots", "weights").collect()
+    # About `sample` rows by their hash; the limit only holds back a row repeated without end.
+    share = min(1.0, sample / sum(r["count"] for r in patterns))
+    picked = rows.where(F.pmod("order", F.lit(1 << 30)) < int(share * (1 << 30)))
+    some = picked.select("votes", "slots", "weights").limit(2 * sample).collect()
     return fit_scorer(some, [known[tuple(r["votes"])] for r in some])
 
 
