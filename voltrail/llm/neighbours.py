@@ -8,8 +8,8 @@ dimensions exceeds (1 + slack / sqrt(seen))^2 times the true one only rarely, so
 candidates beyond the k-th best distance by more than that are abandoned. What is left
 is measured exactly, in double precision on the original vectors.
 
-The rotation, the centres and the share of lists to probe are fitted on at most SAMPLE
-vectors (those with the smallest hash); the share is the least that finds TARGET of the
+The rotation, the centres and the number of lists to probe are fitted on at most SAMPLE
+vectors, picked by a hash of theirs; the number is the least that finds TARGET of the
 sample's true neighbours. Every vector is indexed. Lists are cut into packs of about
 PACK vectors, so a list of any size, or a vector repeated without end, is spread over
 tasks; each pack gives its k best per query and the best of those are kept.
@@ -72,7 +72,11 @@ def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def fit(rows: DataFrame, k: int = K, sample: int = SAMPLE, target: float = TARGET) -> Index:
     n = rows.count()
-    some = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
+    # About `sample` rows by their hash, and never more than that.
+    share = min(1.0, 0.9 * sample / n) if n > sample else 1.0
+    place = F.pmod(F.xxhash64("vec_id", "vector"), F.lit(1 << 30))
+    some = rows.where(place < int(share * (1 << 30))).limit(sample).collect()
+    some.sort(key=lambda r: r["vec_id"])
     x = np.array([r["vector"] for r in some], dtype=float)
     if not len(x):
         return Index(np.zeros((0, 0)), np.zeros((0, 0)), 0)
