@@ -63,6 +63,17 @@ def test_one_of_each_group_stays(spark):
     assert sorted(ids) == sorted({r["component_id"] for r in groups.collect()})
 
 
+def test_components_without_an_id_of_their_own_stay(spark):
+    """Unlike texts with null ids, and two unlike texts under one id."""
+    rng = random.Random(11)
+    texts = [" ".join(rng.choice(["red", "sea", "tin", "oak", "fog", "hat"]) + str(rng.randrange(99)) for _ in range(60)) for _ in range(8)]
+    docs = [(None, t) for t in texts[:5]] + [(None, texts[0]), (7, texts[5]), (7, texts[6]), (3, texts[7]), (None, texts[7])]
+    assert len({brute.simhash(t) for t in texts}) == len(set(brute.near_components([brute.simhash(t) for t in texts]))) == 8
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    kept = [tuple(r) for r in simhash_dedup.apply(df, simhash_dedup.grouped(df)).collect()]
+    assert sorted(kept, key=repr) == sorted([*docs[:5], *docs[6:9]], key=repr)
+
+
 def test_long_chain_of_links(spark):
     """Components whose ends are many links apart."""
     from voltrail.llm.components import components

@@ -16,7 +16,8 @@ the same components with a fixed number of rows per point.
 
 Defined results: null, empty and wordless texts have fingerprint zero and link like
 any other; repeated rows are rows of one fingerprint; a null doc_id never is a
-component's id unless the component has no other; an empty table gives no rows.
+component's id unless the component has no other; components that share an id, or have
+none, stay apart when one document of each is kept; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -140,14 +141,17 @@ def midpoint_links(points: DataFrame, max_bits: int = 3) -> DataFrame:
 
 
 def near_groups(prints: DataFrame, max_bits: int = 3) -> DataFrame:
-    """`prints` (doc_id, text_key, fp) and component_id, the smallest doc_id reachable."""
+    """`prints` (doc_id, text_key, fp), component (its smallest fingerprint, which tells
+    components apart whatever their ids) and component_id, the smallest doc_id reachable."""
     points = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "fingerprint-points")
     parts = components(near_links(points.select("fp"), max_bits)).withColumnRenamed("node", "fp")
     linked = points.join(parts, "fp")
     least = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    linked = linked.join(least, "root").select("fp", "component_id")
+    linked = linked.join(least, "root").select("fp", "root", "component_id")
     own = points.join(linked, "fp", "left").select(
-        "fp", F.coalesce("component_id", "least_id").alias("component_id")
+        "fp",
+        F.coalesce("root", "fp").alias("component"),
+        F.coalesce("component_id", "least_id").alias("component_id"),
     )
     return prints.join(own, "fp")
 
@@ -159,7 +163,7 @@ def grouped(docs: DataFrame, words: int = 3, max_bits: int = 3) -> DataFrame:
 def apply(docs: DataFrame, groups: DataFrame) -> DataFrame:
     """One document of each group: that with the smallest doc_id (then the smallest
     text_key); of rows repeated with both equal, one."""
-    best = groups.groupBy("component_id").agg(
+    best = groups.groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("best")
     )
     a, b = whole_rows(docs).alias("a"), best.select("best.*").alias("b")
