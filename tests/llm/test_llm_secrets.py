@@ -73,6 +73,28 @@ def test_a_weak_part_needs_its_complement(spark, gap, reported):
     assert found[2] == found[3] == []
 
 
+TOKEN = "eyJ0" + "Qw3rTy" * 166
+
+
+@pytest.mark.parametrize("gap, reported", [(1, True), (255, True), (256, True), (257, False), (600, False)])
+def test_scope_reaches_from_the_end_of_a_long_part(spark, gap, reported):
+    """A token of 1,000 code points, or an address as long, before and behind its identifier."""
+    login, password, address = "client_id=bob42", "password=hunter2hunter2", "https://db.example/" + "a/" * 490
+    docs, want = [], []
+    for shift in (0, 1, 100, 255, 256, 257, 511):
+        lead, space = "\n" * shift, "\n" * gap
+        docs += [lead + login + space + TOKEN, lead + TOKEN + space + login]
+        want += [["identifier", "candidate"], ["candidate", "identifier"]] if reported else [[], []]
+        docs += [lead + f"{login} {password}{space}{address}", lead + f"{address}{space}{login} {password}"]
+        want += [
+            ["identifier", "assign", *["endpoint"] * (gap + 1 + len(password) <= secrets.SCOPE)],
+            [*["endpoint"] * (gap + 1 + len(login) <= secrets.SCOPE), "identifier", "assign"],
+        ]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    found = {r["doc_id"]: [s["kind"] for s in r["found"]] for r in secrets.scan(df).collect()}
+    assert [found[i] for i in range(len(docs))] == want
+
+
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = secrets.op10_secret_scan(spark, sf_dir)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

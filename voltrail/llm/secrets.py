@@ -4,12 +4,15 @@ Base kinds are reported wherever they match. Weak kinds (user names and client i
 mixed-case tokens, service addresses) say little alone; they are reported only where
 complementary parts stand in the same scope: an identifier with a secret, a secret
 with an identifier, an endpoint with both. A scope reaches SCOPE code points either
-way between the starts of two spans. Base spans count as parts too.
+way, from the end of one span to the start of the next, however long the spans are.
+Base spans count as parts too.
 
 Spans come from splitting a text by the pattern: the pieces and the matches between
 them add up to positions. Parts are joined over intervals by cells of SCOPE code
-points: of each cell only the first and last start per part is kept, which is all that
-the neighbouring cells need, so a text full of candidates makes no pairs.
+points, a span standing in all cells from its start to its end: of each cell only the
+least start and the greatest end per part is kept. In the cells of a span itself and
+between them all is in scope, and in the cell before and behind these two tell it, so a
+text full of candidates makes no pairs.
 
 Defined results: a null or empty text has no spans (and the digest of nothing);
 repeated rows get the same result each; rows of one doc_id with different texts are
@@ -119,8 +122,8 @@ def linked(spans: DataFrame, scope: int = SCOPE) -> DataFrame:
     """Base spans, and those weak ones whose complementary parts are in scope."""
     base = {kind: is_base for kind, _, is_base, _, _ in KINDS}
     parts = {kind: part for kind, part, *_ in KINDS}
-    cell = F.floor(F.col("start") / scope)
-    own = spans.withColumns({"base": _kind(base, "kind"), "part": _kind(parts, "kind"), "cell": cell})
+    first, last = F.floor(F.col("start") / scope), F.floor(F.col("end") / scope)
+    own = spans.withColumns({"base": _kind(base, "kind"), "part": _kind(parts, "kind")})
     # A weak span inside a base span is the same thing again.
     sofar = Window.partitionBy("id", "text_key").orderBy("start", F.col("base").desc()).rowsBetween(
         Window.unboundedPreceding, 0
@@ -130,12 +133,13 @@ def linked(spans: DataFrame, scope: int = SCOPE) -> DataFrame:
         own.where(F.col("base") | F.col("covered").isNull() | (F.col("start") >= F.col("covered"))).drop("covered"),
         "secret-parts",
     )
-    cells = own.groupBy("id", "text_key", F.col("cell").alias("near"), F.col("part").alias("with")).agg(
-        F.min("start").alias("low"), F.max("start").alias("high")
+    spread = own.withColumn("near", F.explode(F.sequence(first, last)))
+    cells = spread.groupBy("id", "text_key", "near", F.col("part").alias("with")).agg(
+        F.min("start").alias("low"), F.max("end").alias("high")
     )
     weak = own.where(~F.col("base"))
-    asked = weak.withColumn("near", F.explode(F.array(*[F.col("cell") + d for d in (-1, 0, 1)])))
-    reach = (F.col("low") <= F.col("start") + scope) & (F.col("high") >= F.col("start") - scope)
+    asked = weak.withColumn("near", F.explode(F.sequence(first - 1, last + 1)))
+    reach = (F.col("low") <= F.col("end") + scope) & (F.col("high") >= F.col("start") - scope)
     met = (
         asked.join(cells, ["id", "text_key", "near"])
         .where(reach & (F.col("with") != F.col("part")))
