@@ -49,3 +49,31 @@ def test_decisions_of_apply_and_query_agree(spark, sf_dir):
     kept = quality.apply(docs, model)
     assert kept.columns == docs.columns
     assert {r["doc_id"] for r in kept.select("doc_id").collect()} == want
+
+
+def test_variety_is_the_mean_over_all_windows():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        n, window = int(rng.integers(1, 40)), int(rng.integers(1, 12))
+        words = [b"%d" % x for x in rng.integers(0, 9, n)]
+        if n <= window:
+            want = len(set(words)) / n
+        else:
+            want = np.mean([len(set(words[i : i + window])) / window for i in range(n - window + 1)])
+        assert abs(quality.variety(words, window) - want) < 1e-12
+
+
+def test_poor_texts_of_any_length_are_junk(spark):
+    """A few words over and over, and a wordy text, at 400, 600 and 50,000 words."""
+    poor = quality.LABELLERS.index("poor_words")
+    lengths = (400, 600, 50_000)
+    stuffed = [" ".join(["buy cheap pills now".split()[i % 4] for i in range(n)]) for n in lengths]
+    rng = np.random.default_rng(6)
+    wordy = [" ".join(f"w{i}{'.' if j % 12 == 11 else ''}" for j, i in enumerate(rng.zipf(1.3, n) % 9999)) for n in lengths]
+    assert [quality.traits(t.encode()).votes[poor] for t in stuffed] == [quality.JUNK] * 3
+    assert [quality.traits(t.encode()).votes[poor] for t in wordy] == [0] * 3
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    more = spark.createDataFrame([(10**9 + i, t) for i, t in enumerate(stuffed * 10)], "doc_id long, text string")
+    rows = quality.described(docs.unionByName(more))
+    kept = quality.scored(rows, quality.train(rows)).where(f"keep and doc_id >= {10**9}")
+    assert kept.count() == 0

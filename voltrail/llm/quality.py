@@ -43,6 +43,8 @@ BOUNDS = ((0.55, 0.7, 0.75), (0.9, 0.95, 0.98))
 VOTING_GOOD = 3
 #: Below one half: a doubtful document stays.
 THRESHOLD = 0.4
+#: Words over which variety is measured, in long texts at every place.
+WINDOW = 499
 #: Each names a habit; the first three vote good or not at all, the others junk or not
 #: at all, and their habits overlap.
 LABELLERS = (
@@ -74,6 +76,24 @@ def _slot(name: bytes) -> int:
     return zlib.crc32(name) % DIMENSIONS
 
 
+def variety(words: list[bytes], window: int = WINDOW) -> float:
+    """Share of different words in a window, mean over all windows of the text; a
+    shorter text is one window. So it does not fall with a text's length."""
+    n = len(words)
+    if n <= window:
+        return len(set(words)) / n
+    last: dict[bytes, int] = {}
+    before = np.empty(n, dtype=np.int64)
+    for i, word in enumerate(words):
+        before[i] = last.get(word, -1)
+        last[word] = i
+    # A place counts in the windows that start behind the same word's place before it.
+    place = np.arange(n)
+    first = np.maximum(before + 1, place - window + 1)
+    counted = np.minimum(place, n - window) - np.maximum(first, 0) + 1
+    return float(np.maximum(counted, 0).sum() / (n - window + 1) / window)
+
+
 def traits(text: bytes) -> Traits:
     words = text.split()
     n = len(words)
@@ -93,12 +113,14 @@ def traits(text: bytes) -> Traits:
     lines = [x.strip() for x in text.split(b"\n") if x.strip()]
     repeated = 1 - len(set(lines)) / len(lines)
     gridded = sum(x.count(b" | ") + x.count(b"\t") > 3 for x in lines) / len(lines)
-    variety = len(set(words)) / n
+    varied = variety(words)
     capitals = sum(x[:1].isupper() for x in words) / n
+    # A few words over and over are no text of the usual kind, however clean they look.
+    poor = varied < 0.25 and n > 20
     good = (
-        marks < 0.01 and cells < 0.01 and marked < 0.02,
-        again < 0.03 and cells < 0.01 and 3 <= per_sentence <= 40 and n > 8,
-        marks < 0.01 and again < 0.03 and marked < 0.02,
+        marks < 0.01 and cells < 0.01 and marked < 0.02 and not poor,
+        again < 0.03 and cells < 0.01 and 3 <= per_sentence <= 40 and n > 8 and not poor,
+        marks < 0.01 and again < 0.03 and marked < 0.02 and not poor,
     )
     junk = (
         marks > 0.04,
@@ -106,7 +128,7 @@ def traits(text: bytes) -> Traits:
         cells > 0.1 and n > 4,
         gridded > 0.25,
         again > 0.15 and n > 4,
-        variety < 0.25 and 20 < n < 500,
+        poor,
         repeated > 0.5 and len(lines) > 4,
         digits / size > 0.4,
         size / n > 16,
@@ -120,7 +142,7 @@ def traits(text: bytes) -> Traits:
     for shape, count in counts.items():
         slot = _slot(b"s:" + shape[:48])
         features[slot] = features.get(slot, 0.0) + float(np.sqrt(count / total))
-    for name, value in ((b"stutter", again), (b"lines", repeated), (b"variety", 1 - variety)):
+    for name, value in ((b"stutter", again), (b"lines", repeated), (b"variety", 1 - varied), (b"poor", poor)):
         slot = _slot(b"t:" + name)
         features[slot] = features.get(slot, 0.0) + float(np.sqrt(value))
     return Traits(n, votes, features)
