@@ -128,6 +128,26 @@ def ingest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ingest_mixed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ingest job over files that differ in columns and in the case of names."""
+    landing = new_workdir(spark, "landing")
+    raw = raw_telemetry(spark, sf_dir).where("vin_id IS NOT NULL")
+    parts = [
+        raw.withColumnRenamed("Fuel_Percentage", "FUEL_PERCENTAGE"),
+        raw.drop("Clean_Mode", "Endurance_Type"),
+        raw.drop("vin_id"),
+    ]
+    for i, part in enumerate(parts):
+        part.drop("Road_Mode").write.parquet(f"{landing}/{i}")
+    name = f"{fresh_namespace(spark)}.canbus01"
+    audit = jobs.ingest(spark, landing, name, "load-1", NTZ)
+    counts = catalog.fresh_table(spark, name).agg(
+        F.count("fuel_percentage").alias("fuel"), F.count("clean_mode").alias("clean"), F.count("endurance_type").alias("endurance")
+    )
+    audit = audit.withColumn("missing", F.array_join("missing_columns", ","))
+    return audit.select("rows_read", "rows_written", "rows_rejected", "missing").crossJoin(counts)
+
+
 EXPORTED = ("copy", "snappy", "lz4", "deflate", "zstd", "bzip2")
 
 
@@ -189,6 +209,7 @@ QUERIES = {
     "refreshed_driving_modes": refreshed_driving_modes,
     "refreshed_summary_days": refreshed_summary_days,
     "ingest_job": ingest_job,
+    "ingest_mixed_files": ingest_mixed_files,
     "repeated_load_shrinks": repeated_load_shrinks,
     "repeated_load_daily": repeated_load_daily,
     "repeated_load_charging": repeated_load_charging,
@@ -227,6 +248,11 @@ UNION ALL SELECT 'driving_mode_analysis', 8, (SELECT n FROM days), COUNT(*) FROM
 SELECT CAST(1 AS INT) AS run, 'load-1' AS load_id, CAST(0 AS BIGINT) AS rows_before, n AS rows_read,
        n AS rows_written, CAST(0 AS BIGINT) AS null_keys, n AS rows_after FROM n
 UNION ALL SELECT 2, 'load-1', n, n, n, 0, n FROM n""",
+    "ingest_mixed_files": f"""{WITH_CLEANED}
+SELECT CAST(3 * COUNT(*) AS BIGINT) AS rows_read, CAST(2 * COUNT(*) AS BIGINT) AS rows_written,
+       COUNT(*) AS rows_rejected, 'road_mode' AS missing, CAST(2 * COUNT(fuel_percentage) AS BIGINT) AS fuel,
+       COUNT(clean_mode) AS clean, COUNT(endurance_type) AS endurance
+FROM cleaned WHERE vin_id IS NOT NULL""",
     "repeated_load_shrinks": f"{_CLEAN} WHERE {_EARLY}",
     **{
         name: f"{WITH_CLEANED}, part AS (SELECT * FROM cleaned WHERE {_EARLY}) {body.format(source='part')}"

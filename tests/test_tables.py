@@ -291,6 +291,28 @@ def test_files_of_different_columns_are_read_whole(spark, namespace, tmp_path):
     assert list(counts.first()) == [100, 100, 200, 300]
 
 
+@pytest.mark.parametrize("order", [1, -1])
+def test_columns_of_all_footers_count(spark, namespace, tmp_path, order):
+    """Each file in turn is the one that differs in columns, case or width."""
+    landing = str(tmp_path / "landing")
+    parts = [
+        rows(spark, n=100).withColumnsRenamed({"Fuel_Percentage": "FUEL_PERCENTAGE", "ts": "TS"}),
+        rows(spark, n=100).drop("Clean_Mode"),
+        rows(spark, n=10).drop("vin_id"),
+        rows(spark, n=100).withColumn("Fuel_Percentage", F.col("Fuel_Percentage").cast("bigint")),
+    ]
+    for i, part in enumerate(parts[::order]):
+        part.drop("Road_Mode").coalesce(1).write.parquet(f"{landing}/{i}")
+    line = jobs.ingest(spark, landing, f"{namespace}.canbus01", "one", NTZ).first()
+    assert (line["rows_read"], line["rows_written"], line["rows_rejected"]) == (310, 300, 10)
+    assert "road_mode" in line["missing_columns"]
+    assert not {"fuel_percentage", "clean_mode", "vin_id", "ts"} & set(line["missing_columns"])
+    counts = telemetry.scan(spark, f"{namespace}.canbus01").agg(
+        F.count("fuel_percentage"), F.count("clean_mode"), F.count("display_speed"), F.count("ts"), F.count("road_mode")
+    )
+    assert list(counts.first()) == [300, 200, 300, 300, 0]
+
+
 def test_files_without_a_mandatory_column_stop_the_job(spark, namespace, tmp_path):
     landing = str(tmp_path / "landing")
     rows(spark, n=100).drop("vin_id").write.parquet(landing)

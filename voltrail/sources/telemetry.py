@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,20 +15,56 @@ from voltrail.functions.columns import primary_key
 from voltrail.plans import catalog
 
 
+def _footer_schemas(spark: SparkSession, paths: list[str]) -> list[T.StructType]:
+    """Columns of the files from all footers, read by a Spark job; more than one schema,
+    from halves of the files, only where files differ in the type of a column."""
+    reader = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
+    try:
+        return [reader.parquet(*paths).schema]
+    except Py4JJavaError as error:
+        if "MERGE_SCHEMA" not in str(error):
+            raise
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path")
+    each = [r["path"] for r in files.orderBy("path").collect()]
+    if len(each) < 2:
+        raise contract.ContractError(f"no one schema: {each}")
+    half = len(each) // 2
+    return _footer_schemas(spark, each[:half]) + _footer_schemas(spark, each[half:])
+
+
+def _wider(name: str, a: T.DataType, b: T.DataType) -> T.DataType:
+    """The number type that holds both."""
+    whole, broken = (T.ByteType, T.ShortType, T.IntegerType, T.LongType), (T.FloatType, T.DoubleType)
+    for types in (whole, broken):
+        if isinstance(a, types) and isinstance(b, types):
+            return max(a, b, key=lambda t: types.index(type(t)))
+    if a != b:
+        raise contract.ContractError(f"column {name} is {a.simpleString()} and {b.simpleString()}")
+    return a
+
+
 def file_schema(
     spark: SparkSession, path: str, ts_type: T.DataType = T.TimestampType()
 ) -> T.StructType:
-    """Columns of the landing files as a footer states them.
+    """Columns that any of the landing files has.
 
-    A folder without files has the declared columns; a path that does not exist
-    is an error.
+    Names are matched without case, as streams do, and contract columns are named as the
+    contract spells them; numbers of different width have the widest type. A folder
+    without files has the declared columns; a path that does not exist is an error.
     """
     try:
-        return spark.read.option("recursiveFileLookup", "true").parquet(path).schema
+        schemas = _footer_schemas(spark, [path])
     except AnalysisException as error:
         if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
         return contract.raw_schema(ts_type)
+    spelled = {f.raw_name.lower(): f.raw_name for f in contract.FIELDS}
+    found: dict[str, T.StructField] = {}
+    for field in (f for schema in schemas for f in schema.fields):
+        key = field.name.lower()
+        known = found.setdefault(key, T.StructField(spelled.get(key, field.name), field.dataType))
+        known.dataType = _wider(known.name, known.dataType, field.dataType)
+    return T.StructType(list(found.values()))
 
 
 def read_raw(
@@ -38,8 +75,8 @@ def read_raw(
 ) -> DataFrame:
     """Landing Parquet below `path`; `found` is its `file_schema` when already known.
 
-    Files may differ in their columns: contract columns that the footer looked at
-    does not have are declared too, so they are read from the files that do.
+    Files may differ in their columns and in the case of names. Contract columns that
+    no file has are declared too, so the rows have NULL there.
     """
     found = found or file_schema(spark, path, ts_type)
     seen = {name.lower() for name in found.names}
