@@ -64,6 +64,23 @@ def test_lists_tables_and_quotes_of_an_article_stay(model):
     assert text == f"{LONG}\n\none\n\ntwo link\n\nsaid\n\nc1\n\nc2\n\n{LONG}"
 
 
+def test_formulas_and_fallback_texts_of_an_article_stay(model):
+    page = (
+        f"<body><article><p>{LONG} Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be.</p><object data=x>Shown instead, with commas.</object>"
+        f"<video src=v><track>Told instead.</video><noscript><p>{LONG}</p></noscript><svg><title>no</title><text>drawn</text></svg><p>{LONG}</p></article></body>"
+    )
+    text = html_text.extract_all([page], model)[0]
+    assert text == f"{LONG} Let x=2 be.\n\nShown instead, with commas.Told instead.\n\n{LONG}\n\ndrawn\n\n{LONG}"
+
+
+@pytest.mark.parametrize("tag", ["video", "audio", "object", "svg", "math", "canvas", "noscript"])
+def test_an_element_without_end_loses_nothing(model, tag):
+    page = f"<body><article><p>{LONG}</p><{tag} width=9><p>{LONG}</p></article><nav><a href=/>Home</a></nav></body>"
+    assert html_text.extract_all([page], model)[0] == f"{LONG}\n\n{LONG}"
+    inside = f"<body><article><p>{LONG} <{tag}> {LONG}</p><p>{LONG}</p><p>{LONG}</p></article></body>"
+    assert html_text.extract_all([inside], model)[0] == f"{LONG} {LONG}\n\n{LONG}\n\n{LONG}"
+
+
 def test_a_page_without_landmarks(model):
     menu = "".join(f"<a href=/{i}>Item</a> " for i in range(9))
     page = f"<body><div>{menu}</div><div><p>{LONG} {LONG}</p><p>{LONG}</p></div><div>{menu}</div></body>"

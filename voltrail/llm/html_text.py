@@ -1,7 +1,8 @@
 """Main text of web pages: boosted trees over DOM nodes, decoded top to bottom.
 
-A tolerant reader turns a page into a tree of block elements (and of inline ones that
-carry a class, id or role). Each node gets features: its tag and attribute words, those
+A tolerant reader turns a page into a tree of block elements (and of embedded objects, and
+of inline ones that carry a class, id or role; formulas are inline). Only what stands in
+scripts, styles, titles, text areas, templates and inline frames is left out. Each node gets features: its tag and attribute words, those
 of its ancestors, its depth, text and link density of its subtree, and how it compares
 to its siblings. Boosted trees give each node a chance of belonging to the article. The
 labelling with the highest total likelihood under "nothing is kept inside something
@@ -45,7 +46,10 @@ _ATTRIBUTE = re.compile(r"""(class|id|role|style|aria-hidden|hidden)\s*(?:=\s*(?
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _TOKENS = re.compile(r"[a-z0-9]+")
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
-_RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "audio", "video"}
+# Markup in these is no markup of the page.
+_RAW = {"script", "style", "textarea", "title", "template", "iframe"}
+# Not blocks, but nodes of their own that can be kept or dropped.
+_EMBEDDED = {"noscript", "object", "canvas", "audio", "video", "svg"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _BLOCK = set(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption "
@@ -171,7 +175,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, int, str]]]:
         owner = stack[-1][1]
         if raw.endswith("/") and not is_block:
             continue
-        if is_block or "class" in raw or "id=" in raw or "role" in raw or "hidden" in raw:
+        if is_block or tag in _EMBEDDED or "class" in raw or "id=" in raw or "role" in raw or "hidden" in raw:
             node = Node(tag, owner, nodes[owner].depth + 1)
             if raw:
                 _attributes(tag, raw, node)
