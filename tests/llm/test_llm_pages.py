@@ -81,6 +81,13 @@ def test_an_element_without_end_loses_nothing(model, tag):
     assert html_text.extract_all([inside], model)[0] == f"{LONG} {LONG}\n\n{LONG}\n\n{LONG}"
 
 
+@pytest.mark.parametrize("times", [1, 100])
+@pytest.mark.parametrize("piece", ["tel 12 ", "té 3\u0664 "])
+def test_digits_of_pieces_of_any_length(piece, times):
+    nodes, _ = html_text.parse(f"<p>{piece * times}</p>")
+    assert sum(n.digits for n in nodes) == 2 * times
+
+
 def test_a_page_without_landmarks(model):
     menu = "".join(f"<a href=/{i}>Item</a> " for i in range(9))
     page = f"<body><div>{menu}</div><div><p>{LONG} {LONG}</p><p>{LONG}</p></div><div>{menu}</div></body>"

@@ -77,3 +77,10 @@ def test_poor_texts_of_any_length_are_junk(spark):
     rows = quality.described(docs.unionByName(more))
     kept = quality.scored(rows, quality.train(rows)).where(f"keep and doc_id >= {10**9}")
     assert kept.count() == 0
+
+
+def test_all_neighbouring_pairs_count():
+    """Each pair is seen, wherever it stands."""
+    for lead in range(4):
+        text = b"word " * lead + b"a1 b-c " + b"word " * 4
+        assert quality._slot(b"s:a0 a-a") in quality.traits(text).features

@@ -45,6 +45,7 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(r"""(class|id|role|style|aria-hidden|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _TOKENS = re.compile(r"[a-z0-9]+")
+_DIGITS = "0123456789"
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 # Markup in these is no markup of the page.
 _RAW = {"script", "style", "textarea", "title", "template", "iframe"}
@@ -125,7 +126,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, int, str]]]:
                 node.links += size if linked else 0
                 node.words += text.count(" ") + 1
                 node.marks += text.count(".") + text.count(",")
-                node.digits += sum(map(str.isdigit, text)) if size < 200 else 0
+                node.digits += sum(map(text.count, _DIGITS) if text.isascii() else map(str.isdigit, text))
 
     def close(upto: int) -> None:
         nonlocal linked

@@ -136,7 +136,7 @@ def traits(text: bytes) -> Traits:
     )
     votes = [*(GOOD * x for x in good), *(JUNK * x for x in junk)]
     counts = Counter(shapes)
-    counts.update(a + b" " + b for a, b in zip(shapes[::3], shapes[1::3]))
+    counts.update(a + b" " + b for a, b in zip(shapes, shapes[1:]))
     total = len(shapes)
     features: dict[int, float] = {}
     for shape, count in counts.items():
