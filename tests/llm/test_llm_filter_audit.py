@@ -1,0 +1,111 @@
+import itertools
+import random
+
+import pytest
+
+import brute
+import oracle
+from conftest_rows import CLASHING
+from voltrail.llm import filter_audit
+
+DOCS = "doc_id long, text string, source string"
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def fails(text):
+    w = brute.words(text)
+    return {
+        "A": len(w) < 200,
+        "B": 100 * len(set(w)) < 50 * len(w),
+        "C": 100 * sum("A" <= c <= "Z" for c in text) > 2 * len(text),
+        "D": any(c in "#$%&*|" for c in text),
+    }
+
+
+def audit(docs, labels):
+    """Every order applied to every document, one after another."""
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
+    first = {}
+    for i, text, _ in docs:
+        if i is not None:
+            first[text or ""] = min(first.get(text or "", i), i)
+    out, parts = {}, {}
+    for i, text, source in docs:
+        text = text or ""
+        failed = fails(text) | {"E": i is not None and i > first[text]}
+        parts.setdefault(source or "", []).append((i, {f for f in failed if failed[f]}))
+    for part, rows in parts.items():
+        shapley = dict.fromkeys("ABCDE", 0)
+        for order in itertools.permutations("ABCDE"):
+            left = list(rows)
+            for step, f in enumerate(order, 1):
+                gone = [r for r in left if f in r[1]]
+                left = [r for r in left if f not in r[1]]
+                shapley[f] += len(gone)
+                out[part, "".join(order), step] = [
+                    len(left),
+                    len(gone),
+                    sum(f in r[1] for r in rows) - len(gone) - sum(f in r[1] for r in left),
+                    sum(r[1] == {f} for r in rows),
+                    sum(r[0] in good for r in gone if r[0] is not None),
+                    sum(r[0] in toxic for r in gone if r[0] is not None),
+                ]
+        for (p, order, step), row in out.items():
+            if p == part:
+                row.append(shapley[order[step - 1]])
+    return out
+
+
+def rows(df):
+    names = ["kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"]
+    return {(r["part"], r["filter_order"], r["step"]): [r[n] for n in names] for r in df.collect()}
+
+
+def documents():
+    rng = random.Random(8)
+    words = ["alpha", "Beta", "é", "gamma.", "x1", "ÀÉ", "delta", "a|b", "$5", "zeta\n", "ALL"]
+    texts = [None, "", " \t\n\x0b\x0c\r", "#", "ALL CAPS", "a " * 199, "a " * 200, "a b " * 200]
+    texts += [" ".join(rng.choice(words) + str(rng.randrange(400)) * rng.randrange(2) for _ in range(rng.randint(1, 500))) for _ in range(40)]
+    texts += [" ".join(f"w{i}" for i in range(n)) for n in (199, 200, 100, 30_000)]
+    docs = [(i, rng.choice(texts), rng.choice(["s1", "s2", None, "", "é"])) for i in range(160)]
+    docs += [(None, texts[9], "s1"), (None, texts[9], "s1"), (None, "own", None), (5, texts[9], "s2"), (5, texts[9], "s2"), (-3, texts[9], "s2")]
+    labels = [(i, rng.choice([0, 1, None]), rng.choice([0, 1, None])) for i in range(0, 150, 2)]
+    return docs, [*labels, (4, 1, 0), (4, 0, 1), (None, 1, 1), (999, 1, 1)]
+
+
+def test_every_order_of_every_document(folder, spark):
+    docs, labels = documents()
+    folder("labels", labels, LABELS, CLASHING)
+    sf = folder("documents", docs, DOCS, CLASHING)
+    got = rows(filter_audit.op12_filter_audit(spark, sf))
+    assert got == audit(docs, labels)
+    assert len(got) == 600 * len({s or "" for _, _, s in docs})
+
+
+def test_sql_agrees_on_odd_rows(folder, spark):
+    docs, labels = documents()
+    folder("labels", labels, LABELS)
+    sf = folder("documents", docs, DOCS)
+    con = oracle.duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf}/{name}.parquet/*.parquet')")
+    oracle.compare(filter_audit.op12_filter_audit(spark, sf), con, filter_audit.SQL["op12_filter_audit"])
+
+
+def test_empty_tables(folder, spark):
+    folder("labels", [], LABELS)
+    assert filter_audit.op12_filter_audit(spark, folder("documents", [], DOCS)).collect() == []
+    got = rows(filter_audit.op12_filter_audit(spark, folder("documents", [(1, "one", "s")], DOCS)))
+    assert got == audit([(1, "one", "s")], [])
+
+
+@pytest.mark.parametrize("n", [1, 2**40, 2**62 // 120])
+def test_fields_do_not_overflow(n):
+    """Large counts in every field at once, read back from one integer."""
+    every = sum(n * filter_audit.wide(mask) for mask in range(32))
+    counts = filter_audit.unpacked(every)
+    one = filter_audit.unpacked(sum(filter_audit.wide(mask) for mask in range(32)))
+    assert (counts == one * n).all() and one.shape == (120, 5, 3)
+    # Of the 16 masks with a filter's bit, one has no other.
+    assert (one[:, 0, 0] == 16).all() and (one[:, :, :2].sum(axis=2) == 16).all() and (one[:, :, 2] == 1).all()

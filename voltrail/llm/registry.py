@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltrail.llm import bpe, fingerprints, html_text, line_dedup, mixing, neighbours, quality, repeats, secrets, simhash_dedup
+from voltrail.llm import (
+    bpe,
+    conversation_repair,
+    filter_audit,
+    fingerprints,
+    html_text,
+    licenses,
+    line_dedup,
+    mixing,
+    neighbours,
+    quality,
+    repeats,
+    secrets,
+    simhash_dedup,
+)
 
 _MODULES = (
     line_dedup,
@@ -19,6 +33,9 @@ _MODULES = (
     mixing,
     html_text,
     secrets,
+    licenses,
+    filter_audit,
+    conversation_repair,
 )
 
 
