@@ -75,7 +75,7 @@ def raw_schema(ts_type: T.DataType = T.TimestampType()) -> T.StructType:
     return T.StructType(fields + system)
 
 
-def _assignable(actual: T.DataType, expected: T.DataType) -> bool:
+def assignable(actual: T.DataType, expected: T.DataType) -> bool:
     """Store-assignment rules: numbers among numbers, times among times."""
     times = (T.TimestampType, T.TimestampNTZType, T.DateType)
     if isinstance(expected, T.StringType):
@@ -113,7 +113,7 @@ def findings(schema: T.StructType) -> list[Finding]:
             out.append(Finding(field.name, expected, None, "missing"))
             continue
         actual = schema[source].dataType
-        if not _assignable(actual, field.type):
+        if not assignable(actual, field.type):
             status = "incompatible"
         elif actual == field.type or (field.name == "ts" and isinstance(actual, T.TimestampNTZType)):
             status = "ok"

@@ -41,3 +41,26 @@ def rejected_messages(messages: DataFrame, body: str = "body") -> DataFrame:
 def wanted_archives(keys: DataFrame, key: str = "key") -> DataFrame:
     """Keys of archives to unpack."""
     return keys.where(is_raw_archive_key(F.col(key)))
+
+
+def notified(messages: DataFrame, body: str = "body") -> DataFrame:
+    """What each message tells, in one pass: `kind` object with `key` and `version`, or
+    rejected with the body as key.
+
+    The version tells uploads of one key apart: the record's sequencer, version or
+    tag, whichever it has. An object that is uploaded anew is told anew.
+    """
+    path = lambda r, p: F.try_variant_get(r, p, "string")
+    objects = F.transform(
+        F.try_variant_get("_envelope", "$.Records", "array<variant>"),
+        lambda r: F.struct(
+            F.lit("object").alias("kind"),
+            decode_key(path(r, "$.s3.object.key")).alias("key"),
+            F.coalesce(
+                *[path(r, f"$.s3.object.{p}") for p in ("sequencer", "versionId", "eTag")], F.lit("")
+            ).alias("version"),
+        ),
+    )
+    refused = F.array(F.struct(F.lit("rejected").alias("kind"), F.col(body).alias("key"), F.lit("").alias("version")))
+    told = F.when(F.col("_envelope").isNull(), refused).otherwise(objects)
+    return _parsed(messages, body).where(F.col(body).isNotNull()).select(F.inline(told)).where("key IS NOT NULL")

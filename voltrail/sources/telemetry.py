@@ -3,68 +3,45 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltrail import contract
 from voltrail.functions.columns import primary_key
-from voltrail.plans import catalog
-
-
-def _footer_schemas(spark: SparkSession, paths: list[str]) -> list[T.StructType]:
-    """Columns of the files from all footers, read by a Spark job; more than one schema,
-    from halves of the files, only where files differ in the type of a column."""
-    reader = spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
-    try:
-        return [reader.parquet(*paths).schema]
-    except Py4JJavaError as error:
-        if "MERGE_SCHEMA" not in str(error):
-            raise
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path")
-    each = [r["path"] for r in files.orderBy("path").collect()]
-    if len(each) < 2:
-        raise contract.ContractError(f"no one schema: {each}")
-    half = len(each) // 2
-    return _footer_schemas(spark, each[:half]) + _footer_schemas(spark, each[half:])
-
-
-def _wider(name: str, a: T.DataType, b: T.DataType) -> T.DataType:
-    """The number type that holds both."""
-    whole, broken = (T.ByteType, T.ShortType, T.IntegerType, T.LongType), (T.FloatType, T.DoubleType)
-    for types in (whole, broken):
-        if isinstance(a, types) and isinstance(b, types):
-            return max(a, b, key=lambda t: types.index(type(t)))
-    if a != b:
-        raise contract.ContractError(f"column {name} is {a.simpleString()} and {b.simpleString()}")
-    return a
+from voltrail.operators.clean import clean
+from voltrail.plans import compaction
+from voltrail.sources import footers
 
 
 def file_schema(
     spark: SparkSession, path: str, ts_type: T.DataType = T.TimestampType()
 ) -> T.StructType:
-    """Columns that any of the landing files has.
+    """Contract columns that any of the landing files has, in the types that read them all.
 
-    Names are matched without case, as streams do, and contract columns are named as the
-    contract spells them; numbers of different width have the widest type. A folder
-    without files has the declared columns; a path that does not exist is an error.
+    Names are matched without case and spelled as the contract does. A folder
+    without files has the declared columns; a path that does not exist is an error, and so
+    are files that no one schema reads.
     """
-    try:
-        schemas = _footer_schemas(spark, [path])
-    except AnalysisException as error:
-        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        return contract.raw_schema(ts_type)
-    spelled = {f.raw_name.lower(): f.raw_name for f in contract.FIELDS}
-    found: dict[str, T.StructField] = {}
-    for field in (f for schema in schemas for f in schema.fields):
-        key = field.name.lower()
-        known = found.setdefault(key, T.StructField(spelled.get(key, field.name), field.dataType))
-        known.dataType = _wider(known.name, known.dataType, field.dataType)
-    return T.StructType(list(found.values()))
+    found = footers.survey(footers.landing_files(spark, path))
+    found.require()
+    if len(found.groups) > 1:
+        kinds = [f"{f.name} {f.dataType.simpleString()}" for g in found.groups for f in g.schema]
+        raise contract.ContractError(f"no one schema: {sorted(set(kinds))}")
+    return found.groups[0].schema if found.groups else contract.raw_schema(ts_type)
+
+
+def _whole(schema: T.StructType, ts_type: T.DataType) -> T.StructType:
+    """The schema with the contract columns it lacks, so their rows have NULL there."""
+    seen = {name.lower() for name in schema.names}
+    declared = [
+        f
+        for f in contract.raw_schema(ts_type)
+        if f.name.lower() not in seen and f.name not in contract.SYSTEM_COLUMNS
+    ]
+    return T.StructType([*schema.fields, *declared])
 
 
 def read_raw(
@@ -78,17 +55,43 @@ def read_raw(
     Files may differ in their columns and in the case of names. Contract columns that
     no file has are declared too, so the rows have NULL there.
     """
-    found = found or file_schema(spark, path, ts_type)
-    seen = {name.lower() for name in found.names}
-    declared = [
-        f
-        for f in contract.raw_schema(ts_type)
-        if f.name.lower() not in seen and f.name not in (*contract.MANDATORY, *contract.SYSTEM_COLUMNS)
-    ]
-    schema = T.StructType([*found.fields, *declared])
+    schema = _whole(found or file_schema(spark, path, ts_type), ts_type)
     return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
 
+def read_cleaned(
+    spark: SparkSession,
+    files: DataFrame,
+    found: footers.Survey,
+    ts_type: T.DataType = T.TimestampType(),
+    places: list[str] | None = None,
+) -> DataFrame:
+    """Cleaned rows of the surveyed `files`, each group read with its own schema.
+
+    Where one schema reads them all, Spark is given `places` (their folder, or their names)
+    if known; else the names of each group's files, as Spark's readers need them.
+    """
+    if not found.groups:
+        empty = spark.createDataFrame([], contract.raw_schema(ts_type))
+        return clean(empty, ts_type)
+    if len(found.groups) == 1 and places and not found.unusable:
+        reader = spark.read.schema(_whole(found.groups[0].schema, ts_type))
+        return clean(reader.option("recursiveFileLookup", "true").parquet(*places), ts_type)
+    names = footers.paths_of(files, [s for g in found.groups for s in g.shapes])
+    return reduce(
+        DataFrame.unionByName,
+        [
+            clean(
+                spark.read.schema(_whole(g.schema, ts_type)).parquet(
+                    *[footers.literal_path(p) for s in g.shapes for p in names.get(s, [])]
+                ),
+                ts_type,
+            )
+            for g in found.groups
+        ],
+    )
+
+
 def stream_raw(
     spark: SparkSession,
     path: str,
@@ -120,7 +123,7 @@ def scan(
 
     The bounds also go to the partition column, so other days are not opened.
     """
-    df = catalog.fresh_table(spark, table)
+    df = compaction.live_rows(spark, table)
     ts_type = df.schema["ts"].dataType
 
     def at(time: dt.datetime) -> Column:
