@@ -130,6 +130,20 @@ def table_property(spark: SparkSession, table: str, name: str) -> str | None:
     return rows[0]["value"] if rows else None
 
 
+def set_property(spark: SparkSession, table: str, name: str, value: str | None) -> None:
+    """Sets a table property in one statement, or (None) takes it away."""
+    quoted = name.replace("\\", "\\\\").replace("'", "\\'")
+    if value is None:
+        spark.sql(f"ALTER TABLE {table} UNSET TBLPROPERTIES IF EXISTS ('{quoted}')")
+        return
+    text = value.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{quoted}'='{text}')")
+
+
+def properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
 def catalog_report(spark: SparkSession, namespace: str) -> DataFrame:
     """Per table of the namespace: columns, partitions and rows.
 

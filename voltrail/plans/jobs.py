@@ -12,9 +12,10 @@ from pyspark.sql import types as T
 
 from voltrail import contract
 from voltrail.operators import summaries
-from voltrail.operators.clean import clean, with_vehicle
-from voltrail.plans import catalog, writes
-from voltrail.sources.telemetry import file_schema, read_raw, scan
+from voltrail.operators.clean import with_vehicle
+from voltrail.plans import catalog, compaction, ledger, writes
+from voltrail.sources import footers
+from voltrail.sources.telemetry import read_cleaned, scan
 
 
 # Fixed value: the table's name.
@@ -32,24 +33,26 @@ def ingest(
 ) -> DataFrame:
     """Reads, cleans and loads the landing files; returns the row-count audit.
 
-    The data is read once, by the load. Counts come from file footers and from
-    the rows the table holds afterwards, so tasks run twice cannot distort them.
-    Rows before and after are counted in one job each; key counts are those of the load.
-    Rows that name no vehicle, as from files without that column, are rejected and counted.
+    The data is read once, by the load. What was read is told by the landing files' footers,
+    what was written by those of the load's own files, and what the table holds by its
+    ledger, so tasks run twice cannot distort them and no file of another load is opened.
+    Files whose columns differ in type are read in groups. Rows that name no vehicle, as from
+    files without that column, are rejected and counted; a file that cannot be loaded stops
+    the job before it writes.
     """
     catalog.ensure_telemetry_table(spark, table, ts_type, provider)
-    before = catalog.fresh_table(spark, table).count()
-    schema = file_schema(spark, input_path, ts_type)
-    found = contract.require(schema)
-    raw = read_raw(spark, input_path, ts_type, schema)
-    writes.load_telemetry(with_vehicle(clean(raw, ts_type)), table, load_id, gather_days)
-    stored = catalog.fresh_table(spark, table)
-    after = stored.count()
-    own = stored.where(F.col(contract.LOAD) == load_id)
-    load = own.agg(F.count("*").alias("rows"), F.count(contract.KEY).alias("keys")).first()
-    missing = [f.column for f in found if f.status == "missing"]
-    read = raw.count()
-    row = (load_id, before, read, load["rows"], read - load["rows"], load["rows"] - load["keys"], after, missing)
+    if not compaction.may_load(spark, table, load_id):
+        raise ValueError(f"load {load_id} of {table} is closed: its rows may be packed with others")
+    files = footers.landing_files(spark, input_path)
+    found = footers.survey(files)
+    found.require()
+    others, own = ledger.rows_by_load(spark, table, load_id)
+    cleaned = read_cleaned(spark, files, found, ts_type, [input_path])
+    writes.load_telemetry(with_vehicle(cleaned), table, load_id, gather_days)
+    written, null_keys = ledger.own_rows(spark, table, load_id)
+    ledger.note(spark, table, load_id, found.rows, written, null_keys)
+    missing = [] if not found.groups else [c for c in contract.COLUMNS if c not in (*found.columns, contract.KEY)]
+    row = (load_id, others + own, found.rows, written, found.rows - written, null_keys, others + written, missing)
     return spark.createDataFrame(
         [row],
         "load_id string, rows_before bigint, rows_read bigint, rows_written bigint, rows_rejected bigint, "
@@ -91,7 +94,7 @@ def refresh_summary_days(
     equals a full rebuild when rows of other days did not change.
     """
     wanted = list(days)
-    base = catalog.fresh_table(spark, table)
+    base = compaction.live_rows(spark, table)
     if contract.DAY in base.columns:
         base = base.where(_on_days(F.col(contract.DAY), wanted))
     base = base.where(_on_days(F.to_date("ts"), wanted)).select(*contract.COLUMNS)

@@ -129,20 +129,33 @@ def load_telemetry(cleaned: DataFrame, table: str, load_id: str, gather_days: bo
         drop_partitions(spark, table, [p for p in held if p[contract.DAY] not in now])
 
 
-def count_rejected(rejected: DataFrame, table: str, load_id: str) -> int:
-    """Notes in `<table>_rejected` how many rows a load rejects; a repeat replaces the note."""
-    spark, notes = rejected.sparkSession, f"{table}_rejected"
-    count = rejected.count()
+def _noted(spark: SparkSession, notes: str, rows: list[tuple], columns: str, load_id: str) -> None:
+    """Notes of one load in a small table; a repeat replaces them, without rows they go."""
     known = catalog.table_exists(spark, notes)
-    if count and not known:
+    if rows and not known:
         spark.sql(
-            f"CREATE TABLE {notes} (`rows_rejected` bigint, `{contract.LOAD}` string) USING parquet "
+            f"CREATE TABLE {notes} ({columns}, `{contract.LOAD}` string) USING parquet "
             f"OPTIONS ('partitionOverwriteMode'='dynamic') PARTITIONED BY (`{contract.LOAD}`)"
         )
-    if count or known:
-        row = spark.createDataFrame([(count, load_id)], f"rows_rejected bigint, {contract.LOAD} string")
-        replace_partitions(row, notes)
-    return count
+    if rows:
+        schema = f"{columns}, {contract.LOAD} string"
+        made = spark.createDataFrame([(*r, load_id) for r in rows], schema)
+        replace_partitions(made.coalesce(1), notes)
+    elif known and catalog.partition_values(spark, notes, {contract.LOAD: load_id}):
+        drop_partitions(spark, notes, [{contract.LOAD: load_id}])
+
+
+def note_rejected(spark: SparkSession, table: str, load_id: str, count: int) -> None:
+    """Notes in `<table>_rejected` how many rows a load rejects; a repeat replaces the note."""
+    _noted(spark, f"{table}_rejected", [(count,)] if count else [], "rows_rejected bigint", load_id)
+
+
+def note_rejected_files(spark: SparkSession, table: str, load_id: str, unusable: list) -> None:
+    """Notes in `<table>_rejected_files` the files that could not be loaded, by reason, with
+    the name of one of them; a repeat replaces the notes."""
+    rows = [(u.reason, u.files, u.rows, u.path) for u in unusable]
+    columns = "reason string, files bigint, file_rows bigint, example string"
+    _noted(spark, f"{table}_rejected_files", rows, columns, load_id)
 
 
 def _columns(df: DataFrame) -> dict[str, T.DataType]:
