@@ -1,5 +1,6 @@
 import datetime as dt
 import glob
+import json
 import shutil
 import zipfile
 
@@ -216,3 +217,82 @@ def test_odd_targets_do_not_stop_the_stream(spark, tmp_path):
     }
     files = {str(p.relative_to(target / "odd.zip")): p.read_bytes() for p in target.rglob("*") if p.is_file()}
     assert files == {"a.txt": b"0", "a.txt_0": b"2", "b/c": b"4", "d/e": b"6"}
+
+
+def sent(folder, name, *bodies):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("".join(json.dumps({"body": b}) + "\n" for b in bodies))
+
+
+def told(*keys, **more):
+    records = [{"s3": {"object": {"key": k, **more}}} for k in keys]
+    return json.dumps({"Records": records})
+
+
+def test_a_message_in_two_batches_lands_once(spark, tmp_path):
+    from voltrail.streaming.unpack import message_stream, unpack_notified_stream
+
+    for name in "abc":
+        archive(tmp_path / "raw" / f"{name} 1.zip", [("n", name.encode())])
+    inbox, manifest = tmp_path / "inbox", tmp_path / "m"
+
+    def run():
+        unpack_notified_stream(
+            message_stream(spark, str(inbox), 1), str(tmp_path), str(tmp_path / "out"), str(manifest), str(tmp_path / "c")
+        ).awaitTermination()
+
+    sent(inbox, "1.json", told("raw/a+1.zip"), told("raw/a+1.zip", "other/x.zip"), "no json", '{"Event":"test"}')
+    run()
+    sent(inbox, "2.json", told("raw/a+1.zip"), told("raw/b%201.zip"), "no json")
+    sent(inbox, "3.json", told("raw/b+1.zip", "raw/gone.zip"), None)
+    run()  # after a restart
+    archive(tmp_path / "raw" / "a 1.zip", [("n", b"again")])
+    sent(inbox, "4.json", told("raw/a+1.zip", sequencer="2"), told("raw/c+1.zip"), told("raw/gone.zip"))
+    run()
+    run()
+    rows = spark.read.parquet(str(manifest / "members"))
+    landed = sorted((r["path"].rsplit("/", 1)[1], r["status"]) for r in rows.collect())
+    assert landed == [
+        ("a 1.zip", "landed"), ("a 1.zip", "landed"), ("b 1.zip", "landed"), ("c 1.zip", "landed"), ("gone.zip", "unreadable"),
+    ]
+    assert (tmp_path / "out/raw/a 1.zip/n").read_bytes() == b"again"
+    assert [r["body"] for r in spark.read.parquet(str(manifest / "rejected")).collect()] == ["no json"]
+
+
+def test_a_replayed_batch_of_messages_lands_the_same(spark, tmp_path):
+    from voltrail.streaming.unpack import message_stream, unpack_notified_stream
+
+    archive(tmp_path / "raw" / "a.zip", [("n", b"1")])
+    checkpoint = tmp_path / "c"
+
+    def run():
+        unpack_notified_stream(
+            message_stream(spark, str(tmp_path / "inbox")), str(tmp_path), str(tmp_path / "out"), str(tmp_path / "m"), str(checkpoint)
+        ).awaitTermination()
+
+    sent(tmp_path / "inbox", "1.json", told("raw/a.zip"), told("raw/a.zip"))
+    run()
+    for file in checkpoint.glob("commits/*0*"):
+        shutil.move(file, tmp_path / f"lost-{file.name}")
+    run()
+    assert [r["status"] for r in spark.read.parquet(str(tmp_path / "m/members")).collect()] == ["landed"]
+
+
+def test_members_without_target_are_not_gathered(spark):
+    """Half of the members have no target: no task gets them all."""
+    from voltrail.streaming.unpack import settled_targets
+
+    target = "if(id % 2 = 0, concat('file:/out/', id % 1000), null) AS target"
+    members = spark.range(40_000).selectExpr("'p' AS path", "cast(id AS int) AS position", target)
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        settled = settled_targets(members)
+        sizes = [r["count"] for r in settled.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 40_000 and max(sizes) < 6_000
+    assert settled.where("target IS NOT NULL").count() == 500

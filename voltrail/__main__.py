@@ -7,10 +7,15 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from voltrail.plans import catalog, jobs
+from voltrail.operators import audit
+from voltrail.operators.summaries import SUMMARIES
+from voltrail.plans import catalog, compaction, jobs
 from voltrail.session import build_session
 from voltrail.streaming.ingest import ingest_stream
-from voltrail.streaming.unpack import unpack_notified, unpack_to_files
+from voltrail.streaming.unpack import message_stream, unpack_notified, unpack_notified_stream, unpack_to_files
+
+#: Rows of each summary that the jobs show.
+PREVIEW_ROWS = 5
 
 
 def _table(args) -> str:
@@ -24,12 +29,27 @@ def load(spark: SparkSession, args) -> None:
     ).show(truncate=False)
 
 
+def _tell(spark: SparkSession, namespace: str) -> None:
+    """Rows of each summary table, from one job, and the first rows of each."""
+    tables = {name: jobs.read_summary(spark, namespace, name) for name in SUMMARIES}
+    audit.table_stats(tables).show(truncate=False)
+    for name, df in tables.items():
+        print(name)
+        audit.preview(df, ["vin_id", "date"], PREVIEW_ROWS).show(truncate=False)
+
+
 def summaries(spark: SparkSession, args) -> None:
     jobs.refresh_summaries(spark, _table(args), args.namespace, args.provider)
+    _tell(spark, args.namespace)
 
 
 def days(spark: SparkSession, args) -> None:
     jobs.refresh_summary_days(spark, _table(args), args.namespace, args.days)
+    _tell(spark, args.namespace)
+
+
+def pack(spark: SparkSession, args) -> None:
+    print(compaction.compact(spark, _table(args), tuple(args.settled)), "partitions packed")
 
 
 def unpack(spark: SparkSession, args) -> None:
@@ -50,6 +70,17 @@ def stream_unpack(spark: SparkSession, args) -> None:
     ).awaitTermination()
 
 
+def stream_notified(spark: SparkSession, args) -> None:
+    unpack_notified_stream(
+        message_stream(spark, args.messages),
+        args.root,
+        args.target,
+        args.manifest,
+        args.checkpoint,
+        remember=args.remember,
+    ).awaitTermination()
+
+
 def parser() -> argparse.ArgumentParser:
     whole = argparse.ArgumentParser(prog="voltrail", description=__doc__)
     commands = whole.add_subparsers(required=True)
@@ -76,6 +107,13 @@ def parser() -> argparse.ArgumentParser:
         stream_unpack, "stream-unpack", "new archives to files", "source", "target", "manifest", "checkpoint"
     )
     own.add_argument("--glob", help="names of the archives to take")
+    own = command(
+        stream_notified, "stream-notified", "archives named by arriving messages", "messages", "root", "target",
+        "manifest", "checkpoint",
+    )
+    own.add_argument("--remember", default="7 days", help="how long a message sent again is known")
+    own = command(pack, "compact", "small loads of each day put together", "namespace")
+    own.add_argument("--settled", nargs="*", default=[], help="batch loads that will not be loaded again")
     return whole
 
 

@@ -61,8 +61,11 @@ def settled_targets(members: DataFrame) -> DataFrame:
     )
     clear = F.regexp_replace("target", "^[a-z0-9]+:/+", "/")
     last = Window.partitionBy("target").orderBy(F.desc("position"), F.desc("path"))
+    # Folders, errors and empty archives have no target: they are none of the window's
+    # business, and there may be very many of them.
     placed = (
-        members.withColumn("place", F.when(F.col("target").isNotNull(), F.row_number().over(last)))
+        members.where(F.col("target").isNotNull())
+        .withColumn("place", F.row_number().over(last))
         .join(folders.distinct(), clear == F.col("folder"), "left")
         .withColumn(
             "problem",
@@ -71,7 +74,9 @@ def settled_targets(members: DataFrame) -> DataFrame:
             .when(F.col("place") > 1, REPLACED),
         )
     )
-    return placed.withColumn("target", F.when(F.col("problem").isNull(), F.col("target"))).drop("place", "folder")
+    placed = placed.withColumn("target", F.when(F.col("problem").isNull(), F.col("target"))).drop("place", "folder")
+    placeless = members.where(F.col("target").isNull()).withColumn("problem", F.lit(None).cast("string"))
+    return placed.unionByName(placeless)
 
 
 def land_archives(archive_files: DataFrame, source: str, target: str) -> DataFrame:
@@ -129,6 +134,60 @@ def unpack_notified(notifications: DataFrame, root: str, target: str, manifest:
     return spark.read.schema(landed.schema).parquet(places[0])
 
 
+def message_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = FILES_PER_BATCH) -> DataFrame:
+    """Messages (`body`) from JSON files as they arrive."""
+    reader = spark.readStream.schema("body string").option("recursiveFileLookup", "true")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.json(path)
+
+
+def unpack_notified_stream(
+    notifications: DataFrame,
+    root: str,
+    target: str,
+    manifest: str,
+    checkpoint: str,
+    name: str = "unpack-notified",
+    remember: str = "7 days",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Lands the archives that arriving messages name, each upload once.
+
+    The stream's state keeps what it was told for the time `remember`, so a message that
+    is sent again lands nothing again, in a later batch or after a restart either. Time is
+    that of the batch: no message is too late, however old the event it tells of. What a
+    batch was told, what became of the members, and bodies that are no JSON are below
+    `manifest` under stream and batch; a batch played again replaces them.
+    """
+    spark = notifications.sparkSession
+    told = (
+        messages.notified(notifications)
+        .withColumn("seen", F.current_timestamp())
+        .withWatermark("seen", remember)
+        .dropDuplicatesWithinWatermark(["kind", "key", "version"])
+    )
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        place = f"stream={stream_id(batch, name)}/batch_id={batch_id}"
+        # Kept before it is used twice: the batch itself would ask the state twice.
+        batch.drop("seen").write.mode("overwrite").parquet(f"{manifest}/told/{place}")
+        rows = spark.read.schema("kind string, key string, version string").parquet(f"{manifest}/told/{place}")
+        rejected = rows.where("kind = 'rejected'").select(F.col("key").alias("body"))
+        rejected.write.mode("overwrite").parquet(f"{manifest}/rejected/{place}")
+        keys = messages.wanted_archives(rows.where("kind = 'object'"))
+        landed = land_archives(archives.locate_archives(keys, qualify(spark, root)), root, target)
+        landed.write.mode("overwrite").parquet(f"{manifest}/members/{place}")
+
+    return (
+        told.writeStream.queryName(name)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .foreachBatch(land)
+        .start()
+    )
+
+
 def _run(
     archive_files: DataFrame, per_batch, output: str, checkpoint: str, name: str, trigger: dict | None
 ) -> StreamingQuery:
