@@ -148,6 +148,28 @@ def ingest_mixed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.select("rows_read", "rows_written", "rows_rejected", "missing").crossJoin(counts)
 
 
+def ingest_files_of_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ingest job over files whose types differ: a contract column as int, bigint, double
+    and tinyint, an extra column and a system column as number and as text."""
+    landing = new_workdir(spark, "landing")
+    raw = raw_telemetry(spark, sf_dir)
+    fuel = F.col("Fuel_Percentage")
+    parts = [
+        raw.withColumn("cabin", F.lit(21)),
+        raw.withColumn("Fuel_Percentage", fuel.cast("bigint")).withColumn("cabin", F.lit("warm")),
+        raw.withColumn("Fuel_Percentage", fuel.cast("double")).withColumn("__op_type", F.lit("insert")),
+        raw.withColumn("Fuel_Percentage", fuel.cast("tinyint")).withColumn("DISPLAY_SPEED", F.col("DISPLAY_SPEED").cast("double")),
+    ]
+    for i, part in enumerate(parts):
+        part.write.parquet(f"{landing}/{i}")
+    name = f"{fresh_namespace(spark)}.canbus01"
+    line = jobs.ingest(spark, landing, name, "load-1", NTZ).select("rows_read", "rows_written", "null_keys")
+    sums = scan(spark, name).groupBy("vin_id").agg(
+        F.count("*").alias("n"), F.sum("fuel_percentage").alias("fuel"), F.max("display_speed").alias("speed")
+    )
+    return sums.crossJoin(F.broadcast(line))
+
+
 EXPORTED = ("copy", "snappy", "lz4", "deflate", "zstd", "bzip2")
 
 
@@ -210,6 +232,7 @@ QUERIES = {
     "refreshed_summary_days": refreshed_summary_days,
     "ingest_job": ingest_job,
     "ingest_mixed_files": ingest_mixed_files,
+    "ingest_files_of_types": ingest_files_of_types,
     "repeated_load_shrinks": repeated_load_shrinks,
     "repeated_load_daily": repeated_load_daily,
     "repeated_load_charging": repeated_load_charging,
@@ -253,6 +276,12 @@ SELECT CAST(3 * COUNT(*) AS BIGINT) AS rows_read, CAST(2 * COUNT(*) AS BIGINT) A
        COUNT(*) AS rows_rejected, 'road_mode' AS missing, CAST(2 * COUNT(fuel_percentage) AS BIGINT) AS fuel,
        COUNT(clean_mode) AS clean, COUNT(endurance_type) AS endurance
 FROM cleaned WHERE vin_id IS NOT NULL""",
+    "ingest_files_of_types": f"""{WITH_CLEANED}, t AS (SELECT COUNT(*) AS n FROM cleaned WHERE vin_id IS NOT NULL)
+SELECT vin_id, CAST(4 * COUNT(*) AS BIGINT) AS n, CAST(4 * SUM(fuel_percentage) AS BIGINT) AS fuel,
+       MAX(display_speed) AS speed,
+       (SELECT CAST(4 * COUNT(*) AS BIGINT) FROM cleaned) AS rows_read, CAST(4 * ANY_VALUE(t.n) AS BIGINT) AS rows_written,
+       (SELECT CAST(4 * COUNT(*) FILTER (ts IS NULL) AS BIGINT) FROM cleaned) AS null_keys
+FROM cleaned, t WHERE vin_id IS NOT NULL GROUP BY vin_id""",
     "repeated_load_shrinks": f"{_CLEAN} WHERE {_EARLY}",
     **{
         name: f"{WITH_CLEANED}, part AS (SELECT * FROM cleaned WHERE {_EARLY}) {body.format(source='part')}"
