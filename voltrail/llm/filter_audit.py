@@ -10,7 +10,7 @@ ones. A field can hold any count that fits a long, so no field runs into the nex
 the sums are unpacked field by field.
 
 Whether a text is identical to that of a smaller doc_id is told from SHA-256 digests: the
-smallest doc_id per digest, combined before the shuffle, joined back to narrow rows.
+smallest doc_id per digest, from rows that are combined by digest, part and labels first.
 
 Defined results: a null text is empty, a null source the part ''; rows without doc_id
 have no smaller one, are no smaller one for others and have no labels; rows that share a
@@ -50,7 +50,7 @@ def _mask(fails: list[Column]) -> Column:
 
 
 def failure_masks(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """part, mask, good, toxic of every document, with the five filters of the contract."""
+    """part, mask, good, toxic and the number `n` of documents, with the contract's filters."""
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"),
@@ -75,22 +75,34 @@ def failure_masks(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ]
     # Read by the search for first copies and by the join with it.
     narrow = stored(counted.select("doc_id", "part", "digest", _mask(own).alias("mask")), "audit-masks")
-    first = narrow.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
     flags = labels.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
         F.coalesce(F.max((F.col("quality") == 1).cast("int")), F.lit(0)).alias("good"),
         F.coalesce(F.max((F.col("toxic") == 1).cast("int")), F.lit(0)).alias("toxic"),
     )
-    copy = F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False))
-    return (
-        narrow.join(first, "digest")
+    # Rows are combined by document, then by text, part and labels, before texts are
+    # compared: a text that a third of all rows hold is a few cells by then.
+    cell = ("digest", "part", "mask", "good", "toxic")
+    cells = (
+        narrow.where("doc_id IS NOT NULL")
         .join(flags, "doc_id", "left")
-        .select(
-            "part",
-            (F.col("mask") + F.when(copy, F.lit(16)).otherwise(F.lit(0))).alias("mask"),
-            F.coalesce("good", F.lit(0)).alias("good"),
-            F.coalesce("toxic", F.lit(0)).alias("toxic"),
-        )
+        .withColumns({c: F.coalesce(c, F.lit(0)) for c in ("good", "toxic")})
+        .groupBy("doc_id", *cell)
+        .agg(F.count("*").alias("n"))
+        .groupBy(*cell)
+        .agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "n")).alias("lowest"))
     )
+    first = cells.groupBy("digest").agg(F.min("lowest.doc_id").alias("first_id"))
+    holds_first = F.col("lowest.doc_id") == F.col("first_id")
+    firsts = F.when(holds_first, F.col("lowest.n")).otherwise(0)
+    split = F.array(
+        F.struct(F.col("mask").alias("mask"), firsts.alias("n")),
+        F.struct((F.col("mask") + 16).alias("mask"), (F.col("n") - firsts).alias("n")),
+    )
+    told = cells.join(first, "digest").select("part", "good", "toxic", F.inline(split)).where("n > 0")
+    nameless = (
+        narrow.where("doc_id IS NULL").groupBy("part", "mask").agg(F.count("*").alias("n"))
+    ).withColumns({"good": F.lit(0), "toxic": F.lit(0)})
+    return told.unionByName(nameless)
 
 
 def orders(filters: str = FILTERS) -> list[str]:
@@ -154,12 +166,13 @@ def _part_rows(cells: list[dict], filters: str) -> list[np.ndarray]:
 
 
 def interactions(masks: DataFrame, filters: str = FILTERS) -> DataFrame:
-    """One row per part, order of the filters and step; `masks` has part, mask, good, toxic."""
+    """One row per part, order of the filters and step; `masks` has part, mask,
+    good, toxic and the number n of documents."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
     arrow = to_arrow_schema(_parse_datatype_string(_OUT))
-    cells = masks.groupBy("part", "mask", "good", "toxic").agg(F.count("*").alias("n"))
+    cells = masks.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n"))
     # At most one cell per mask and label pair.
     parts = cells.groupBy("part").agg(F.collect_list(F.struct("mask", "good", "toxic", "n")).alias("cells"))
 
