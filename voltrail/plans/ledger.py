@@ -80,8 +80,14 @@ def own_rows(spark: SparkSession, table: str, load_id: str) -> tuple[int, int]:
 
 def note(spark: SparkSession, table: str, load_id: str, read: int, written: int, null_keys: int) -> None:
     """Notes a load; the same load again replaces its note."""
-    row = spark.createDataFrame([(read, written, read - written, null_keys, load_id)], _SCHEMA)
-    writes.replace_partitions(row.coalesce(1), _ensure(spark, table))
+    _put(spark, _ensure(spark, table), load_id, (read, written, read - written, null_keys))
+
+
+def _put(spark: SparkSession, name: str, note_id: str, counts: tuple) -> None:
+    """One note, in a partition of its own; one statement and one task."""
+    values = ", ".join(f"{int(c)}L" for c in counts)
+    place = f"PARTITION (`{contract.LOAD}`={writes.literal(note_id)})"
+    spark.sql(f"INSERT OVERWRITE TABLE {name} {place} SELECT {values}")
 
 
 def loads(spark: SparkSession, table: str) -> DataFrame:
@@ -130,8 +136,7 @@ def fold(spark: SparkSession, table: str, stream: str, before: int) -> None:
             F.col(contract.LOAD).isin([x for x in mine if batch_of(x.removesuffix("+"))[1] <= last])
         )
         sums = whole.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _COUNTS]).first()
-        row = spark.createDataFrame([(*(sums[c] for c in _COUNTS), batch_load_id(stream, last) + "+")], _SCHEMA)
-        writes.replace_partitions(row.coalesce(1), name)
+        _put(spark, name, batch_load_id(stream, last) + "+", tuple(sums[c] for c in _COUNTS))
         ids, covered = _notes(spark, name)
     stale = [x for x in mine if not _counts(x, covered)]
     writes.drop_partitions(spark, name, [{contract.LOAD: x} for x in stale])

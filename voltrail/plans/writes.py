@@ -56,12 +56,15 @@ def append_by_name(df: DataFrame, table: str, evolve: bool = False) -> None:
 
 
 def _is_file_table(spark: SparkSession, table: str) -> bool:
-    return catalog.table_details(spark, table).get("Provider", "").lower() in FILE_PROVIDERS
+    return _is_of_files(catalog.table_details(spark, table))
 
 
-def _overwrites_dynamically(spark: SparkSession, table: str) -> bool:
-    properties = catalog.table_details(spark, table).get("Storage Properties", "")
-    return "partitionOverwriteMode=dynamic" in properties
+def _is_of_files(details: dict[str, str]) -> bool:
+    return details.get("Provider", "").lower() in FILE_PROVIDERS
+
+
+def _overwrites_dynamically(details: dict[str, str]) -> bool:
+    return "partitionOverwriteMode=dynamic" in details.get("Storage Properties", "")
 
 
 def replace_partitions(df: DataFrame, table: str) -> None:
@@ -71,15 +74,16 @@ def replace_partitions(df: DataFrame, table: str) -> None:
     made here do: without it the statement would empty the whole table.
     """
     spark = df.sparkSession
-    if not _is_file_table(spark, table):
+    details = catalog.table_details(spark, table)
+    if not _is_of_files(details):
         df.writeTo(table).overwritePartitions()
         return
-    if not _overwrites_dynamically(spark, table):
+    if not _overwrites_dynamically(details):
         raise ValueError(f"{table} was created without partitionOverwriteMode=dynamic")
     spark.sql(f"INSERT OVERWRITE TABLE {table} BY NAME SELECT * FROM {{rows}}", rows=df)
 
 
-def _literal(value: str | None) -> str:
+def literal(value: str | None) -> str:
     return "null" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
@@ -87,7 +91,7 @@ def drop_partitions(spark: SparkSession, table: str, partitions: list[dict[str,
     """Drops these partitions, all in one statement."""
     if partitions:
         specs = ", ".join(
-            "PARTITION (" + ", ".join(f"`{k}`={_literal(v)}" for k, v in p.items()) + ")" for p in partitions
+            "PARTITION (" + ", ".join(f"`{k}`={literal(v)}" for k, v in p.items()) + ")" for p in partitions
         )
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
 
@@ -204,7 +208,7 @@ def create_table_as(
         make(df)
         return
     with stored(df, "refresh") as rows:
-        if not fits or not _overwrites_dynamically(spark, table):
+        if not fits or not _overwrites_dynamically(catalog.table_details(spark, table)):
             make(rows)
             return
         replace_partitions(rows.hint("rebalance", partition_by), table)

@@ -202,24 +202,36 @@ def _schema(types: dict[str, str]) -> T.StructType:
     return T.StructType([T.StructField(_SPELLED[n], T._parse_datatype_string(k)) for n, k in types.items()])
 
 
-def survey(files: DataFrame) -> Survey:
-    """Groups of files (`path`) that one schema reads each, and those that cannot be loaded."""
-    rows = (
-        _footers(files, fold=True)
-        .groupBy("shape", "error")
-        .agg(F.sum("rows").alias("rows"), F.sum("files").alias("files"), F.min("path").alias("path"))
-        .collect()
-    )
+def _merged(rows: list) -> dict[tuple, tuple[int, int, str]]:
+    """Rows, files and the least name per shape and error."""
+    merged: dict[tuple, tuple[int, int, str]] = {}
+    for r in rows:
+        key = (tuple((c["name"], c["type"]) for c in r["shape"]), r["error"])
+        n_rows, n_files, path = merged.get(key, (0, 0, r["path"]))
+        merged[key] = (n_rows + r["rows"], n_files + r["files"], min(path, r["path"]))
+    return merged
+
+
+def survey(files: DataFrame, few: bool = False) -> Survey:
+    """Groups of files (`path`) that one schema reads each, and those that cannot be loaded.
+
+    With `few`, as for a batch of a stream, the tasks' shapes are folded without a shuffle.
+    """
+    folded = _footers(files, fold=True)
+    if not few:
+        folded = folded.groupBy("shape", "error").agg(
+            F.sum("rows").alias("rows"), F.sum("files").alias("files"), F.min("path").alias("path")
+        )
+    rows = folded.collect()
     groups: list[dict] = []
     unusable = []
     # The most common shape leads its group, whatever order the rows come in.
-    for r in sorted(rows, key=lambda r: (-r["files"], r["shape"])):
-        shape = tuple((c["name"], c["type"]) for c in r["shape"])
-        reason = r["error"] or _problem(shape)
+    for (shape, error), (n_rows, n_files, path) in sorted(_merged(rows).items(), key=lambda x: (-x[1][1], x[0][0])):
+        reason = error or _problem(shape)
         if reason:
-            unusable.append(Unusable(reason, r["rows"], r["files"], r["path"], shape))
+            unusable.append(Unusable(reason, n_rows, n_files, path, shape))
         else:
-            _fold(groups, shape, r["rows"], r["files"])
+            _fold(groups, shape, n_rows, n_files)
     return Survey(
         [Group(_schema(g["types"]), g["rows"], g["files"], tuple(g["shapes"])) for g in groups], unusable
     )
