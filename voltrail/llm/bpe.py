@@ -10,6 +10,12 @@ Tokens that all live positions have behind them are final and are emitted, so
 lookahead is bounded by the longest token. States and arcs are made when first met
 and kept in a bounded table.
 
+Texts are encoded some at a time. The distinct pieces of those texts that are not known yet
+step through the transducer together, one byte of all of them at a time: the arcs are a
+hash table of (state, byte) in plain arrays, looked up for all pieces at once, and only arcs
+that nobody has met are made one by one. What is kept of a piece is its ids. Long pieces are
+encoded by themselves, as a stream.
+
 Decoding concatenates token bytes and hands out text through an incremental UTF-8
 state machine, so a character may be spread over chunks.
 
@@ -27,6 +33,7 @@ import hashlib
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -36,14 +43,19 @@ from voltrail.llm.common import content, in_batches, table
 
 #: States kept before the table starts anew, pieces kept likewise. Bounds of memory
 #: only: what is forgotten is made again.
-MAX_STATES = 200_000
-MAX_PIECES = 100_000
+MAX_STATES = 400_000
+MAX_PIECES = 400_000
+#: Characters of texts that are encoded together, and bytes of a piece that is short.
+GROUP = 1 << 20
+SHORT = 64
 #: Texts longer than this many characters are handled in parts.
 PART = 1 << 20
 #: Bytes of a long piece after which final tokens are emitted.
 WINDOW = 1 << 12
 
 _NEVER = 1 << 60
+#: Pieces that step together.
+_TOGETHER = 1 << 14
 
 
 def read_ranks(path: str) -> bytes:
@@ -79,6 +91,7 @@ class Transducer:
         self.states = [first]
         self.arcs: list[dict[int, tuple[int, int, int]]] = [{}]
         self.known_fits: dict[tuple[int, int], bool] = {}
+        self.known = Arcs()
 
     def kind(self, token: int) -> int:
         known = self.kind_of.get(token)
@@ -193,6 +206,53 @@ class Transducer:
         out.extend(reversed(tail))
         return out
 
+    def encode_all(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of short pieces, all of them stepped together, and where each one's end."""
+        if len(self.states) > self.max_states:
+            self._clear()
+        sizes = np.array([len(p) for p in pieces])
+        order = np.argsort(-sizes, kind="stable")
+        sizes = sizes[order]
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        text = np.frombuffer(b"".join([pieces[i] for i in order.tolist()]), np.uint8)
+        lasts = np.zeros((int(sizes[0]), len(order)), np.int32)
+        at = np.zeros(len(order), np.int64)
+        for step in range(int(sizes[0])):
+            # Longest first: those still going are the first ones.
+            going = int(np.searchsorted(-sizes, -step, "left"))
+            at, lasts[step, :going] = self._step(at[:going] * 256 + text[starts[:going] + step])
+        # From the ends back: each last token leads to the place before it.
+        width = self.known.width
+        place, going = sizes.copy(), np.arange(len(order))
+        tails, counts = [], np.zeros(len(order), np.int64)
+        while going.size:
+            token = lasts[place[going] - 1, going]
+            tails.append((going, token))
+            counts[going] += 1
+            place[going] -= width[token]
+            going = going[place[going] > 0]
+        # Numbers of ids in the order of the pieces, then each piece's ids from its end.
+        place = np.empty_like(counts)
+        place[order] = counts
+        ends = np.cumsum(place)
+        free = ends[order]
+        ids = np.empty(int(ends[-1]), "<u4")
+        for going, token in tails:
+            free[going] -= 1
+            ids[free[going]] = token
+        return ids, ends
+
+    def _step(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Next states and last tokens of arcs, given as state * 256 + byte."""
+        found = self.known.find(keys)
+        new = found < 0
+        if new.any():
+            for key in np.unique(keys[new]).tolist():
+                state, token, size = self._arc(key >> 8, key & 255)
+                self.known.add(key, state, token, size)
+            found = self.known.find(keys)
+        return self.known.state[found], self.known.token[found]
+
     def _emit(self, lasts: list[tuple[int, int, int]], at: int, out: list[int]) -> int:
         """Emits what all live positions have in common; returns how many bytes it is."""
         ways = []
@@ -211,12 +271,68 @@ class Transducer:
         return done
 
 
+class Arcs:
+    """Arcs by key, in arrays: open addressing, doubled when half full."""
+
+    def __init__(self) -> None:
+        #: Length of each token met, by id.
+        self.width = np.ones(1 << 16, np.int64)
+        self.count = 0
+        self._make(1 << 16)
+
+    def _make(self, slots: int) -> None:
+        self.shift, self.keys = 64 - slots.bit_length() + 1, np.full(slots, -1, np.int64)
+        self.state, self.token = np.zeros(slots, np.int64), np.zeros(slots, np.int32)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        """Where each key is, or the free slot it would take."""
+        mask = len(self.keys) - 1
+        slots = ((keys.astype(np.uint64) * _SPREAD) >> np.uint64(self.shift)).astype(np.int64)
+        here = self.keys[slots]
+        off = np.flatnonzero((here != keys) & (here >= 0))
+        while off.size:
+            slots[off] = (slots[off] + 1) & mask
+            here = self.keys[slots[off]]
+            off = off[(here != keys[off]) & (here >= 0)]
+        return slots
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Slots of the keys; -1 for those that are not there."""
+        slots = self._slots(keys)
+        return np.where(self.keys[slots] == keys, slots, -1)
+
+    def add(self, key: int, state: int, token: int, size: int) -> None:
+        if 2 * self.count >= len(self.keys):
+            old = self.keys >= 0
+            keys, states, tokens = self.keys[old], self.state[old], self.token[old]
+            self._make(2 * len(self.keys))
+            for one in zip(keys.tolist(), states.tolist(), tokens.tolist()):
+                self._put(*one)
+        self._put(key, state, token)
+        self.count += 1
+        if token >= len(self.width):
+            self.width = np.concatenate([self.width, np.ones(token + 1, np.int64)])
+        self.width[token] = size
+
+    def _put(self, key: int, state: int, token: int) -> None:
+        mask, slot = len(self.keys) - 1, (key * int(_SPREAD) & _WORD) >> self.shift
+        while self.keys[slot] >= 0:
+            slot = (slot + 1) & mask
+        self.keys[slot], self.state[slot], self.token[slot] = key, state, token
+
+
+_WORD = (1 << 64) - 1
+#: An odd number that spreads keys over the slots.
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+
 class Codec(dict):
-    """Pieces to token ids, by the transducer; keeps the ids of frequent pieces."""
+    """Pieces to their ids, as bytes of four each, by the transducer."""
 
     def __init__(self, raw: bytes, pattern: str):
         super().__init__()
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, bytes] = {}
+        self.passing: dict[str, bytes] = {}
         ranks = parse_ranks(raw)
         self.transducer = Transducer(ranks)
         # The tiktoken library takes \s as Unicode's White_Space.
@@ -231,16 +347,46 @@ class Codec(dict):
         self.bytes_of: list[bytes] = [b""] * size
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
-        self.text_of = [str(i) for i in range(size)]
-
-    def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = self.older.get(piece) or self.transducer.encode(piece.encode())
-        if len(piece) <= 64:
-            if len(self) >= MAX_PIECES:
-                self.older = dict(self)
-                self.clear()
-            self[piece] = ids
-        return ids
+        # By id: its bytes in one array, and its decimal text with a space behind.
+        self.sizes = np.array([len(t) for t in self.bytes_of])
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
+        self.all_bytes = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        decimals = [b"%d " % i for i in range(size)]
+        self.digits = np.array([len(d) for d in decimals])
+        wide = int(self.digits.max())
+        self.decimals = np.frombuffer(b"".join(d.ljust(wide) for d in decimals), np.uint8).reshape(size, wide)
+        self.shown = np.arange(wide) < self.digits[:, None]
+
+    def __missing__(self, piece: str) -> bytes:
+        return self.passing[piece]
+
+    def learn(self, pieces: set[str]) -> None:
+        """Sees to it that these pieces are known. Long ones only until the next call."""
+        if len(self) >= MAX_PIECES:
+            self.older = dict(self)
+            self.clear()
+        self.passing = {}
+        new = pieces.difference(self)
+        again = new.intersection(self.older)
+        for piece in again:
+            self[piece] = self.older[piece]
+        ranks, short = self.transducer.ranks, []
+        for piece in new - again:
+            text = piece.encode()
+            whole = ranks.get(text)
+            if whole is not None:
+                self[piece] = whole.to_bytes(4, "little")
+            elif len(text) > SHORT:
+                self.passing[piece] = np.array(self.transducer.encode(text), "<u4").tobytes()
+            else:
+                short.append((piece, text))
+        for at in range(0, len(short), _TOGETHER):
+            some = short[at : at + _TOGETHER]
+            ids, ends = self.transducer.encode_all([text for _, text in some])
+            raw, start = ids.tobytes(), 0
+            for (piece, _), end in zip(some, (4 * ends).tolist()):
+                self[piece] = raw[start:end]
+                start = end
 
     def parts(self, text: str) -> Iterator[str]:
         start = 0
@@ -252,10 +398,50 @@ class Codec(dict):
             start = cut.start()
         yield text[start:] if start else text
 
+    def encode_group(self, texts: Iterable[str]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+        """Texts, some at a time: their places (a long text has several), the ids of all of
+        them, and where each one's ids end."""
+        group, size = [], 0
+        for place, text in enumerate(texts):
+            for part in self.parts(text):
+                group.append((place, self.pattern.findall(part)))
+                size += len(part)
+                if size >= GROUP:
+                    yield self._group(group)
+                    group, size = [], 0
+        if group:
+            yield self._group(group)
+
+    def _group(self, group: list[tuple[int, list[str]]]) -> tuple[list[int], np.ndarray, np.ndarray]:
+        self.learn(set(chain.from_iterable(pieces for _, pieces in group)))
+        raw = [b"".join(map(self.__getitem__, pieces)) for _, pieces in group]
+        ends = np.cumsum([len(r) // 4 for r in raw])
+        return [place for place, _ in group], np.frombuffer(b"".join(raw), "<u4"), ends
+
     def encode(self, text: str) -> Iterator[list[int]]:
         """The ids in chunks."""
-        for part in self.parts(text):
-            yield list(chain.from_iterable(map(self.__getitem__, self.pattern.findall(part))))
+        for _, ids, _ in self.encode_group([text]):
+            yield ids.tolist()
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        out: list[list[int]] = [[] for _ in texts]
+        for places, ids, ends in self.encode_group(texts):
+            for place, one in zip(places, np.split(ids, ends[:-1])):
+                out[place] += one.tolist()
+        return out
+
+    def written(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """Decimal ids with a space behind each, cut at `ends`."""
+        text = self.decimals[ids][self.shown[ids]].tobytes()
+        return _cut(text, self.digits[ids], ends)
+
+    def raw(self, ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """The bytes that ids stand for, cut at `ends`."""
+        sizes = self.sizes[ids]
+        before = np.cumsum(sizes) - sizes
+        at = np.repeat(self.starts[ids] - before, sizes)
+        at += np.arange(len(at))
+        return _cut(self.all_bytes[at].tobytes(), sizes, ends)
 
     def decode(self, chunks: Iterable[list[int]]) -> Iterator[str]:
         """Text of id chunks; bytes that are no UTF-8 become replacement characters."""
@@ -265,6 +451,12 @@ class Codec(dict):
         yield machine.decode(b"", True)
 
 
+def _cut(text: bytes, sizes: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """A group's text by its texts; `sizes` are those of its ids."""
+    places = np.concatenate([[0], np.cumsum(sizes)])[ends].tolist()
+    return [text[a:b] for a, b in zip([0, *places], places)]
+
+
 _codecs: dict[tuple[bytes, str], Codec] = {}
 
 
@@ -283,27 +475,29 @@ def digests(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     """Per row: token count, digest of the ids, digest of the bytes they decode to."""
 
     def rows(batch: pa.RecordBatch) -> dict:
-        own = codec(ranks, pattern)
-        counts, ids_sha, decoded_sha = [], [], []
-        for text in batch.column("text").to_pylist():
-            of_ids, of_text, n = hashlib.sha256(), hashlib.sha256(), 0
-            machine = codecs.getincrementaldecoder("utf-8")("replace")
-            for ids in own.encode(text or ""):
-                if ids:
-                    of_ids.update((" " * (n > 0) + " ".join(map(own.text_of.__getitem__, ids))).encode())
-                    of_text.update(
-                        machine.decode(b"".join(map(own.bytes_of.__getitem__, ids))).encode()
-                    )
-                    n += len(ids)
-            of_text.update(machine.decode(b"", True).encode())
-            counts.append(n)
-            ids_sha.append(of_ids.hexdigest())
-            decoded_sha.append(of_text.hexdigest())
+        own, n_rows = codec(ranks, pattern), batch.num_rows
+        counts = [0] * n_rows
+        of_ids, of_text = ([hashlib.sha256() for _ in range(n_rows)] for _ in range(2))
+        machines = [None] * n_rows
+        for rows, ids, ends in own.encode_group([t or "" for t in batch.column("text").to_pylist()]):
+            starts = [0, *ends.tolist()]
+            for row, start, end, decimal, raw in zip(
+                rows, starts, starts[1:], own.written(ids, ends), own.raw(ids, ends)
+            ):
+                if start == end:
+                    continue
+                machine = machines[row] = machines[row] or codecs.getincrementaldecoder("utf-8")("replace")
+                of_ids[row].update((b" " if counts[row] else b"") + decimal[:-1])
+                of_text[row].update(machine.decode(raw).encode())
+                counts[row] += end - start
+        for machine, digest in zip(machines, of_text):
+            if machine:
+                digest.update(machine.decode(b"", True).encode())
         return {
             "doc_id": batch.column("doc_id"),
             "n_tokens": counts,
-            "ids_sha256": ids_sha,
-            "decoded_sha256": decoded_sha,
+            "ids_sha256": [d.hexdigest() for d in of_ids],
+            "decoded_sha256": [d.hexdigest() for d in of_text],
         }
 
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), content().alias("text"))
@@ -322,10 +516,7 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, into: str = "token_ids")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, arrow = codec(ranks, pattern), to_arrow_schema(schema)
         for batch in batches:
-            ids = [
-                list(chain.from_iterable(own.encode(text or "")))
-                for text in batch.column("text").to_pylist()
-            ]
+            ids = own.encode_all([text or "" for text in batch.column("text").to_pylist()])
             made = [*batch.columns, pa.array(ids, type=arrow.field(into).type)]
             yield pa.RecordBatch.from_arrays(
                 [a.cast(f.type) for a, f in zip(made, arrow)], schema=arrow
