@@ -26,12 +26,14 @@ from pyspark.sql import types as T
 
 from voltrail.functions.columns import MAGIC, base_name, file_kind, member_output_name
 from voltrail.session import task_count
-from voltrail.sources import storage
+from voltrail.sources import storage, zip_directory
 
 CHUNK_BYTES = 32 << 20
 SLICE_BYTES = 128 << 20
 # The largest member that is read as one value.
 WHOLE_BYTES = (1 << 31) - (1 << 16)
+# Bytes of a ZIP directory that one task reads.
+DIRECTORY_BYTES = 8 << 20
 _BATCH_BYTES = 32 << 20
 _BATCH_ROWS = 4096
 _TASK_BYTES = 32 << 20
@@ -40,7 +42,7 @@ _TASK_FILES = 16
 INVENTORY = (
     "path string, archive_bytes bigint, archive_modified timestamp, kind string, position int, "
     "member string, occurrence int, method string, compressed_size bigint, uncompressed_size bigint, "
-    "is_directory boolean, modified timestamp_ntz, crc32 bigint, slice int, error string"
+    "is_directory boolean, modified timestamp_ntz, crc32 bigint, slice int, header_offset bigint, error string"
 )
 
 _INVENTORY_ARROW = pa.schema(
@@ -59,6 +61,7 @@ _INVENTORY_ARROW = pa.schema(
         ("modified", pa.timestamp("us")),
         ("crc32", pa.int64()),
         ("slice", pa.int32()),
+        ("header_offset", pa.int64()),
         ("error", pa.string()),
     ]
 )
@@ -66,6 +69,7 @@ _INVENTORY_DDL = INVENTORY.replace("archive_modified timestamp", "archive_micros
 
 # ZIP compression method numbers and their names.
 ZIP_METHODS = {0: "COPY", 8: "DEFLATE", 9: "DEFLATE64", 12: "BZip2", 14: "LZMA", 93: "ZStandard"}
+_ZIP_NUMBERS = {name: number for number, name in ZIP_METHODS.items()}
 # One-member containers, their file suffix and method name.
 STREAMS = {
     "gzip": (".gz", "DEFLATE"),
@@ -212,6 +216,24 @@ def _open_kind(path: str, opened: dict):
     return source, kind
 
 
+def _zip_entry(info: zipfile.ZipInfo, position: int, piece: int) -> dict:
+    try:
+        modified = dt.datetime(*info.date_time)
+    except ValueError:
+        modified = None
+    return {
+        "position": position,
+        "member": info.filename,
+        "method": ZIP_METHODS.get(info.compress_type, str(info.compress_type)),
+        "compressed_size": info.compress_size,
+        "uncompressed_size": info.file_size,
+        "is_directory": info.is_dir(),
+        "modified": modified,
+        "crc32": info.CRC,
+        "slice": piece,
+    }
+
+
 def _zip_entries(source, slice_bytes: int) -> Iterator[dict]:
     seen: dict[str, int] = {}
     packed_before = 0
@@ -219,22 +241,7 @@ def _zip_entries(source, slice_bytes: int) -> Iterator[dict]:
         for position, info in enumerate(archive.infolist()):
             occurrence = seen.get(info.filename, 0)
             seen[info.filename] = occurrence + 1
-            try:
-                modified = dt.datetime(*info.date_time)
-            except ValueError:
-                modified = None
-            yield {
-                "position": position,
-                "member": info.filename,
-                "occurrence": occurrence,
-                "method": ZIP_METHODS.get(info.compress_type, str(info.compress_type)),
-                "compressed_size": info.compress_size,
-                "uncompressed_size": info.file_size,
-                "is_directory": info.is_dir(),
-                "modified": modified,
-                "crc32": info.CRC,
-                "slice": packed_before // slice_bytes,
-            }
+            yield {**_zip_entry(info, position, packed_before // slice_bytes), "occurrence": occurrence}
             packed_before += info.compress_size
 
 
@@ -259,7 +266,7 @@ def _stream_entry(kind: str, path: str, length: int, source, measure: bool) -> d
 
 
 def _entries(
-    path: str, length: int | None, slice_bytes: int, measure: bool, opened: dict
+    path: str, length: int | None, slice_bytes: int, measure: bool, directory_bytes: int, opened: dict
 ) -> Iterator[dict]:
     """One dict per member, one without position for an empty archive, or an error."""
     if length is None:
@@ -270,6 +277,10 @@ def _entries(
         source, kind = _open_kind(path, opened)
         with source:
             if kind == "zip":
+                found = zip_directory.find(source)
+                if found.end - found.start > directory_bytes:
+                    return  # listed by ranges
+                source.seek(0)
                 count = 0
                 for entry in _zip_entries(source, slice_bytes):
                     count += 1
@@ -287,14 +298,25 @@ def _entries(
 
 
 def inventory(
-    archives: DataFrame, slice_bytes: int = SLICE_BYTES, measure: bool = True
+    archives: DataFrame,
+    slice_bytes: int = SLICE_BYTES,
+    measure: bool = True,
+    directory_bytes: int = DIRECTORY_BYTES,
 ) -> DataFrame:
     """Every member of every archive, and one row with `error` per unreadable one.
 
     An archive without members gives one row without position. Containers of one
     member (gzip and the like) do not state its size; without `measure` they are
     not decoded for it, and size and checksum are NULL.
+
+    A ZIP directory of more than `directory_bytes` is cut into ranges of that size, which
+    different tasks read; its members carry the place of their header, so reading them takes
+    no directory. No task holds all names: which of equal names is which is settled by a
+    window over archive and name. A range is no smaller than the longest record, so one begins
+    in each.
     """
+    if directory_bytes < zip_directory.RECORD_MOST:
+        raise ValueError(f"ranges of less than {zip_directory.RECORD_MOST} bytes")
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened: dict = {}
@@ -302,7 +324,7 @@ def inventory(
         for batch in batches:
             for archive in batch.to_pylist():
                 entries = _entries(
-                    archive["path"], archive["archive_bytes"], slice_bytes, measure, opened
+                    archive["path"], archive["archive_bytes"], slice_bytes, measure, directory_bytes, opened
                 )
                 for entry in entries:
                     rows.append({**archive, **entry})
@@ -318,7 +340,8 @@ def inventory(
         F.unix_micros("modificationTime").alias("archive_micros"),
     )
     columns = [f.name for f in T.StructType.fromDDL(_INVENTORY_DDL)]
-    return described.mapInArrow(expand, _INVENTORY_DDL).select(
+    listed = described.mapInArrow(expand, _INVENTORY_DDL)
+    return listed.unionByName(_ranged(described, slice_bytes, directory_bytes)).select(
         *[
             F.timestamp_micros("archive_micros").alias("archive_modified") if c == "archive_micros" else c
             for c in columns
@@ -326,6 +349,159 @@ def inventory(
     )
 
 
+_RANGES = (
+    "path string, archive_bytes bigint, archive_micros bigint, start bigint, stop bigint, "
+    "dir_start bigint, dir_end bigint, shift bigint"
+)
+_COUNTED = _RANGES + ", first bigint, after bigint, records bigint, packed bigint, error string"
+_CHECKED = _COUNTED + ", border bigint"
+
+
+def _by_archive(batches, opened: dict) -> Iterator[tuple]:
+    """Rows of sorted batches with the source of their archive, opened once."""
+    path = source = None
+    try:
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["path"] != path:
+                    if source is not None:
+                        source.close()
+                    path, source = row["path"], storage.open_input(row["path"], opened)
+                yield row, source
+    finally:
+        if source is not None:
+            source.close()
+
+
+def _in_batches(rows: Iterator[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    held: list[dict] = []
+    for row in rows:
+        held.append(row)
+        if len(held) >= _BATCH_ROWS:
+            yield pa.RecordBatch.from_pylist(held, schema)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema)
+
+
+def _arrow(ddl: str) -> pa.Schema:
+    names = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}
+    return pa.schema([(n, names[t]) for n, t in (f.split() for f in ddl.split(", "))])
+
+
+def _ranged(described: DataFrame, slice_bytes: int, directory_bytes: int) -> DataFrame:
+    """Members of the ZIP files whose directory is larger than one range."""
+
+    def cut(batches):
+        opened: dict = {}
+
+        def ranges() -> Iterator[dict]:
+            for batch in batches:
+                for archive in batch.to_pylist():
+                    if archive["archive_bytes"] is None:
+                        continue
+                    try:
+                        source, kind = _open_kind(archive["path"], opened)
+                        with source:
+                            if kind != "zip":
+                                continue
+                            found = zip_directory.find(source)
+                    except _READ_ERRORS:
+                        continue  # the other listing tells why
+                    if found.end - found.start <= directory_bytes:
+                        continue
+                    for start in range(found.start, found.end, directory_bytes):
+                        yield {
+                            **archive,
+                            "start": start,
+                            "stop": min(start + directory_bytes, found.end),
+                            "dir_start": found.start,
+                            "dir_end": found.end,
+                            "shift": found.shift,
+                        }
+
+        yield from _in_batches(ranges(), _arrow(_RANGES))
+
+    def count(batches):
+        def counted() -> Iterator[dict]:
+            for row, source in _by_archive(batches, {}):
+                place = zip_directory.Directory(row["dir_start"], row["dir_end"], row["shift"])
+                try:
+                    yield {**row, **zip_directory.count(source, row["start"], row["stop"], place)._asdict()}
+                except zipfile.BadZipFile as error:
+                    yield {**row, "error": f"BadZipFile: {error}"}
+
+        yield from _in_batches(counted(), _arrow(_COUNTED))
+
+    def check(batches):
+        """Counts again where a range did not begin at its neighbour's border."""
+
+        def checked() -> Iterator[dict]:
+            opened: dict = {}
+            for batch in batches:
+                for row in batch.to_pylist():
+                    border = row["border"]
+                    # A range may lie within one record: none begins in it.
+                    agrees = border is None or row["first"] == border or (not row["records"] and border >= row["stop"])
+                    if row["error"] is not None or not agrees:
+                        place = zip_directory.Directory(row["dir_start"], row["dir_end"], row["shift"])
+                        with storage.open_input(row["path"], opened) as source:
+                            try:
+                                again = zip_directory.count(source, row["start"], row["stop"], place, border)
+                                if row["records"] and again.after != row["after"]:
+                                    raise zipfile.BadZipFile("records of the directory do not follow each other")
+                                row |= {**again._asdict(), "error": None}
+                            except zipfile.BadZipFile as error:
+                                row["error"] = f"BadZipFile: {error}"
+                    yield row
+
+        yield from _in_batches(checked(), _arrow(_CHECKED))
+
+    def read(batches):
+        def members() -> Iterator[dict]:
+            for row, source in _by_archive(batches, {}):
+                kept = {c: row[c] for c in ("path", "archive_bytes", "archive_micros")} | {"kind": "zip"}
+                if row["error"] is not None:
+                    yield {**kept, "error": row["error"]}
+                    continue
+                position, packed = row["position_before"], row["packed_before"]
+                for info in zip_directory.entries(source, row["first"], row["after"]):
+                    entry = _zip_entry(info, position, packed // slice_bytes)
+                    yield {**kept, **entry, "header_offset": info.header_offset + row["shift"]}
+                    position += 1
+                    packed += info.compress_size
+
+        yield from _in_batches(members(), _INVENTORY_ARROW)
+
+    tasks = task_count(described.sparkSession)
+    ranges = described.mapInArrow(cut, _RANGES)
+    # Rows that stand for much work each: dealt out, a few to a task.
+    counted = ranges.repartition(tasks, "path", "start").sortWithinPartitions("path", "start").mapInArrow(count, _COUNTED)
+    before = Window.partitionBy("path").orderBy("start")
+    sums = before.rowsBetween(Window.unboundedPreceding, -1)
+    all_of = Window.partitionBy("path")
+    border = F.last(F.when(F.col("records") > 0, F.col("after")), True).over(sums)
+    checked = counted.withColumn("border", border).mapInArrow(check, _CHECKED)
+    placed = (
+        checked.withColumns(
+            {
+                "position_before": F.coalesce(F.sum("records").over(sums), F.lit(0)),
+                "packed_before": F.coalesce(F.sum("packed").over(sums), F.lit(0)),
+                "whole_error": F.min("error").over(all_of),
+                "row": F.row_number().over(before),
+            }
+        )
+        # A directory that is damaged anywhere is told once, and none of it is listed.
+        .where(F.when(F.col("whole_error").isNull(), F.col("records") > 0).otherwise(F.col("row") == 1))
+        .withColumn("error", F.col("whole_error"))
+        .drop("whole_error", "row", "border")
+    )
+    listed = placed.repartition(tasks, "path", "start").sortWithinPartitions("path", "start").mapInArrow(read, _INVENTORY_DDL)
+    same_name = Window.partitionBy("path", "member").orderBy("position")
+    number = F.when(F.col("position").isNotNull(), F.row_number().over(same_name) - 1)
+    return listed.withColumn("occurrence", number.cast("int"))
+
+
 def members_of(listed: DataFrame) -> DataFrame:
     """The inventory without unreadable and empty archives."""
     return listed.where(F.col("position").isNotNull())
@@ -405,6 +581,9 @@ def _spread(rows: DataFrame, partitions: int | None) -> DataFrame:
     return rows.repartition(count, "path", "slice").sortWithinPartitions("path", "position")
 
 
+_READ_BY = ["path", "kind", "position", "method", "compressed_size", "uncompressed_size", "crc32", "header_offset"]
+
+
 class _Members:
     """Opens the members of consecutive rows, one archive at a time."""
 
@@ -419,18 +598,28 @@ class _Members:
                 held.close()
         self.path = self.source = self.archive = None
 
-    def chunks(self, path: str, kind: str, position: int) -> Iterator[bytes]:
+    def chunks(self, row: dict) -> Iterator[bytes]:
+        path, kind = row["path"], row["kind"]
+        if row["header_offset"] is not None:
+            if path != self.path:
+                self.close()
+                self.source, self.path = storage.open_input(path, self.opened), path
+            method = _ZIP_NUMBERS.get(row["method"]) or int(row["method"] if row["method"].isdigit() else 0)
+            sizes = row["compressed_size"], row["uncompressed_size"], row["crc32"]
+            with zip_directory.open_member(self.source, row["header_offset"], method, *sizes) as stream:
+                yield from _chunks(stream, self.chunk_bytes)
+            return
         if kind != "zip":
             self.close()
             with storage.open_input(path, self.opened) as source, _decoder(kind, source) as stream:
                 yield from _chunks(stream, self.chunk_bytes)
             return
-        if path != self.path:
+        if path != self.path or self.archive is None:
             self.close()
             self.source = storage.open_input(path, self.opened)
             self.archive = zipfile.ZipFile(self.source)
             self.path = path
-        with self.archive.open(self.archive.infolist()[position]) as stream:
+        with self.archive.open(self.archive.infolist()[row["position"]]) as stream:
             yield from _chunks(stream, self.chunk_bytes)
 
 
@@ -445,7 +634,7 @@ def _read_batches(batches, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
     reader = _Members(chunk_bytes)
     try:
         for batch in batches:
-            keys = batch.select(["path", "kind", "position"]).to_pylist()
+            keys = batch.select(_READ_BY).to_pylist()
             directory = batch.column("is_directory").to_pylist()
             out: list[tuple[int, int | None, bytes | None, str | None]] = []
             held = 0
@@ -467,7 +656,7 @@ def _read_batches(batches, chunk_bytes: int) -> Iterator[pa.RecordBatch]:
                     continue
                 number = 0
                 try:
-                    for chunk in reader.chunks(**key):
+                    for chunk in reader.chunks(key):
                         out.append((row, number, chunk, None))
                         number += 1
                         held += len(chunk)
@@ -540,7 +729,7 @@ def _visit_batches(batches, chunk_bytes: int, visit) -> Iterator[pa.RecordBatch]
                     results.append((None, None, None))
                     continue
                 try:
-                    chunks = reader.chunks(row["path"], row["kind"], row["position"])
+                    chunks = reader.chunks(row)
                     results.append((*visit(row, chunks, reader.opened), None))
                 except _READ_ERRORS as error:
                     reader.close()
