@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from acceptance.telemetry_view import table
 from voltrail.functions.columns import base_name, resolved_member_path
-from voltrail.operators.pack import pack, split_volumes, volume_name, write_files
+from voltrail.operators.pack import pack, split_volumes, volume_name, write_files, write_volumes
 from voltrail.session import new_workdir
-from voltrail.sources import archives
+from voltrail.sources import archives, zip_directory
 
 # Documents of one source and one block of ids share an archive of bounded size.
 BLOCK = 256
@@ -59,9 +59,9 @@ def _doc_id() -> Column:
 
 
 def _texts(members: DataFrame) -> DataFrame:
-    return archives.read_whole(members).select(
-        _doc_id(), F.col("data").cast("string").alias("text")
-    )
+    failed = F.concat(F.lit("member not read: "), "read_error")
+    data = F.when(F.col("read_error").isNull(), F.col("data")).otherwise(F.raise_error(failed).cast("binary"))
+    return archives.read_whole(members).select(_doc_id(), data.cast("string").alias("text"))
 
 
 def archive_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,6 +228,48 @@ def archive_volumes_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _texts(archives.list_members(found))
 
 
+CHUNK = 1_000
+
+
+def archive_streamed_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in chunks, streamed to ZIP files in volumes, and read from the volumes."""
+    folder = new_workdir(spark, "volumes")
+    text = F.encode(F.col("text"), "utf-8")
+    count = F.greatest(F.ceil(F.length(text) / CHUNK), F.lit(1)).cast("int")
+    chunks = table(spark, sf_dir, "documents").select(
+        "*", F.explode(F.sequence(F.lit(0), count - 1)).alias("chunk")
+    )
+    written = write_volumes(
+        chunks,
+        F.concat(F.lit(folder + "/"), F.expr(_ARCHIVE), F.lit(".zip")),
+        F.expr(_MEMBER),
+        F.substring(text, F.col("chunk") * CHUNK + 1, F.lit(CHUNK)),
+        ["doc_id"],
+        "chunk",
+        volume_bytes=30_000,
+    )
+    written.write.format("noop").mode("overwrite").save()
+    found = archives.join_volumes(archives.read_archives(spark, folder))
+    return _texts(archives.list_members(found))
+
+
+def archive_listing_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of long names whose directory is read by ranges."""
+    folder = new_workdir(spark, "raw")
+    written = write_volumes(
+        table(spark, sf_dir, "documents"),
+        F.concat(F.lit(folder + "/"), F.expr("doc_id div 2000"), F.lit(".zip")),
+        F.concat(F.lit("folder-" * 60), F.expr(_MEMBER)),
+        F.col("text"),
+        ["doc_id"],
+        volume_bytes=VOLUME,
+    )
+    written.write.format("noop").mode("overwrite").save()
+    found = archives.join_volumes(archives.read_archives(spark, folder))
+    listed = archives.members_of(archives.inventory(found, directory_bytes=zip_directory.RECORD_MOST))
+    return listed.select(_doc_id(), "position", "occurrence", F.col("uncompressed_size").alias("size"))
+
+
 def single_member_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as compressed JSON lines, opened again as archives."""
     customer = table(spark, sf_dir, "customer")
@@ -259,6 +301,8 @@ QUERIES = {
     "landing_last_wins": landing_last_wins,
     "archive_pack_roundtrip": archive_pack_roundtrip,
     "archive_volumes_roundtrip": archive_volumes_roundtrip,
+    "archive_streamed_volumes": archive_streamed_volumes,
+    "archive_listing_ranges": archive_listing_ranges,
     "single_member_containers": single_member_containers,
 }
 
@@ -320,6 +364,10 @@ SELECT 'pair-' || CAST(doc_id // 2 AS VARCHAR) || '.txt' AS name,
 FROM docs GROUP BY doc_id // 2""",
     "archive_pack_roundtrip": "SELECT page_id, html FROM pages",
     "archive_volumes_roundtrip": "SELECT doc_id, text FROM documents",
+    "archive_streamed_volumes": "SELECT doc_id, text FROM documents",
+    "archive_listing_ranges": """SELECT doc_id,
+       CAST(row_number() OVER (PARTITION BY doc_id // 2000 ORDER BY doc_id) - 1 AS INT) AS position,
+       CAST(0 AS INT) AS occurrence, octet_length(encode(text)) AS size FROM documents""",
     "single_member_containers": " UNION ALL ".join(
         f"SELECT *, '{kind}' AS kind FROM customer" for kind in ("gzip", "bzip2")
     ),

@@ -14,6 +14,7 @@ from acceptance.telemetry import CHARGING_BODY, CHARGING_SQL, DAILY_SQL, DRIVING
 from acceptance.telemetry import DAILY_BODY, SQL as TELEMETRY_SQL
 from acceptance.telemetry_view import WITH_CLEANED, WITH_RAW, raw_telemetry, table
 from voltrail import contract
+from voltrail.__main__ import main as command_line
 from voltrail.operators import summaries
 from voltrail.operators.clean import with_day
 from voltrail.plans import catalog, jobs, writes
@@ -79,6 +80,34 @@ def catalog_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalog.catalog_report(spark, namespace)
 
 
+def namespaces_and_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables in a namespace, one of them dropped: what the catalog lists afterwards."""
+    namespace = fresh_namespace(spark)
+    name = loaded_table(spark, sf_dir, namespace)
+    writes.create_table_as(summaries.daily_summary(cleaned(spark, sf_dir)), f"{namespace}.{summaries.DAILY}", "date")
+    both = catalog.list_tables(spark, namespace).agg(F.count("*").alias("tables_before"))
+    before = both.first()[0]
+    catalog.drop_table(spark, f"{namespace}.{summaries.DAILY}")
+    known = catalog.list_namespaces(spark).where(F.col("namespace") == namespace).count()
+    gone = not catalog.table_exists(spark, f"{namespace}.{summaries.DAILY}")
+    return catalog.catalog_report(spark, namespace).select(
+        "table_name",
+        "row_count",
+        F.lit(known).cast("bigint").alias("namespaces"),
+        F.lit(before).cast("bigint").alias("tables_before"),
+        F.lit(gone).alias("dropped"),
+    ).where(F.col("table_name") == name.rsplit(".", 1)[1])
+
+
+def command_line_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load job with its arguments as from the command line, and its summary."""
+    namespace, landing = fresh_namespace(spark), new_workdir(spark, "landing")
+    raw_telemetry(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(landing)
+    command_line(["load", landing, namespace, "--load-id", "from the command line"], spark)
+    daily = jobs.read_summary(spark, namespace, summaries.DAILY)
+    return daily.withColumns({c: F.col(c).cast(NTZ) for c in ("first_record_time", "last_record_time")})
+
+
 def _refreshed(spark: SparkSession, sf_dir: str, summary: str) -> DataFrame:
     namespace = fresh_namespace(spark)
     name = loaded_table(spark, sf_dir, namespace)
@@ -170,6 +199,25 @@ def ingest_files_of_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.crossJoin(F.broadcast(line))
 
 
+def ingest_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads that bring columns the table lacks, the second one other columns; rows of
+    loads without a column have NULL there."""
+    name = f"{fresh_namespace(spark)}.canbus01"
+    raw = raw_telemetry(spark, sf_dir)
+    level = (F.col("__sequence") % 5).cast("int")
+    for load, rows in (
+        ("plain", raw),
+        ("one", raw.withColumn("Cabin_Level", level)),
+        ("two", raw.withColumn("CABIN_LEVEL", level.cast("smallint")).withColumn("note", F.lit("n"))),
+    ):
+        landing = new_workdir(spark, "landing")
+        rows.write.parquet(landing)
+        jobs.ingest(spark, landing, name, load, NTZ, evolve=True)
+    return catalog.fresh_table(spark, name).groupBy(contract.LOAD).agg(
+        F.count("*").alias("n"), F.sum("cabin_level").alias("levels"), F.count("note").alias("notes")
+    )
+
+
 EXPORTED = ("copy", "snappy", "lz4", "deflate", "zstd", "bzip2")
 
 
@@ -226,6 +274,8 @@ QUERIES = {
     "ctas_partitioned_daily": ctas_partitioned_daily,
     "day_pruned_scan": day_pruned_scan,
     "catalog_report": catalog_report,
+    "namespaces_and_drops": namespaces_and_drops,
+    "command_line_load": command_line_load,
     "refreshed_daily_summary": refreshed_daily_summary,
     "refreshed_charging_behavior": refreshed_charging_behavior,
     "refreshed_driving_modes": refreshed_driving_modes,
@@ -233,6 +283,7 @@ QUERIES = {
     "ingest_job": ingest_job,
     "ingest_mixed_files": ingest_mixed_files,
     "ingest_files_of_types": ingest_files_of_types,
+    "ingest_evolving": ingest_evolving,
     "repeated_load_shrinks": repeated_load_shrinks,
     "repeated_load_daily": repeated_load_daily,
     "repeated_load_charging": repeated_load_charging,
@@ -263,6 +314,10 @@ SELECT 'canbus01' AS table_name, CAST(17 AS BIGINT) AS column_count,
 UNION ALL SELECT 'vehicle_daily_summary', 11, (SELECT n FROM days), COUNT(*) FROM daily
 UNION ALL SELECT 'charging_behavior_analysis', 7, (SELECT n FROM days), COUNT(*) FROM charging
 UNION ALL SELECT 'driving_mode_analysis', 8, (SELECT n FROM days), COUNT(*) FROM driving""",
+    "namespaces_and_drops": f"""{WITH_CLEANED}
+SELECT 'canbus01' AS table_name, COUNT(*) AS row_count, CAST(1 AS BIGINT) AS namespaces,
+       CAST(2 AS BIGINT) AS tables_before, true AS dropped FROM cleaned""",
+    "command_line_load": DAILY_SQL,
     "refreshed_daily_summary": DAILY_SQL,
     "refreshed_charging_behavior": CHARGING_SQL,
     "refreshed_driving_modes": DRIVING_SQL,
@@ -282,6 +337,10 @@ SELECT vin_id, CAST(4 * COUNT(*) AS BIGINT) AS n, CAST(4 * SUM(fuel_percentage)
        (SELECT CAST(4 * COUNT(*) AS BIGINT) FROM cleaned) AS rows_read, CAST(4 * ANY_VALUE(t.n) AS BIGINT) AS rows_written,
        (SELECT CAST(4 * COUNT(*) FILTER (ts IS NULL) AS BIGINT) FROM cleaned) AS null_keys
 FROM cleaned, t WHERE vin_id IS NOT NULL GROUP BY vin_id""",
+    "ingest_evolving": f"""{WITH_RAW}, kept AS (SELECT * FROM raw WHERE vin_id IS NOT NULL)
+SELECT 'plain' AS load_id, COUNT(*) AS n, CAST(NULL AS BIGINT) AS levels, CAST(0 AS BIGINT) AS notes FROM kept
+UNION ALL SELECT 'one', COUNT(*), CAST(SUM(__sequence % 5) AS BIGINT), 0 FROM kept
+UNION ALL SELECT 'two', COUNT(*), CAST(SUM(__sequence % 5) AS BIGINT), COUNT(*) FROM kept""",
     "repeated_load_shrinks": f"{_CLEAN} WHERE {_EARLY}",
     **{
         name: f"{WITH_CLEANED}, part AS (SELECT * FROM cleaned WHERE {_EARLY}) {body.format(source='part')}"

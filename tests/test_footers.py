@@ -152,3 +152,24 @@ def test_storage_failures_are_no_unusable_files(spark, tmp_path):
     gone = spark.createDataFrame([(f"file:{tmp_path}/gone.parquet",)], "path string")
     with pytest.raises(Exception, match="StorageError"):
         footers.survey(gone)
+
+
+def test_columns_outside_the_contract_are_loaded_on_request(spark, namespace, tmp_path):
+    name, base = f"{namespace}.canbus01", raw(spark, 10)
+    plain, first, second, third = (str(tmp_path / n) for n in "abcd")
+    put(base.withColumn("Cabin", F.lit(1)), plain, "x")
+    jobs.ingest(spark, plain, name, "plain", NTZ)
+    assert "cabin" not in [c.lower() for c in spark.table(name).columns]
+    put(base.withColumn("Cabin", F.lit(2)).withColumn("list", F.array(F.lit(1))), first, "x")
+    put(base.withColumn("CABIN", F.lit(0.5)), first, "y")
+    jobs.ingest(spark, first, name, "first", NTZ, evolve=True)
+    put(base.withColumn("cabin", F.lit(7)).withColumn("word", F.lit("w")), second, "x")
+    jobs.ingest(spark, second, name, "second", NTZ, evolve=True)
+    rows = catalog.fresh_table(spark, name).groupBy("load_id").agg(F.sum("cabin"), F.count("word"), F.count("*"))
+    assert sorted(map(tuple, rows.collect())) == [("first", 25.0, 0, 20), ("plain", None, 0, 10), ("second", 70.0, 10, 10)]
+    assert "list" not in spark.table(name).columns
+    assert telemetry.scan(spark, name).columns == list(contract.COLUMNS)
+    put(base.withColumn("cabin", F.lit("hot")), third, "x")
+    put(base.withColumn("cabin", F.lit(1)), third, "y")
+    with pytest.raises(contract.ContractError, match="cabin is"):
+        jobs.ingest(spark, third, name, "third", NTZ, evolve=True)

@@ -25,7 +25,7 @@ def _table(args) -> str:
 def load(spark: SparkSession, args) -> None:
     catalog.ensure_namespace(spark, args.namespace)
     jobs.ingest_and_summarize(
-        spark, args.input_path, args.namespace, args.load_id, provider=args.provider
+        spark, args.input_path, args.namespace, args.load_id, provider=args.provider, evolve=args.evolve
     ).show(truncate=False)
 
 
@@ -95,6 +95,7 @@ def parser() -> argparse.ArgumentParser:
     own = command(load, "load", "landing folder to table and summaries", "input_path", "namespace")
     own.add_argument("--load-id", required=True, help="name of this load; the same name replaces it")
     own.add_argument("--provider", default="parquet", help="table format")
+    own.add_argument("--evolve", action="store_true", help="load columns outside the contract too")
     own = command(summaries, "summaries", "all three summaries anew", "namespace")
     own.add_argument("--provider", default="parquet", help="table format")
     own = command(days, "days", "the summaries of some days anew", "namespace")
@@ -117,9 +118,9 @@ def parser() -> argparse.ArgumentParser:
     return whole
 
 
-def main(argv: list[str] | None = None) -> None:
+def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
-    args.run(build_session("voltrail-batch"), args)
+    args.run(spark or build_session("voltrail-batch"), args)
 
 
 if __name__ == "__main__":

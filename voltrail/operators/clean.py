@@ -23,11 +23,12 @@ def _narrowed(source: str, actual: T.DataType, expected: T.DataType, name: str)
     return f"CAST({value} AS {target})"
 
 
-def clean(df: DataFrame, ts_type: T.DataType | None = None) -> DataFrame:
+def clean(df: DataFrame, ts_type: T.DataType | None = None, extras: T.StructType | None = None) -> DataFrame:
     """Drop system columns and stale keys, rename, rebuild the key, order columns.
 
     Columns the input lacks become typed NULLs; `vin_id` and `ts` must be there.
-    `ts` keeps the kind of timestamp it has unless `ts_type` says otherwise.
+    `ts` keeps the kind of timestamp it has unless `ts_type` says otherwise. `extras` are
+    columns outside the contract that stay, behind the others.
     """
     schema = df.schema
     contract.require(schema)
@@ -46,7 +47,11 @@ def clean(df: DataFrame, ts_type: T.DataType | None = None) -> DataFrame:
         else:
             values[field.name] = _narrowed(source, schema[source].dataType, expected, field.name)
     values[contract.KEY] = f"concat({values['vin_id']}, '_', CAST({values['ts']} AS STRING))"
-    return df.selectExpr(*[f"{values[c]} AS `{c}`" for c in contract.COLUMNS])
+    more = []
+    for field in extras or ():
+        value = f"`{field.name}`" if field.name in schema.names else "NULL"
+        more.append(f"CAST({value} AS {field.dataType.simpleString()}) AS `{field.name}`")
+    return df.selectExpr(*[f"{values[c]} AS `{c}`" for c in contract.COLUMNS], *more)
 
 
 def with_day(df: DataFrame) -> DataFrame:

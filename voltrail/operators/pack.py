@@ -196,3 +196,157 @@ def write_files(df: DataFrame, target: Column, content: Column) -> DataFrame:
 
     rows = df.select(target.cast("string").alias("target"), content.cast("binary").alias("content"))
     return rows.mapInArrow(write, "target string, bytes bigint, crc32 bigint")
+
+
+class _VolumeFiles(io.RawIOBase):
+    """A stream that goes to `target.0001`, `target.0002`, …, each of exactly `volume_bytes`
+    but the last. Nothing is held: bytes go on as they come."""
+
+    def __init__(self, target: str, volume_bytes: int, opened: dict):
+        self.target, self.volume_bytes, self.opened = target, volume_bytes, opened
+        self.done: list[tuple[str, int, int]] = []
+        self.lost = False
+        self.writer = storage.Writer(self._name(1), opened)
+
+    def _name(self, number: int) -> str:
+        return f"{self.target}.{number:04d}"
+
+    def writable(self) -> bool:
+        return True
+
+    def write(self, data) -> int:
+        rest = memoryview(data)
+        while rest.nbytes and not self.lost:
+            if self.writer.size == self.volume_bytes:
+                self._next()
+            part = rest[: self.volume_bytes - self.writer.size]
+            self.writer.write(bytes(part))
+            rest = rest[part.nbytes :]
+        return len(data)
+
+    def _finish(self) -> None:
+        self.writer.finish()
+        self.done.append((self._name(len(self.done) + 1), self.writer.size, self.writer.crc))
+
+    def _next(self) -> None:
+        self._finish()
+        self.writer = storage.Writer(self._name(len(self.done) + 1), self.opened)
+
+    def abandon(self) -> None:
+        """Takes the open volume away; what the archive still writes when it goes is dropped."""
+        self.lost = True
+        self.writer.abandon()
+
+    def finish(self) -> None:
+        self._finish()
+        # Volumes of an earlier, longer run would be read as part of this one.
+        number = len(self.done) + 1
+        while storage.remove(self._name(number), self.opened):
+            number += 1
+
+
+class _Archive:
+    """A ZIP file written member by member, and each member chunk by chunk."""
+
+    def __init__(self, target: str, volume_bytes: int, method: int, opened: dict):
+        self.target, self.method, self.members = target, method, 0
+        self.files = _VolumeFiles(target, volume_bytes, opened)
+        self.zip = zipfile.ZipFile(self.files, "w", method)
+        self.member = self.stream = None
+
+    def add(self, member: tuple, data: bytes) -> None:
+        if member != self.member:
+            self._end_member()
+            info = zipfile.ZipInfo(member[0])
+            info.compress_type = self.method
+            self.member, self.stream = member, self.zip.open(info, "w", force_zip64=True)
+            self.members += 1
+        self.stream.write(data)
+
+    def _end_member(self) -> None:
+        if self.stream is not None:
+            self.stream.close()
+        self.member = self.stream = None
+
+    def finish(self) -> list[dict]:
+        self._end_member()
+        self.zip.close()
+        self.files.finish()
+        return [
+            {"target": self.target, "volume": i, "path": path, "bytes": size, "crc32": crc, "members": self.members}
+            for i, (path, size, crc) in enumerate(self.files.done, 1)
+        ]
+
+
+_WRITTEN = "target string, volume int, path string, bytes bigint, crc32 bigint, members int"
+_WRITTEN_ARROW = pa.schema(
+    [
+        ("target", pa.string()),
+        ("volume", pa.int32()),
+        ("path", pa.string()),
+        ("bytes", pa.int64()),
+        ("crc32", pa.int64()),
+        ("members", pa.int32()),
+    ]
+)
+
+
+def _write_archives(batches, volume_bytes: int, method: int) -> Iterator[pa.RecordBatch]:
+    """Archives from rows sorted by target, member and chunk."""
+    warnings.filterwarnings("ignore", "Duplicate name")
+    opened: dict = {}
+    current: _Archive | None = None
+    try:
+        for batch in batches:
+            targets, names, keys = (batch.column(i) for i in range(3))
+            for i in range(batch.num_rows):
+                target = targets[i].as_py()
+                if current is not None and current.target != target:
+                    yield pa.RecordBatch.from_pylist(current.finish(), _WRITTEN_ARROW)
+                    current = None
+                if current is None:
+                    current = _Archive(target, volume_bytes, method, opened)
+                current.add((names[i].as_py(), keys[i].as_py()), batch.column(3)[i].as_py() or b"")
+        if current is not None:
+            done, current = current.finish(), None
+            yield pa.RecordBatch.from_pylist(done, _WRITTEN_ARROW)
+    finally:
+        if current is not None:
+            current.files.abandon()
+
+
+def write_volumes(
+    df: DataFrame,
+    target: Column,
+    member: Column,
+    data: Column,
+    order: list[str],
+    chunk: str | None = None,
+    method: str = "DEFLATE",
+    volume_bytes: int = VOLUME_BYTES,
+    partitions: int | None = None,
+) -> DataFrame:
+    """One ZIP file per target, written straight to volumes `target.0001`, `target.0002`, …
+    of exactly `volume_bytes` (the last one less); returns the manifest of the volumes.
+
+    Members stand in `order`, which must tell them apart. A member may come in several rows,
+    numbered by the column `chunk`, as archives are read: no row, value or buffer holds a
+    whole member or a whole file, so both may be of any size. A ZIP file is one stream, so one
+    task writes it; `pack` deals a large archive out over several files instead. Work happens
+    when the manifest is written; the same rows again replace the same volumes.
+    """
+    rows = df.select(
+        target.cast("string").alias("target"),
+        member.alias("member"),
+        F.to_json(F.struct(*order)).alias("place"),
+        data.cast("binary").alias("data"),
+        *[F.col(c).alias(f"order_{i}") for i, c in enumerate(order)],
+        (F.col(chunk) if chunk else F.lit(0)).alias("chunk"),
+    )
+    count, number = partitions or task_count(df.sparkSession), METHODS[method]
+    return (
+        rows.repartition(count, "target")
+        .sortWithinPartitions("target", *[f"order_{i}" for i in range(len(order))], "chunk")
+        .select("target", "member", "place", "data")
+        .mapInArrow(lambda batches: _write_archives(batches, volume_bytes, number), _WRITTEN)
+    )

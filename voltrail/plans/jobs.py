@@ -30,6 +30,7 @@ def ingest(
     ts_type: T.DataType = T.TimestampType(),
     provider: str = "parquet",
     gather_days: bool = True,
+    evolve: bool = False,
 ) -> DataFrame:
     """Reads, cleans and loads the landing files; returns the row-count audit.
 
@@ -38,16 +39,20 @@ def ingest(
     ledger, so tasks run twice cannot distort them and no file of another load is opened.
     Files whose columns differ in type are read in groups. Rows that name no vehicle, as from
     files without that column, are rejected and counted; a file that cannot be loaded stops
-    the job before it writes.
+    the job before it writes. With `evolve`, plain columns outside the contract are loaded too:
+    the table gets those it lacks, and rows of other loads have NULL there.
     """
     catalog.ensure_telemetry_table(spark, table, ts_type, provider)
     if not compaction.may_load(spark, table, load_id):
         raise ValueError(f"load {load_id} of {table} is closed: its rows may be packed with others")
     files = footers.landing_files(spark, input_path)
-    found = footers.survey(files)
+    found = footers.survey(files, extras=evolve)
     found.require()
     others, own = ledger.rows_by_load(spark, table, load_id)
-    cleaned = read_cleaned(spark, files, found, ts_type, [input_path])
+    extras = found.extras if evolve else None
+    cleaned = read_cleaned(spark, files, found, ts_type, [input_path], extras)
+    if extras:
+        writes.add_missing_columns(cleaned, table)
     writes.load_telemetry(with_vehicle(cleaned), table, load_id, gather_days)
     written, null_keys = ledger.own_rows(spark, table, load_id)
     ledger.note(spark, table, load_id, found.rows, written, null_keys)
@@ -127,6 +132,7 @@ def ingest_and_summarize(
     load_id: str,
     ts_type: T.DataType = T.TimestampType(),
     provider: str = "parquet",
+    evolve: bool = False,
 ) -> DataFrame:
     """Both jobs in a row; returns the ingest audit.
 
@@ -135,7 +141,7 @@ def ingest_and_summarize(
     """
     table = f"{namespace}.{BASE_TABLE}"
     before = loaded_days(spark, table, load_id) if catalog.table_exists(spark, table) else []
-    audit = ingest(spark, input_path, table, load_id, ts_type, provider)
+    audit = ingest(spark, input_path, table, load_id, ts_type, provider, evolve=evolve)
     targets = [f"{namespace}.{name}" for name in summaries.SUMMARIES]
     if all(catalog.table_exists(spark, t) for t in targets):
         refresh_summary_days(spark, table, namespace, {*before, *loaded_days(spark, table, load_id)})

@@ -70,6 +70,20 @@ class Survey(NamedTuple):
         raw = {name for g in self.groups for name in g.schema.names}
         return {f.name for f in contract.FIELDS if f.raw_name in raw}
 
+    @property
+    def extras(self) -> T.StructType:
+        """Columns outside the contract, in the types that hold them from all groups."""
+        found: dict[str, str] = {}
+        for group in self.groups:
+            for f in group.schema:
+                if f.name.lower() not in _SPELLED:
+                    kind = f.dataType.simpleString()
+                    joined = _join(found.get(f.name, kind), kind) or _holding(found[f.name], kind)
+                    if joined is None:
+                        raise contract.ContractError(f"column {f.name} is {found[f.name]} and {kind}")
+                    found[f.name] = joined
+        return _schema(found)
+
     def require(self) -> None:
         """Fails where files cannot be loaded, or none has a mandatory column."""
         if self.unusable:
@@ -103,17 +117,28 @@ def _leaf_type(column) -> str:
     return plain[physical] if logical == "NONE" else logical.lower()
 
 
-def _shape(file: pq.ParquetFile) -> list[tuple[str, str]]:
-    """Contract columns of one file; a nested one has the type 'nested'."""
+def _shape(file: pq.ParquetFile, extras: bool = False) -> list[tuple[str, str]]:
+    """Contract columns of one file; a nested one has the type 'nested'. With `extras` other
+    plain columns too."""
     found = {}
     for i in range(len(file.schema)):
         column = file.schema.column(i)
         name, _, below = column.path.partition(".")
-        if name.lower() in _SPELLED:
-            found[name] = "nested" if below else _leaf_type(column)
+        kind = "nested" if below else _leaf_type(column)
+        if name.lower() in _SPELLED or (extras and _is_extra(name, kind)):
+            found[name] = kind
     return sorted(found.items())
 
 
+def _is_extra(name: str, kind: str) -> bool:
+    """Whether a column outside the contract can be loaded."""
+    known = (contract.KEY, contract.DAY, contract.LOAD, *contract.SYSTEM_COLUMNS)
+    return name.lower() not in known and (kind in _PLAIN or kind.startswith("decimal"))
+
+
+_PLAIN = {k for chain in _WIDER for k in chain} | {"boolean", "string", "binary", "timestamp"}
+
+
 def _problem(shape: list[tuple[str, str]]) -> str | None:
     """Why files of this shape cannot be loaded."""
     names = [name.lower() for name, _ in shape]
@@ -121,7 +146,9 @@ def _problem(shape: list[tuple[str, str]]) -> str | None:
     if twice:
         return "columns that differ in case only: " + ", ".join(twice)
     for name, kind in shape:
-        field = next(f for f in contract.FIELDS if f.raw_name.lower() == name.lower())
+        field = next((f for f in contract.FIELDS if f.raw_name.lower() == name.lower()), None)
+        if field is None:
+            continue
         try:
             usable = contract.assignable(T._parse_datatype_string(kind), field.type)
         except Exception:  # a type Spark has no name for
@@ -137,7 +164,7 @@ def landing_files(spark: SparkSession, path: str) -> DataFrame:
     return reader.load(path).select("path")
 
 
-def _footers(files: DataFrame, fold: bool) -> DataFrame:
+def _footers(files: DataFrame, fold: bool, extras: bool) -> DataFrame:
     """The shapes of these files: one row per file, or (`fold`) per shape and task."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,7 +176,7 @@ def _footers(files: DataFrame, fold: bool) -> DataFrame:
                 try:
                     with storage.open_input(path, opened) as source:
                         file = pq.ParquetFile(source)
-                        shape, rows = _shape(file), file.metadata.num_rows
+                        shape, rows = _shape(file, extras), file.metadata.num_rows
                 except (pa.ArrowInvalid, pa.ArrowNotImplementedError, EOFError) as bad:
                     error = "no Parquet file: " + str(bad).splitlines()[0][:200]
                 key = (tuple(shape), error, path if not fold else None)
@@ -184,6 +211,12 @@ def _join(a: str, b: str) -> str | None:
     return None
 
 
+def _holding(a: str, b: str) -> str | None:
+    """The type that holds the values of two groups; other than `_join`, by a cast."""
+    numbers = ("tinyint", "smallint", "int", "bigint", "float", "double")
+    return "double" if a in numbers and b in numbers else None
+
+
 def _fold(groups: list[dict], shape: tuple, rows: int, files: int) -> None:
     types = {name.lower(): kind for name, kind in shape}
     for group in groups:
@@ -198,8 +231,8 @@ def _fold(groups: list[dict], shape: tuple, rows: int, files: int) -> None:
 
 
 def _schema(types: dict[str, str]) -> T.StructType:
-    """The columns by the contract's spelling."""
-    return T.StructType([T.StructField(_SPELLED[n], T._parse_datatype_string(k)) for n, k in types.items()])
+    """The columns by the contract's spelling; others in lower case."""
+    return T.StructType([T.StructField(_SPELLED.get(n, n), T._parse_datatype_string(k)) for n, k in types.items()])
 
 
 def _merged(rows: list) -> dict[tuple, tuple[int, int, str]]:
@@ -212,12 +245,13 @@ def _merged(rows: list) -> dict[tuple, tuple[int, int, str]]:
     return merged
 
 
-def survey(files: DataFrame, few: bool = False) -> Survey:
+def survey(files: DataFrame, few: bool = False, extras: bool = False) -> Survey:
     """Groups of files (`path`) that one schema reads each, and those that cannot be loaded.
 
-    With `few`, as for a batch of a stream, the tasks' shapes are folded without a shuffle.
+    With `few`, as for a batch of a stream, the tasks' shapes are folded without a shuffle. With
+    `extras`, plain columns outside the contract count as well.
     """
-    folded = _footers(files, fold=True)
+    folded = _footers(files, True, extras)
     if not few:
         folded = folded.groupBy("shape", "error").agg(
             F.sum("rows").alias("rows"), F.sum("files").alias("files"), F.min("path").alias("path")
@@ -237,12 +271,12 @@ def survey(files: DataFrame, few: bool = False) -> Survey:
     )
 
 
-def paths_of(files: DataFrame, shapes: list[tuple]) -> dict[tuple, list[str]]:
+def paths_of(files: DataFrame, shapes: list[tuple], extras: bool = False) -> dict[tuple, list[str]]:
     """Names of the files of each of these shapes. Only asked for where files are split into
     groups: Spark's readers are told the files of a group by name."""
     wanted = set(shapes)
     found: dict[tuple, list[str]] = {}
-    for r in _footers(files, fold=False).select("shape", "path").toLocalIterator():
+    for r in _footers(files, False, extras).select("shape", "path").toLocalIterator():
         shape = tuple((c["name"], c["type"]) for c in r["shape"])
         if shape in wanted:
             found.setdefault(shape, []).append(r["path"])

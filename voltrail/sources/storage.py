@@ -146,32 +146,58 @@ def _guarded(action, *args, **kwargs):
         raise StorageError(str(error)) from error
 
 
+class Writer:
+    """A file written piece by piece that takes its name when it is complete."""
+
+    def __init__(self, uri: str, opened: dict):
+        self._fs, self.path = locate(uri, opened)
+        folder, _, name = self.path.rpartition("/")
+        self._hidden = f"{folder}/.{name}.{uuid.uuid4().hex}"
+        made = opened.setdefault("folders", set())
+        if folder not in made:
+            _guarded(self._fs.create_dir, folder, recursive=True)
+            made.add(folder)
+        self.size = self.crc = 0
+        self._out = _guarded(self._fs.open_output_stream, self._hidden)
+
+    def write(self, chunk: bytes) -> None:
+        _guarded(self._out.write, chunk)
+        self.size += len(chunk)
+        self.crc = zlib.crc32(chunk, self.crc)
+
+    def finish(self) -> None:
+        _guarded(self._out.close)
+        _guarded(self._fs.move, self._hidden, self.path)
+
+    def abandon(self) -> None:
+        """Takes away what was written."""
+        if not self._out.closed:
+            self._out.close()
+        if self._fs.get_file_info(self._hidden).type != pafs.FileType.NotFound:
+            self._fs.delete_file(self._hidden)
+
+
+def remove(uri: str, opened: dict) -> bool:
+    """Deletes a file; whether there was one."""
+    fs, path = locate(uri, opened)
+    if _guarded(fs.get_file_info, path).type != pafs.FileType.File:
+        return False
+    _guarded(fs.delete_file, path)
+    return True
+
+
 def write_file(uri: str, chunks: Iterable[bytes], opened: dict) -> tuple[int, int]:
     """Writes a whole file or none; returns its size and CRC-32.
 
     Readers never see a partial file and a repeated task leaves the same one:
     data goes to a hidden name first, then takes the final name.
     """
-    fs, path = locate(uri, opened)
-    folder, _, name = path.rpartition("/")
-    hidden = f"{folder}/.{name}.{uuid.uuid4().hex}"
-    made = opened.setdefault("folders", set())
-    if folder not in made:
-        _guarded(fs.create_dir, folder, recursive=True)
-        made.add(folder)
-    size = crc = 0
-    out = _guarded(fs.open_output_stream, hidden)
+    writer = Writer(uri, opened)
     try:
         for chunk in chunks:
-            _guarded(out.write, chunk)
-            size += len(chunk)
-            crc = zlib.crc32(chunk, crc)
-        _guarded(out.close)
-        _guarded(fs.move, hidden, path)
+            writer.write(chunk)
+        writer.finish()
     except BaseException:
-        if not out.closed:
-            out.close()
-        if fs.get_file_info(hidden).type != pafs.FileType.NotFound:
-            fs.delete_file(hidden)
+        writer.abandon()
         raise
-    return size, crc
+    return writer.size, writer.crc

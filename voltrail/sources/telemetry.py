@@ -65,19 +65,22 @@ def read_cleaned(
     found: footers.Survey,
     ts_type: T.DataType = T.TimestampType(),
     places: list[str] | None = None,
+    extras: T.StructType | None = None,
 ) -> DataFrame:
     """Cleaned rows of the surveyed `files`, each group read with its own schema.
 
     Where one schema reads them all, Spark is given `places` (their folder, or their names)
-    if known; else the names of each group's files, as Spark's readers need them.
+    if known; else the names of each group's files, as Spark's readers need them. `extras`
+    are columns outside the contract that are kept, NULL where a group lacks them.
     """
+    more = extras or T.StructType()
     if not found.groups:
         empty = spark.createDataFrame([], contract.raw_schema(ts_type))
-        return clean(empty, ts_type)
+        return clean(empty, ts_type, more)
     if len(found.groups) == 1 and places and not found.unusable:
         reader = spark.read.schema(_whole(found.groups[0].schema, ts_type))
-        return clean(reader.option("recursiveFileLookup", "true").parquet(*places), ts_type)
-    names = footers.paths_of(files, [s for g in found.groups for s in g.shapes])
+        return clean(reader.option("recursiveFileLookup", "true").parquet(*places), ts_type, more)
+    names = footers.paths_of(files, [s for g in found.groups for s in g.shapes], extras is not None)
     return reduce(
         DataFrame.unionByName,
         [
@@ -86,6 +89,7 @@ def read_cleaned(
                     *[footers.literal_path(p) for s in g.shapes for p in names.get(s, [])]
                 ),
                 ts_type,
+                more,
             )
             for g in found.groups
         ],
