@@ -94,6 +94,52 @@ def test_a_page_without_landmarks(model):
     assert html_text.extract_all([page], model)[0] == f"{LONG} {LONG}\n\n{LONG}"
 
 
+ARTICLE = f"<h1>Title</h1><p>{LONG}</p><p>{LONG} {LONG}</p>"
+KEPT = f"Title\n\n{LONG}\n\n{LONG} {LONG}"
+MENU = "<ul>" + "".join(f"<li><a href=/{i}>Item {i}</a>" for i in range(8)) + "</ul>"
+COMMENTS = "<p>Nice post, really, thanks for it.</p><p>I do not think so, at all, sorry.</p>"
+#: Shapes that common software writes; the article stays, all else goes.
+SHAPES = [
+    '<article class="post comments-open">{a}</article>',
+    '<div class="content has-sidebar">{a}</div><div class="sidebar"><p>Side text, of some length.</p></div>',
+    '<article class="post tag-social category-legal">{a}</article>',
+    '<article id="post-12" class="post-12 post type-post status-publish format-standard hentry category-news">{a}</article>',
+    '<div class="sidebar-layout"><div class="entry-content">{a}</div><div class="widget">{m}</div></div>',
+    '<div id="page" class="ads-enabled"><main>{a}</main><footer>About</footer></div>',
+    '<form id="aspnetForm" action="/"><div class="article-body">{a}</div><button>Go</button></form>',
+    '<article>{a}</article><section class="reader-responses">{c}</section>',
+    '<article>{a}</article><div id="comments"><ol class="comment-list"><li><article class="comment-body">{c}</article></ol></div>',
+    '<main class="main no-sidebar">{a}</main><div class="post-comments">{c}</div>',
+    '<div class="story"><div class="story__body">{a}</div><div class="story__related">{m}</div></div>',
+    '<div role="main">{a}</div><div role="complementary"><p>Read this too, it is long, and more.</p></div>',
+    '<section id="content"><div class="breadcrumbs"><a href=/>Home</a> / <a href=/a>A</a></div>{a}</section>',
+    '<nav class="site-navigation">{m}</nav><div class="main-text">{a}</div><div class="social-share">Share it</div>',
+    '<div class="cookie-banner"><p>We use cookies, as all do.</p></div><article class="article is-premium">{a}</article>',
+]
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+def test_everyday_class_names(model, shape):
+    page = f"<html><head><title>t</title></head><body>{shape.format(a=ARTICLE, m=MENU, c=COMMENTS)}</body></html>"
+    assert html_text.extract_all([page], model)[0] == KEPT
+
+
+@pytest.mark.parametrize(
+    "start",
+    ["<head><title>Unclosed</head>", "<title>Unclosed", "<textarea>some", "<iframe src=x>", "<head><style>p {}</head>", "<script>let a = 1;"],
+)
+def test_unclosed_raw_elements_end_at_the_next_block(model, start):
+    page = f"<html>{start}<body><article>{ARTICLE}</article></body></html>"
+    assert html_text.extract_all([page], model)[0] == KEPT
+    page = f"<html><body>{start}<article>{ARTICLE}</article></body></html>"
+    assert html_text.extract_all([page], model)[0] == KEPT
+
+
+def test_text_of_a_declared_shadow_root_stays(model):
+    page = f"<body><article><div><template shadowrootmode=open>{ARTICLE}</template></div><template><p>inert</p></template></article></body>"
+    assert html_text.extract_all([page], model)[0] == KEPT
+
+
 def test_odd_pages(model):
     deep = "<div>" * 3000 + "deep" + "</div>" * 3000
     pages = ["", "plain &lt;text&gt; only", "<p", "<p>unclosed <b>bold", "</div></p>", deep, "<a title='a > b'>t</a>"]

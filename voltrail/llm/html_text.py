@@ -62,6 +62,8 @@ _CLOSES = {
     "th": {"td", "th"}, "option": {"option"}, "body": {"head"}, "p": {"p"},
 }
 _HOLDS = {"li": {"ul", "ol", "menu"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "dt": {"dl"}, "dd": {"dl"}}
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in _RAW}
+_NEXT_BLOCK = re.compile(rf"</head\s*>|<(?:{'|'.join(sorted(_BLOCK, key=len, reverse=True))})(?=[\s/>])", re.I)
 _FURNITURE_TAGS = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "label", "fieldset"}
 _MAIN_TAGS = {"article", "main"}
 _FURNITURE_WORDS = set(
@@ -69,9 +71,16 @@ _FURNITURE_WORDS = set(
     "consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup share sharing "
     "social menu nav navbar navigation breadcrumb breadcrumbs pagination pager sidebar aside widget related "
     "recommended recommendations trending footer masthead topbar copyright legal comment comments disqus reply "
-    "replies respondents login search toolbar contentinfo complementary dialog form skip paywall teaser outbrain taboola".split()
+    "replies respondents responses discussion feedback reactions login search toolbar contentinfo complementary dialog form skip paywall teaser outbrain taboola".split()
 )
 _MAIN_WORDS = set("article content post entry story body main text".split())
+# Parts that make a class word tell of a state or a topic, not of what the element is.
+_STATES = set(
+    "has is no not with without tag tags category cat type format status hide show open opened closed enabled "
+    "disabled on off allowed active visible hidden count support layout".split()
+)
+#: Share of a page's text from which the article's own words outweigh others.
+MAIN_SHARE = 0.4
 FEATURES = 31
 # Attribute words and landmarks: what the second copy of a training node lacks.
 _TOLD = list(range(0, 11))
@@ -98,10 +107,14 @@ def _attributes(tag: str, raw: str, node: Node) -> None:
     for name, a, b, c in _ATTRIBUTE.findall(raw):
         value, name = a or b or c, name.lower()
         if name in ("class", "id", "role"):
-            words = {w.lower() for w in _WORDS.findall(value)} | set(_TOKENS.findall(value.lower()))
-            if tag not in ("html", "body", "main"):  # they speak of the whole page
-                node.furniture += len(words & _FURNITURE_WORDS)
-            node.main += len(words & _MAIN_WORDS)
+            for word in value.split():
+                parts = {w.lower() for w in _WORDS.findall(word)} | set(_TOKENS.findall(word.lower()))
+                if len(parts) > 1 and parts & _STATES:
+                    continue  # has-sidebar, comments-open, tag-social
+                if parts & _FURNITURE_WORDS:
+                    node.furniture += tag not in ("html", "body", "main")  # they speak of the whole page
+                else:
+                    node.main += bool(parts & _MAIN_WORDS)
         elif name == "style":
             node.hidden |= "display:none" in value.replace(" ", "").lower()
         elif name == "hidden" or value.lower() == "true":
@@ -153,10 +166,12 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, int, str]]]:
                     break  # a stray inline end tag does not close blocks
             block += tag in _BLOCK
             continue
-        if tag in _RAW:
+        if tag in _RAW and "shadowrootmode" not in raw:
             if not raw.endswith("/"):
-                end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                at = skip_until = end.end() if end else len(page)
+                end = _RAW_END[tag].search(page, at)
+                # Without an end tag it ends where the next block begins.
+                begin = None if end else _NEXT_BLOCK.search(page, at)
+                at = skip_until = end.end() if end else begin.start() if begin else len(page)
             continue
         if tag in _VOID:
             if tag == "br":
@@ -204,6 +219,13 @@ def features(nodes: list[Node]) -> tuple[np.ndarray, np.ndarray]:
     page_text = max(1.0, totals[0, 0])
     x, told = np.zeros((n, FEATURES)), np.full(n, -1)
     has_main = any(x.tag in _MAIN_TAGS or x.main for x in nodes)
+    # Text of the largest element below each node, or itself, that says it is the article.
+    article = np.zeros(n)
+    for i in range(n - 1, -1, -1):
+        if (nodes[i].tag in _MAIN_TAGS or nodes[i].main) and not nodes[i].furniture:
+            article[i] = totals[i, 0]
+        if i:
+            article[parents[i]] = max(article[parents[i]], article[i])
     above = np.zeros((n, 3))  # furniture tag, furniture words, main
     for i, node in enumerate(nodes):
         text, links, words, marks, digits, blocks, headings = totals[i]
@@ -211,9 +233,13 @@ def features(nodes: list[Node]) -> tuple[np.ndarray, np.ndarray]:
         up = above[node.parent] if i else np.zeros(3)
         # A header inside an article is the article's if it has a heading.
         page_header = tag == "header" and not (up[2] and headings)
-        furniture = tag in _FURNITURE_TAGS or page_header
         main = tag in _MAIN_TAGS or node.main > 0
-        above[i] = (max(up[0], furniture), max(up[1], node.furniture > 0), max(up[2], main))
+        # No word and no tag makes furniture of what holds the article or most of its text.
+        holds = article[i] >= MAIN_SHARE * page_text or (main and text >= MAIN_SHARE * page_text)
+        furniture = (tag in _FURNITURE_TAGS or page_header) and not holds
+        told_words = 0 if holds else node.furniture
+        page_header = page_header and not holds
+        above[i] = (max(up[0], furniture), max(up[1], told_words > 0), max(up[2], main))
         if node.hidden or above[i, 0] or above[i, 1]:
             told[i] = 0
         elif above[i, 2] or i == 0 or tag in ("html", "body"):
@@ -223,7 +249,7 @@ def features(nodes: list[Node]) -> tuple[np.ndarray, np.ndarray]:
         x[i] = (
             furniture,
             tag in _MAIN_TAGS,
-            node.furniture,
+            told_words,
             node.main,
             node.hidden,
             *up,
