@@ -74,3 +74,24 @@ def test_many_small_texts(spark, monkeypatch, part):
 
         got = {r["doc_id"]: bytes(r["gone"]) for r in in_batches(found, rows, "doc_id long, gone binary").collect()}
         assert got == {i: w for (i, _), w in zip(docs, want)}
+
+
+def test_rows_without_id_go_by_their_whole_text(folder, spark):
+    """Pairs of texts without id whose 64-bit hashes share their low 30 bits; and equal ones."""
+    import xxhash
+
+    rng = random.Random(11)
+    one, two = ("".join(rng.choice("abcdefghij") for _ in range(700)) for _ in range(2))
+    low = lambda t: xxhash.xxh64_intdigest(t.encode(), 42) & ((1 << 30) - 1)
+    seen = {low(t): t for t in (f"{one}{i}" for i in range(60_000))}
+    pairs = [(seen[low(t)], t) for t in (f"{two}{i}" for i in range(60_000)) if low(t) in seen]
+    assert pairs
+    docs = [(1, one), (2, two), (0, "x" * 50), (None, None), (None, one[:500]), (None, one[:500])]
+    docs += [(None, t) for t in pairs[0]]
+    got = repeats.op5_suffix_dedup(spark, folder("documents", docs, "doc_id long, text string")).collect()
+    texts = [(t or "").encode() for _, t in docs]
+    want = sorted(
+        (repr(i), len(t), sum(g), brute.sha(bytes(b for b, x in zip(t, g) if not x)))
+        for (i, _), t, g in zip(docs, texts, brute.repeats(texts))
+    )
+    assert sorted((repr(r["doc_id"]), r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in got) == want

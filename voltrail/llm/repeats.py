@@ -1,4 +1,4 @@
-"""Removal of byte strings that start in two places, by distributed prefix doubling.
+"""Removal of byte strings that start in two places, by names of growing strings.
 
 A window is the string of `length` bytes that starts at a position. Names (hashes) stand
 for the ranks of strings; names are counted by Spark, and what has a name of its own is
@@ -198,7 +198,7 @@ def half_names(docs: DataFrame, length: int) -> DataFrame:
         names = [xxhash.xxh3_64_intdigest(texts[d][p : p + half]) for d, p in found.tolist()]
         return _named(batch, found[:, 0], {"name": _long(names), "place": found[:, 1]})
 
-    return in_batches(docs, rows, "id long, key int, name long, place int")
+    return in_batches(docs, rows, "id long, key long, name long, place int")
 
 
 def whole_names(docs: DataFrame, length: int) -> DataFrame:
@@ -219,7 +219,7 @@ def whole_names(docs: DataFrame, length: int) -> DataFrame:
     return in_batches(docs, rows, _STEP)
 
 
-_STEP = "id long, key int, name long, whole long, spot long, weight int"
+_STEP = "id long, key long, name long, whole long, spot long, weight int"
 
 
 def block_names(docs: DataFrame, length: int) -> DataFrame:
@@ -276,7 +276,7 @@ def window_names(docs: DataFrame, length: int) -> DataFrame:
         columns = {"w1": pair[:, 0], "w2": pair[:, 1], "start": starts, "weight": np.repeat(weights, n)}
         return _named(batch, np.repeat(blocks[:, 0], n), columns)
 
-    return in_batches(docs, rows, "id long, key int, w1 long, w2 long, start int, weight int")
+    return in_batches(docs, rows, "id long, key long, w1 long, w2 long, start int, weight int")
 
 
 def removed_bytes(batch: pa.RecordBatch, length: int = LENGTH) -> list[np.ndarray]:
@@ -337,12 +337,12 @@ def found_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     use that exchange again.
     """
     doc_id = F.col("doc_id").cast("long")
-    h = F.pmod(F.xxhash64(content()), F.lit(1 << 30)).cast("int")
     keyed = docs.select(
-        F.coalesce(doc_id, F.lit(0)).alias("id"),
-        # An odd key: there was no doc_id.
-        (h * 2 + doc_id.isNull().cast("int")).alias("key"),
+        # Rows without doc_id go by their text alone: 128 bits of it.
+        F.coalesce(doc_id, F.xxhash64(F.lit(1), content())).alias("id"),
+        F.xxhash64(content()).alias("key"),
         content().alias("text"),
+        doc_id.isNull().alias("nameless"),
     )
     key = ["id", "key"]
     places = half_names(keyed.where(F.octet_length("text") >= length), length)
@@ -365,7 +365,7 @@ def found_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     )
     texts = texts.join(_listed(single, "start", "single"), key, "left")
     lists = ("alone", "open", "lone_blocks", "open_blocks", "single")
-    return texts.select(F.when(F.col("key") % 2 == 0, F.col("id")).alias("doc_id"), "text", *lists)
+    return texts.select(F.when(~F.col("nameless"), F.col("id")).alias("doc_id"), "text", *lists)
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
