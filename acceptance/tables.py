@@ -73,6 +73,15 @@ def day_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(spark, name, dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 13))
 
 
+VEHICLES = ["VIN000003", "VIN000050", "VIN000111"]
+
+
+def vehicle_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some vehicles over some days."""
+    name = loaded_table(spark, sf_dir)
+    return scan(spark, name, dt.datetime(2024, 1, 5), dt.datetime(2024, 1, 20), VEHICLES)
+
+
 def catalog_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     namespace = fresh_namespace(spark)
     name = loaded_table(spark, sf_dir, namespace)
@@ -273,6 +282,7 @@ QUERIES = {
     "append_by_name": append_by_name,
     "ctas_partitioned_daily": ctas_partitioned_daily,
     "day_pruned_scan": day_pruned_scan,
+    "vehicle_scan": vehicle_scan,
     "catalog_report": catalog_report,
     "namespaces_and_drops": namespaces_and_drops,
     "command_line_load": command_line_load,
@@ -304,6 +314,8 @@ SELECT vin_id, COUNT(*) AS n, CAST(SUM(fuel_percentage) AS BIGINT) AS fuel_total
 FROM cleaned GROUP BY vin_id""",
     "ctas_partitioned_daily": DAILY_SQL,
     "day_pruned_scan": f"{_CLEAN} WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'",
+    "vehicle_scan": f"""{_CLEAN} WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-19'
+    AND vin_id IN ({", ".join(f"'{v}'" for v in VEHICLES)})""",
     "catalog_report": f"""{WITH_CLEANED},
 days AS (SELECT COUNT(DISTINCT CAST(ts AS DATE)) AS n FROM cleaned),
 daily AS ({DAILY_BODY.format(source="cleaned")}),

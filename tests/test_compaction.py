@@ -206,3 +206,37 @@ def test_summaries_while_a_compaction_is_on(spark, table, namespace):
     days = [r[0] for r in telemetry.scan(spark, table).select(F.to_date("ts")).distinct().collect()]
     jobs.refresh_summary_days(spark, table, namespace, days)
     assert snapshot(jobs.read_summary(spark, namespace, "vehicle_daily_summary")) == want
+
+
+def rows_read(df):
+    """Rows that the scan of a plan without shuffles gives on."""
+    df.collect()
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    return leaf.metrics().apply("numOutputRows").value()
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_a_scan_of_one_vehicle_skips_the_others(spark, table, packed):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    rows = spark.range(60_000).selectExpr(
+        "format_string('V%03d', pmod(hash(id), 500)) AS vin_id",
+        "cast(id % 90 AS float) AS DISPLAY_SPEED",
+        "timestamp_ntz'2024-03-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS ts",
+    )
+    spark.conf.set(size, "200KB")
+    try:
+        for i in range(2):
+            part = rows.where(f"id % 2 = {i}")
+            writes.load_telemetry(clean(part), table, ledger.batch_load_id("s", i), gather_days=not packed)
+        if packed:
+            compaction.close_batches(spark, table, "s", 2)
+            compaction.compact(spark, table, file_bytes=100_000)
+            compaction.recover(spark, table)
+    finally:
+        spark.conf.unset(size)
+    whole = telemetry.scan(spark, table)
+    one = telemetry.scan(spark, table, vehicles=["V123"])
+    assert snapshot(one) == snapshot(whole.where("vin_id = 'V123'"))
+    files = len(one.inputFiles())
+    if packed:  # one file holds all rows of the vehicle
+        assert files > 4 and rows_read(one) <= 2 * 60_000 / files

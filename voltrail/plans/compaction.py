@@ -6,7 +6,7 @@ batch of each stream is a property of the table, so a closed batch that is playe
 all the same (from an older copy of a checkpoint) is known and skipped.
 
 `compact` bins the closed partitions of a day by their bytes, writes each bin as one
-partition `packed-<run>-<bin>`, and takes the old ones away. What readers may see is one
+partition `packed-<run>-<bin>`, ordered along vehicle and time, and takes the old ones away. What readers may see is one
 property of the table, changed in one statement:
 
     writing:<run>   the packed partitions are not complete: `live_rows` leaves them out
@@ -34,6 +34,8 @@ _STATE = "compaction"
 _CLOSED = "closed."
 #: Partitions of this many bytes or more are left as they are; bins are filled up to it.
 TARGET_BYTES = 256 << 20
+#: Bytes of a file of packed rows, about.
+FILE_BYTES = 64 << 20
 _MEMBERS = f"`{contract.DAY}` date, `{contract.LOAD}` string, packed string"
 
 
@@ -149,6 +151,7 @@ def compact(
     settled: tuple[str, ...] = (),
     target_bytes: int = TARGET_BYTES,
     least_loads: int = 2,
+    file_bytes: int = FILE_BYTES,
 ) -> int:
     """Packs the closed loads of days that have `least_loads` of them or more; returns how
     many partitions were replaced.
@@ -196,7 +199,10 @@ def compact(
     joined = rows.join(F.broadcast(replaced.alias("b")), same)
     kept = [F.col(f"a.{c}") for c in rows.columns if c != contract.LOAD]
     packed = joined.select(*kept, F.col("b.packed").alias(contract.LOAD))
-    writes.replace_partitions(packed.hint("rebalance", contract.DAY, contract.LOAD), table)
+    # Files of a day hold neighbouring vehicles, each of its own.
+    total = sum(by_day[day][load] for day, load, _ in chosen)
+    ranged = packed.repartitionByRange(-(-total // file_bytes), contract.DAY, contract.LOAD, "vin_id")
+    writes.replace_partitions(writes.clustered(ranged), table)
     catalog.set_property(spark, table, _STATE, f"written:{run}")
     return len(chosen)
 

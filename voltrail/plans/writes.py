@@ -96,6 +96,13 @@ def drop_partitions(spark: SparkSession, table: str, partitions: list[dict[str,
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
 
 
+def clustered(rows: DataFrame) -> DataFrame:
+    """Rows of a day along vehicle and time within each task, so that row groups hold few
+    vehicles and readers skip the others by their statistics. The write itself sorts
+    by the partition columns; these come first here, so it has nothing left to sort."""
+    return rows.sortWithinPartitions(contract.DAY, contract.LOAD, "vin_id", "ts")
+
+
 def load_telemetry(cleaned: DataFrame, table: str, load_id: str, gather_days: bool = True) -> None:
     """Writes cleaned rows as load `load_id`; the same load again replaces itself, days
     that it no longer has rows for included.
@@ -122,6 +129,8 @@ def load_telemetry(cleaned: DataFrame, table: str, load_id: str, gather_days: bo
         rows = rows.hint("rebalance", day)
     key = primary_key(F.col("vin_id"), F.col("ts"))
     whole = rows.withColumns({contract.KEY: key, contract.LOAD: F.lit(load_id)})
+    if contract.DAY in whole.columns:
+        whole = clustered(whole)
     if not _is_file_table(spark, table):
         whole.writeTo(table).overwrite(F.col(contract.LOAD) == load_id)
         return
