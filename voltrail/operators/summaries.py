@@ -70,13 +70,16 @@ def driving_modes(base: DataFrame) -> DataFrame:
     )
 
 
-def mode_rollup(base: DataFrame) -> DataFrame:
-    """Sums, counts and extremes per vehicle, day and mode: all the summaries need."""
+def mode_rollup(base: DataFrame, *more: str) -> DataFrame:
+    """Sums, counts and extremes per vehicle, day and mode: all the summaries need.
+
+    With `more` keys, as the load, parts of it that `merged_rollup` puts together.
+    """
     charging = F.col("charging_time_remain_minute") > 0
     charging_fuel = F.when(charging, F.col("fuel_percentage"))
     return (
         _dated(base)
-        .groupBy(*MODE_KEYS)
+        .groupBy(*MODE_KEYS, *more)
         .agg(
             F.count("*").alias("n"),
             F.sum("fuel_percentage").alias("fuel_sum"),
@@ -101,6 +104,18 @@ def mode_rollup(base: DataFrame) -> DataFrame:
     )
 
 
+def merged_rollup(parts: DataFrame) -> DataFrame:
+    """One rollup of several, as of the loads of a day."""
+    values = [c for c in parts.columns if c.endswith(("n", "_sum", "_min", "_max", "_ts")) and c not in MODE_KEYS]
+    how = {"_min": F.min, "_max": F.max}
+    how |= {"first_ts": F.min, "last_ts": F.max}
+
+    def merge(name: str) -> Column:
+        return how.get(name, how.get(name[-4:], F.sum))(name).alias(name)
+
+    return parts.groupBy(*MODE_KEYS).agg(*[merge(c) for c in values])
+
+
 def _mean(total: Column, count: Column) -> Column:
     return F.try_divide(total.cast("double"), count)
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltrail import contract
-from voltrail.plans import catalog, ledger, writes
+from voltrail.plans import catalog, ledger, rollups, writes
 
 PACKED = ledger.PACKED
 _STATE = "compaction"
@@ -170,6 +170,9 @@ def compact(
     for (day, load), size in partition_sizes(spark, table).items():
         if _is_closed(load, streams, named):
             by_day.setdefault(day, {})[load] = size
+    if catalog.table_exists(spark, rollups.rollup_of(table)):
+        # Rows of a packed partition do not tell their load any more.
+        rollups.store_missing(spark, table)
     run = uuid.uuid4().hex[:12]
     chosen = []
     for day, sizes in sorted(by_day.items(), key=lambda x: str(x[0])):

@@ -6,14 +6,14 @@ import datetime as dt
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltrail import contract
 from voltrail.operators import summaries
 from voltrail.operators.clean import with_vehicle
-from voltrail.plans import catalog, compaction, ledger, writes
+from voltrail.plans import catalog, compaction, ledger, rollups, writes
 from voltrail.sources import footers
 from voltrail.sources.telemetry import read_cleaned, scan
 
@@ -83,13 +83,6 @@ def refresh_summaries(spark: SparkSession, table: str, namespace: str, provider:
     )
 
 
-def _on_days(day: Column, days: Iterable[dt.date | None]) -> Column:
-    """Whether a day is one of these; None stands for rows without time."""
-    wanted = set(days)
-    test = day.isin(sorted(d for d in wanted if d is not None))
-    return test | day.isNull() if None in wanted else test
-
-
 def refresh_summary_days(
     spark: SparkSession, table: str, namespace: str, days: Iterable[dt.date | None]
 ) -> list[str]:
@@ -101,13 +94,13 @@ def refresh_summary_days(
     wanted = list(days)
     base = compaction.live_rows(spark, table)
     if contract.DAY in base.columns:
-        base = base.where(_on_days(F.col(contract.DAY), wanted))
-    base = base.where(_on_days(F.to_date("ts"), wanted)).select(*contract.COLUMNS)
-    return _write_summaries(
-        summaries.mode_rollup(base),
-        namespace,
-        lambda df, target: writes.replace_days(df, target, set(wanted)),
-    )
+        base = base.where(rollups.on_days(F.col(contract.DAY), wanted))
+    base = base.where(rollups.on_days(F.to_date("ts"), wanted)).select(*contract.COLUMNS)
+    return _write_summaries(summaries.mode_rollup(base), namespace, _replacing(set(wanted)))
+
+
+def _replacing(days: set) -> Callable[[DataFrame, str], None]:
+    return lambda df, target: writes.replace_days(df, target, days)
 
 
 def read_summary(spark: SparkSession, namespace: str, name: str) -> DataFrame:
@@ -137,14 +130,20 @@ def ingest_and_summarize(
     """Both jobs in a row; returns the ingest audit.
 
     Summaries are built when absent, else only the days of this load are redone: those
-    it has now and, for a repeat, those it had before.
+    it has now and, for a repeat, those it had before. They are put together from the
+    stored rollups of their loads, so of the telemetry only this load's rows are read.
     """
     table = f"{namespace}.{BASE_TABLE}"
     before = loaded_days(spark, table, load_id) if catalog.table_exists(spark, table) else []
     audit = ingest(spark, input_path, table, load_id, ts_type, provider, evolve=evolve)
     targets = [f"{namespace}.{name}" for name in summaries.SUMMARIES]
-    if all(catalog.table_exists(spark, t) for t in targets):
-        refresh_summary_days(spark, table, namespace, {*before, *loaded_days(spark, table, load_id)})
-    else:
+    if not all(catalog.table_exists(spark, t) for t in targets):
         refresh_summaries(spark, table, namespace, provider)
+        return audit
+    days = {*before, *loaded_days(spark, table, load_id)}
+    if contract.DAY in spark.table(table).columns:
+        rollups.store_missing(spark, table, replaced=load_id)
+        _write_summaries(rollups.of_days(spark, table, days), namespace, _replacing(days))
+    else:
+        refresh_summary_days(spark, table, namespace, days)
     return audit
