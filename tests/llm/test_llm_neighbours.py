@@ -67,3 +67,42 @@ def test_odd_vectors(folder, spark):
 def test_empty_table(folder, spark):
     df = neighbours.op4_nearest_neighbours(spark, folder("embeddings", [], "vec_id long, embedding array<float>"))
     assert df.columns == ["query_id", "rank", "vec_id", "score"] and df.count() == 0
+
+
+def test_candidates_are_abandoned_early(spark):
+    """Share of the dimensions read and recall, over all queries of a table."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()
+    rows.sort(key=lambda r: r["vec_id"])
+    ids = [r["vec_id"] for r in rows]
+    x = np.array([r["embedding"] for r in rows], dtype=float)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in zip(ids, x)], "vec_id long, vector array<double>")
+    index = neighbours.fit(df)
+    reader = neighbours.Reader(index, 10)
+    turned, hits, queries = x @ index.rotation, 0, 0
+    home, rest = x[: len(x) // 2], x[len(x) // 2 :]
+    for at in range(0, len(x), 37):
+        skip = np.arange(len(x)) == at
+        cut = len(home)
+        a, gaps = reader.scan(x[at], turned[at], home, turned[:cut], skip[:cut])
+        b, more = reader.scan(x[at], turned[at], rest, turned[cut:], skip[cut:], np.sort(gaps)[9])
+        found = sorted(zip([*gaps, *more], [*a, *(b + cut)]))[:10]
+        hits += len({ids[i] for _, i in found} & {i for _, i, _ in exact(ids, x, ids[at])})
+        queries += 1
+    share = reader.read / (queries * len(x) * x.shape[1])
+    print(f"{share:.3f} of the dimensions read, recall {hits / queries / 10:.3f}, slack {index.slack:.2f}")
+    assert share <= 0.63 and hits >= 0.95 * 10 * queries
+
+
+def test_bounds_and_ties():
+    """Candidates as far as the bound stay; a bound below all leaves none."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((300, 16))
+    x[100:120] = x[5]
+    index = neighbours.Index(np.linalg.qr(rng.standard_normal((16, 16)))[0], x[:1], 1, 3.0)
+    reader = neighbours.Reader(index, 10)
+    none = np.zeros(300, dtype=bool)
+    at, gaps = reader.scan(x[5], x[5] @ index.rotation, x, x @ index.rotation, none, 0.0)
+    assert sorted(at) == [5, *range(100, 120)] and (gaps == 0).all()
+    far = x[5] + 100
+    at, _ = reader.scan(far, far @ index.rotation, x, x @ index.rotation, none, 1.0)
+    assert len(at) == 0
