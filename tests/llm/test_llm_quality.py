@@ -84,3 +84,22 @@ def test_all_neighbouring_pairs_count():
     for lead in range(4):
         text = b"word " * lead + b"a1 b-c " + b"word " * 4
         assert quality._slot(b"s:a0 a-a") in quality.traits(text).features
+
+
+def test_scripts_without_blanks_get_no_junk_vote(spark):
+    """Prose whose words are not set apart, in three scripts; long ASCII runs still count."""
+    chinese = "他们在河边走了很久，谈到天气、工作和孩子。" * 30
+    thai = "พวกเขาเดินริมแม่น้ำเป็นเวลานานและคุยกันเรื่องงาน " * 30
+    japanese = "昨日は友達と一緒に公園へ行きました。天気がとても良かったです。\n" * 3 + "今日は家で本を読んでいます。"
+    for text in (chinese, thai, japanese):
+        votes = dict(zip(quality.LABELLERS, quality.traits(text.encode()).votes))
+        assert votes["long_words"] == 0 and votes["digits"] == 0 and votes["marks"] == 0
+    run = "x9k2" * 30 + " "
+    assert quality.traits((run * 5).encode()).votes[quality.LABELLERS.index("long_words")] == quality.JUNK
+
+
+def test_whole_shapes_count():
+    """Two shapes that begin alike for a long way are two features."""
+    a, b = ("a0-" * 30 + end for end in ("a", "0"))
+    one, two = (set(quality.traits(t.replace("a", "word").encode()).features) for t in (a, b))
+    assert one != two

@@ -59,6 +59,8 @@ _CLASSES = bytes(
     0x61 if c >= 0x80 or chr(c).isalpha() else 0x30 if chr(c).isdigit() else 0x20 if chr(c) in " \t\n\x0b\x0c\r" else c
     for c in range(256)
 )
+#: White space, and all that is no ASCII.
+_NOT_PLAIN = bytes(range(0x80, 0x100)) + b" \t\n\x0b\x0c\r"
 _LETTERS, _DIGITS, _BLANKS = re.compile(rb"a+"), re.compile(rb"0+"), b" "
 _PROSE_MARKS = b".,;:!?'\"()-"
 _ODD = b"#$%&*<>=~^_+|@!?"
@@ -101,6 +103,7 @@ def traits(text: bytes) -> Traits:
         return Traits(0, [0] * len(LABELLERS), {_slot(b"empty"): 1.0})
     classes = text.translate(_CLASSES)
     size = len(classes) - classes.count(_BLANKS)
+    plain_size = len(text.translate(None, _NOT_PLAIN))
     letters, digits = classes.count(b"a"), classes.count(b"0")
     prose = sum(map(classes.count, (bytes((c,)) for c in _PROSE_MARKS)))
     marks = max(0, size - letters - digits - prose) / size
@@ -131,7 +134,8 @@ def traits(text: bytes) -> Traits:
         poor,
         repeated > 0.5 and len(lines) > 4,
         digits / size > 0.4,
-        size / n > 16,
+        # Scripts that set no blanks between words have long runs of other bytes.
+        plain_size / n > 16,
         capitals > 0.8 and n > 12,
     )
     votes = [*(GOOD * x for x in good), *(JUNK * x for x in junk)]
@@ -140,7 +144,7 @@ def traits(text: bytes) -> Traits:
     total = len(shapes)
     features: dict[int, float] = {}
     for shape, count in counts.items():
-        slot = _slot(b"s:" + shape[:48])
+        slot = _slot(b"s:" + shape)
         features[slot] = features.get(slot, 0.0) + float(np.sqrt(count / total))
     for name, value in ((b"stutter", again), (b"lines", repeated), (b"variety", 1 - varied), (b"poor", poor)):
         slot = _slot(b"t:" + name)
