@@ -12,7 +12,7 @@ from acceptance.telemetry_view import WITH_CLEANED, WITH_RAW, raw_telemetry
 from voltrail import contract
 from voltrail.operators import audit, summaries
 from voltrail.operators.clean import clean
-from voltrail.sources.telemetry import sample_rows
+from voltrail.sources.telemetry import SAMPLE_ROWS, sample_rows
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,10 +135,7 @@ def _sample_sql() -> str:
         f"('{r[0]}_2024-01-01 00:00:00', "
         + ", ".join(repr(v) if isinstance(v, str) else str(v).lower() for v in r)
         + ", TIMESTAMP '2024-01-01 00:00:00')"
-        for r in (
-            ("TEST001", 120, 50, 500, 480, 75, 1, 2, False, 80, 60.5, 1, 1),
-            ("TEST002", 90, 30, 450, 430, 60, 0, 1, True, 70, 45.2, 2, 2),
-        )
+        for r in SAMPLE_ROWS
     )
     samples = f"SELECT * FROM (VALUES {vins}) AS s({_COLUMN_LIST})"
     typed = ", ".join(
