@@ -4,6 +4,7 @@ import os
 import random
 import tracemalloc
 import zipfile
+import zlib
 
 import pyarrow as pa
 import pytest
@@ -89,3 +90,25 @@ def test_a_failing_task_leaves_no_volume_open(tmp_path):
     with pytest.raises(RuntimeError):
         list(pack._write_archives(batches(), 1 << 20, zipfile.ZIP_STORED))
     assert os.listdir(tmp_path) == []
+
+
+@pytest.mark.parametrize("direct", [False, True])
+def test_a_file_is_there_whole_or_not_at_all(tmp_path, monkeypatch, direct):
+    """With and without a move; a writer that is never closed, and one that fails."""
+    from voltrail.sources import storage
+
+    if direct:
+        monkeypatch.setattr(storage, "WHOLE_ON_CLOSE", ("file",))
+    uri = f"file:{tmp_path}/f.bin"
+    assert storage.write_file(uri, [b"one", b"two"], {}) == (6, zlib.crc32(b"onetwo"))
+    assert (tmp_path / "f.bin").read_bytes() == b"onetwo" and os.listdir(tmp_path) == ["f.bin"]
+
+    def failing():
+        yield b"part"
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        storage.write_file(f"file:{tmp_path}/g.bin", failing(), {})
+    assert os.listdir(tmp_path) == ["f.bin"]
+    for scheme in ("s3a", "s3", "gs", "abfss", "hdfs"):
+        assert storage._appears_on_close(f"{scheme}://bucket/x") == (not direct and scheme != "hdfs")

@@ -36,6 +36,17 @@ def locate(uri: str, opened: dict) -> tuple[pafs.FileSystem, str]:
     return opened[place], path
 
 
+#: Stores where a file is there only once it is closed, all of it at a time: files are written
+#: under their own name, and nothing is moved.
+WHOLE_ON_CLOSE = ("s3", "gs", "abfs")
+
+
+def _appears_on_close(uri: str) -> bool:
+    scheme, _, rest = uri.partition(":")
+    scheme = "file" if not rest or "/" in scheme else scheme
+    return SCHEMES.get(scheme, scheme) in WHOLE_ON_CLOSE
+
+
 class StorageError(Exception):
     """Storage failed, as opposed to the bytes being bad: the task must be tried again."""
 
@@ -147,14 +158,19 @@ def _guarded(action, *args, **kwargs):
 
 
 class Writer:
-    """A file written piece by piece that takes its name when it is complete."""
+    """A file written piece by piece that takes its name when it is complete.
+
+    A lost task leaves nothing under that name: on stores that show a file when it is closed,
+    since it never is, elsewhere since the data goes to a hidden name first.
+    """
 
     def __init__(self, uri: str, opened: dict):
         self._fs, self.path = locate(uri, opened)
         folder, _, name = self.path.rpartition("/")
-        self._hidden = f"{folder}/.{name}.{uuid.uuid4().hex}"
+        self._moves = not _appears_on_close(uri)
+        self._hidden = f"{folder}/.{name}.{uuid.uuid4().hex}" if self._moves else self.path
         made = opened.setdefault("folders", set())
-        if folder not in made:
+        if self._moves and folder not in made:
             _guarded(self._fs.create_dir, folder, recursive=True)
             made.add(folder)
         self.size = self.crc = 0
@@ -167,7 +183,8 @@ class Writer:
 
     def finish(self) -> None:
         _guarded(self._out.close)
-        _guarded(self._fs.move, self._hidden, self.path)
+        if self._moves:
+            _guarded(self._fs.move, self._hidden, self.path)
 
     def abandon(self) -> None:
         """Takes away what was written."""
