@@ -44,7 +44,7 @@ from voltrail.llm.common import content, in_batches, table
 #: States kept before the table starts anew, pieces kept likewise. Bounds of memory
 #: only: what is forgotten is made again.
 MAX_STATES = 400_000
-MAX_PIECES = 400_000
+MAX_PIECES = 200_000
 #: Characters of texts that are encoded together, and bytes of a piece that is short.
 GROUP = 1 << 20
 SHORT = 64
@@ -89,8 +89,10 @@ class Transducer:
         first = ((b"", 0),)
         self.ids = {first: 0}
         self.states = [first]
-        self.arcs: list[dict[int, tuple[int, int, int]]] = [{}]
-        self.known_fits: dict[tuple[int, int], bool] = {}
+        # Live positions, each kept once however many states have it.
+        self.live: dict[tuple[bytes, int], tuple[bytes, int]] = {}
+        self.arcs: dict[int, tuple[int, int, int]] = {}
+        self.known_fits: dict[int, bool] = {}
         self.known = Arcs()
 
     def kind(self, token: int) -> int:
@@ -151,7 +153,6 @@ class Transducer:
         number = self.ids.setdefault(state, len(self.states))
         if number == len(self.states):
             self.states.append(state)
-            self.arcs.append({})
         return number
 
     def _arc(self, at: int, byte: int) -> tuple[int, int, int]:
@@ -163,18 +164,19 @@ class Transducer:
             if last is None:
                 rank = ranks.get(longer)
                 if rank is not None:
-                    fit = self.known_fits.get((kind, rank))
+                    fit = self.known_fits.get(kind << 32 | rank)
                     if fit is None:
-                        fit = self.known_fits[kind, rank] = self.fits(kind, longer)
+                        fit = self.known_fits[kind << 32 | rank] = self.fits(kind, longer)
                     if fit:
                         last, size = rank, len(longer)
             if longer in starts:
-                grown.append((longer, kind))
+                pair = (longer, kind)
+                grown.append(self.live.setdefault(pair, pair))
         if last is None:
             raise ValueError("the vocabulary lacks a single byte")
-        grown.append((b"", self.kind(last)))
-        arc = self.arcs[at][byte] = (self._state(tuple(grown)), last, size)
-        return arc
+        pair = (b"", self.kind(last))
+        grown.append(self.live.setdefault(pair, pair))
+        return self._state(tuple(grown)), last, size
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
@@ -186,9 +188,9 @@ class Transducer:
         at, arcs = 0, self.arcs
         lasts: list[tuple[int, int, int]] = []
         for byte in piece:
-            arc = arcs[at].get(byte)
+            arc = arcs.get(at << 8 | byte)
             if arc is None:
-                arc = self._arc(at, byte)
+                arc = arcs[at << 8 | byte] = self._arc(at, byte)
             lasts.append(arc)
             at = arc[0]
             if len(lasts) >= 2 * WINDOW:
