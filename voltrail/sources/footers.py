@@ -58,6 +58,8 @@ class Unusable(NamedTuple):
 class Survey(NamedTuple):
     groups: list[Group]
     unusable: list[Unusable]
+    #: Names of the files of each shape, where few files were surveyed.
+    names: dict[tuple, list[str]] | None = None
 
     @property
     def rows(self) -> int:
@@ -248,15 +250,20 @@ def _merged(rows: list) -> dict[tuple, tuple[int, int, str]]:
 def survey(files: DataFrame, few: bool = False, extras: bool = False) -> Survey:
     """Groups of files (`path`) that one schema reads each, and those that cannot be loaded.
 
-    With `few`, as for a batch of a stream, the tasks' shapes are folded without a shuffle. With
-    `extras`, plain columns outside the contract count as well.
+    With `few`, as for a batch of a stream, which is bounded, the files' names come along and
+    nothing is shuffled. With `extras`, plain columns outside the contract count as well.
     """
-    folded = _footers(files, True, extras)
-    if not few:
-        folded = folded.groupBy("shape", "error").agg(
+    names: dict[tuple, list[str]] | None = None
+    if few:
+        rows = _footers(files, False, extras).collect()
+        names = {}
+        for r in rows:
+            names.setdefault(tuple((c["name"], c["type"]) for c in r["shape"]), []).append(r["path"])
+    else:
+        folded = _footers(files, True, extras).groupBy("shape", "error")
+        rows = folded.agg(
             F.sum("rows").alias("rows"), F.sum("files").alias("files"), F.min("path").alias("path")
-        )
-    rows = folded.collect()
+        ).collect()
     groups: list[dict] = []
     unusable = []
     # The most common shape leads its group, whatever order the rows come in.
@@ -266,9 +273,8 @@ def survey(files: DataFrame, few: bool = False, extras: bool = False) -> Survey:
             unusable.append(Unusable(reason, n_rows, n_files, path, shape))
         else:
             _fold(groups, shape, n_rows, n_files)
-    return Survey(
-        [Group(_schema(g["types"]), g["rows"], g["files"], tuple(g["shapes"])) for g in groups], unusable
-    )
+    made = [Group(_schema(g["types"]), g["rows"], g["files"], tuple(g["shapes"])) for g in groups]
+    return Survey(made, unusable, names)
 
 
 def paths_of(files: DataFrame, shapes: list[tuple], extras: bool = False) -> dict[tuple, list[str]]:

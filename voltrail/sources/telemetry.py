@@ -69,8 +69,8 @@ def read_cleaned(
 ) -> DataFrame:
     """Cleaned rows of the surveyed `files`, each group read with its own schema.
 
-    Where one schema reads them all, Spark is given `places` (their folder, or their names)
-    if known; else the names of each group's files, as Spark's readers need them. `extras`
+    Where one schema reads them all, Spark is given their folder `places` if there is one;
+    else the names of each group's files, as Spark's readers need them. `extras`
     are columns outside the contract that are kept, NULL where a group lacks them.
     """
     more = extras or T.StructType()
@@ -80,7 +80,9 @@ def read_cleaned(
     if len(found.groups) == 1 and places and not found.unusable:
         reader = spark.read.schema(_whole(found.groups[0].schema, ts_type))
         return clean(reader.option("recursiveFileLookup", "true").parquet(*places), ts_type, more)
-    names = footers.paths_of(files, [s for g in found.groups for s in g.shapes], extras is not None)
+    names = found.names
+    if names is None:
+        names = footers.paths_of(files, [s for g in found.groups for s in g.shapes], extras is not None)
     return reduce(
         DataFrame.unionByName,
         [
