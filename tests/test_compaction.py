@@ -240,3 +240,54 @@ def test_a_scan_of_one_vehicle_skips_the_others(spark, table, packed):
     files = len(one.inputFiles())
     if packed:  # one file holds all rows of the vehicle
         assert files > 4 and rows_read(one) <= 2 * 60_000 / files
+
+
+def test_one_compaction_at_a_time(spark, table, monkeypatch):
+    """A second call while one is on does nothing; one that is lost is taken over."""
+    batches(spark, table, "s", 3)
+    compaction.close_batches(spark, table, "s", 3)
+    before = snapshot(telemetry.scan(spark, table))
+    seen, replace = [], writes.replace_partitions
+
+    def meanwhile(df, name):
+        replace(df, name)
+        if name == table and not seen:
+            seen.append(compaction.compact(spark, table))
+            compaction.recover(spark, table)
+            seen.append(snapshot(telemetry.scan(spark, table)) == before)
+
+    monkeypatch.setattr(writes, "replace_partitions", meanwhile)
+    assert compaction.compact(spark, table) == 9 and seen == [0, True]
+    monkeypatch.setattr(writes, "replace_partitions", replace)
+    assert snapshot(telemetry.scan(spark, table)) == before
+
+    from voltrail.session import claim
+
+    place = f"{compaction._location(spark, table)}/_compactions/working"
+    assert claim(spark, place, 3600) and not claim(spark, place, 3600)
+    compaction.recover(spark, table)
+    assert len(catalog.partition_values(spark, table)) == 12
+    monkeypatch.setattr(compaction, "STALE_SECONDS", 0)
+    compaction.recover(spark, table)
+    assert set(per_day(spark, table).values()) == {1}
+    assert snapshot(telemetry.scan(spark, table)) == before
+
+
+def test_a_compaction_that_was_taken_over_changes_nothing(spark, table, monkeypatch):
+    batches(spark, table, "s", 3)
+    compaction.close_batches(spark, table, "s", 3)
+    before, replace = snapshot(telemetry.scan(spark, table)), writes.replace_partitions
+
+    def taken_over(df, name):
+        replace(df, name)
+        if name == table:
+            compaction._recover(spark, table)
+
+    monkeypatch.setattr(writes, "replace_partitions", taken_over)
+    with pytest.raises(RuntimeError, match="took over"):
+        compaction.compact(spark, table)
+    monkeypatch.setattr(writes, "replace_partitions", replace)
+    assert snapshot(telemetry.scan(spark, table)) == before
+    assert compaction.compact(spark, table) == 9
+    compaction.recover(spark, table)
+    assert snapshot(telemetry.scan(spark, table)) == before

@@ -15,12 +15,15 @@ property of the table, changed in one statement:
 Which partitions those are is a small table in the folder of the run. The old
 partitions go at the next call, so readers that planned before still find their files.
 A call that was cut short is taken up by the next one: half-written partitions go, complete ones
-stay. One compaction at a time works on a table; loads may run beside it.
+stay. One compaction at a time works on a table, told by a file that only one can make; a
+second call does nothing. Loads may run beside it.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 
 from voltrail import contract
 from voltrail.plans import catalog, ledger, rollups, writes
+from voltrail.session import claim, release
 
 PACKED = ledger.PACKED
 _STATE = "compaction"
@@ -36,6 +40,8 @@ _CLOSED = "closed."
 TARGET_BYTES = 256 << 20
 #: Bytes of a file of packed rows, about.
 FILE_BYTES = 64 << 20
+#: After so long a compaction that has not ended counts as lost.
+STALE_SECONDS = 6 * 3600
 _MEMBERS = f"`{contract.DAY}` date, `{contract.LOAD}` string, packed string"
 
 
@@ -130,8 +136,26 @@ def bins(sizes: dict[str, int], target: int) -> list[list[str]]:
     return [loads for _, loads in packed if len(loads) > 1]
 
 
+@contextmanager
+def _alone(spark: SparkSession, table: str) -> Iterator[bool]:
+    """Whether no other compaction works on the table while the block runs."""
+    place = f"{_location(spark, table)}/_compactions/working"
+    mine = claim(spark, place, STALE_SECONDS)
+    try:
+        yield mine
+    finally:
+        if mine:
+            release(spark, place)
+
+
 def recover(spark: SparkSession, table: str) -> None:
     """Takes away what the last compaction left: replaced partitions, or half-written ones."""
+    with _alone(spark, table) as mine:
+        if mine:
+            _recover(spark, table)
+
+
+def _recover(spark: SparkSession, table: str) -> None:
     state, run = _state(spark, table)
     if not state:
         return
@@ -162,7 +186,14 @@ def compact(
     details = catalog.table_details(spark, table)
     if details.get("Provider", "").lower() not in writes.FILE_PROVIDERS or contract.DAY not in spark.table(table).columns:
         raise ValueError(f"{table} is no table that loads partition by day")
-    recover(spark, table)
+    with _alone(spark, table) as mine:
+        return _compact(spark, table, settled, target_bytes, least_loads, file_bytes) if mine else 0
+
+
+def _compact(
+    spark: SparkSession, table: str, settled: tuple[str, ...], target_bytes: int, least_loads: int, file_bytes: int
+) -> int:
+    _recover(spark, table)
     streams, named = _closed_streams(spark, table), frozenset(settled)
     for load in named:
         catalog.set_property(spark, table, f"settled.{load}", "true")
@@ -206,6 +237,8 @@ def compact(
     total = sum(by_day[day][load] for day, load, _ in chosen)
     ranged = packed.repartitionByRange(-(-total // file_bytes), contract.DAY, contract.LOAD, "vin_id")
     writes.replace_partitions(writes.clustered(ranged), table)
+    if _state(spark, table) != ("writing", run):
+        raise RuntimeError(f"another compaction of {table} took over; its rows stay as they are")
     catalog.set_property(spark, table, _STATE, f"written:{run}")
     return len(chosen)
 

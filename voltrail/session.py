@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -43,6 +45,34 @@ def discard(spark: SparkSession, workdir: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def claim(spark: SparkSession, path: str, stale_seconds: float) -> bool:
+    """Makes a file that only one caller can make; False where another has it.
+
+    One that is older than `stale_seconds` is taken over: its maker is lost.
+    """
+    fs, hadoop_path = _hadoop(spark, path)
+    try:
+        if time.time() - fs.getFileStatus(hadoop_path).getModificationTime() / 1000 < stale_seconds:
+            return False
+        fs.delete(hadoop_path, False)
+    except Py4JJavaError as error:
+        if "FileNotFoundException" not in str(error.java_exception):
+            raise
+    try:
+        fs.create(hadoop_path, False).close()
+    except Py4JJavaError as error:
+        if "AlreadyExists" not in str(error.java_exception):
+            raise
+        return False
+    return True
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Takes away what `claim` made."""
+    fs, hadoop_path = _hadoop(spark, path)
+    fs.delete(hadoop_path, False)
+
+
 def new_workdir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
