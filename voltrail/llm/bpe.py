@@ -44,9 +44,9 @@ from voltrail.llm.common import content, in_batches, table
 #: States kept before the table starts anew, pieces kept likewise. Bounds of memory
 #: only: what is forgotten is made again.
 MAX_STATES = 400_000
-MAX_PIECES = 200_000
+MAX_PIECES = 100_000
 #: Characters of texts that are encoded together, and bytes of a piece that is short.
-GROUP = 1 << 20
+GROUP = 1 << 18
 SHORT = 64
 #: Texts longer than this many characters are handled in parts.
 PART = 1 << 20
@@ -55,7 +55,9 @@ WINDOW = 1 << 12
 
 _NEVER = 1 << 60
 #: Pieces that step together.
-_TOGETHER = 1 << 14
+_TOGETHER = 1 << 13
+#: Rows of a batch whose texts are Python strings at a time.
+_ROWS = 128
 
 
 def read_ranks(path: str) -> bytes:
@@ -74,7 +76,8 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.starts = {token[:n] for token in ranks for n in range(1, len(token))}
+        # Each beginning of a token by itself, so that states share one copy of it.
+        self.starts = {start: start for start in {token[:n] for token in ranks for n in range(1, len(token))}}
         self.max_states = max_states
         self.edges: tuple[dict, dict] = ({}, {})
         # Right edges that act alike share a number; 0 stands for the piece's start.
@@ -89,8 +92,7 @@ class Transducer:
         first = ((b"", 0),)
         self.ids = {first: 0}
         self.states = [first]
-        # Live positions, each kept once however many states have it.
-        self.live: dict[tuple[bytes, int], tuple[bytes, int]] = {}
+        self.fresh: dict[int, tuple[bytes, int]] = {}
         self.arcs: dict[int, tuple[int, int, int]] = {}
         self.known_fits: dict[int, bool] = {}
         self.known = Arcs()
@@ -169,13 +171,13 @@ class Transducer:
                         fit = self.known_fits[kind << 32 | rank] = self.fits(kind, longer)
                     if fit:
                         last, size = rank, len(longer)
-            if longer in starts:
-                pair = (longer, kind)
-                grown.append(self.live.setdefault(pair, pair))
+            start = starts.get(longer)
+            if start is not None:
+                grown.append((start, kind))
         if last is None:
             raise ValueError("the vocabulary lacks a single byte")
-        pair = (b"", self.kind(last))
-        grown.append(self.live.setdefault(pair, pair))
+        kind = self.kind(last)
+        grown.append(self.fresh.setdefault(kind, (b"", kind)))
         return self._state(tuple(grown)), last, size
 
     def encode(self, piece: bytes) -> list[int]:
@@ -253,7 +255,7 @@ class Transducer:
                 state, token, size = self._arc(key >> 8, key & 255)
                 self.known.add(key, state, token, size)
             found = self.known.find(keys)
-        return self.known.state[found], self.known.token[found]
+        return self.known.state[found].astype(np.int64), self.known.token[found]
 
     def _emit(self, lasts: list[tuple[int, int, int]], at: int, out: list[int]) -> int:
         """Emits what all live positions have in common; returns how many bytes it is."""
@@ -284,7 +286,7 @@ class Arcs:
 
     def _make(self, slots: int) -> None:
         self.shift, self.keys = 64 - slots.bit_length() + 1, np.full(slots, -1, np.int64)
-        self.state, self.token = np.zeros(slots, np.int64), np.zeros(slots, np.int32)
+        self.state, self.token = np.zeros(slots, np.int32), np.zeros(slots, np.int32)
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
         """Where each key is, or the free slot it would take."""
@@ -473,6 +475,15 @@ def codec(raw: bytes, pattern: str) -> Codec:
     return _codecs[key]
 
 
+def _texts(batch: pa.RecordBatch) -> Iterator[str]:
+    """The texts of a batch, a few at a time: as Python strings they take several times
+    the room."""
+    column = batch.column("text")
+    for start in range(0, len(column), _ROWS):
+        for text in column.slice(start, _ROWS).to_pylist():
+            yield text or ""
+
+
 def digests(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
     """Per row: token count, digest of the ids, digest of the bytes they decode to."""
 
@@ -481,7 +492,7 @@ def digests(docs: DataFrame, ranks: bytes, pattern: str) -> DataFrame:
         counts = [0] * n_rows
         of_ids, of_text = ([hashlib.sha256() for _ in range(n_rows)] for _ in range(2))
         machines = [None] * n_rows
-        for rows, ids, ends in own.encode_group([t or "" for t in batch.column("text").to_pylist()]):
+        for rows, ids, ends in own.encode_group(_texts(batch)):
             starts = [0, *ends.tolist()]
             for row, start, end, decimal, raw in zip(
                 rows, starts, starts[1:], own.written(ids, ends), own.raw(ids, ends)
@@ -518,7 +529,7 @@ def encode(docs: DataFrame, ranks: bytes, pattern: str, into: str = "token_ids")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, arrow = codec(ranks, pattern), to_arrow_schema(schema)
         for batch in batches:
-            ids = own.encode_all([text or "" for text in batch.column("text").to_pylist()])
+            ids = own.encode_all(list(_texts(batch)))
             made = [*batch.columns, pa.array(ids, type=arrow.field(into).type)]
             yield pa.RecordBatch.from_arrays(
                 [a.cast(f.type) for a, f in zip(made, arrow)], schema=arrow
