@@ -49,6 +49,33 @@ def test_forgetting_and_parts_change_nothing(monkeypatch, spark, sf_dir):
         assert encoded(text, small) == LIBRARY.encode_ordinary(text)
 
 
+def test_pieces_that_only_end_make_no_states():
+    """What comes after the last byte of a piece is made when another piece goes on there."""
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(300)]
+    own = bpe.Codec(RAW, public_tokenizers.PATTERN)
+    texts = [" ".join(words), " ".join(w + "qz" for w in words), " ".join(w[:-1] for w in words)]
+    assert encoded(texts[0], own) == LIBRARY.encode_ordinary(texts[0])
+    new = [w for w in words if w.encode() not in own.transducer.ranks]
+    ways = {(" " * (w != words[0]) + w)[:n] for w in new for n in range(1, 10)}
+    assert len(own.transducer.states) <= len(ways)
+    for text in [*texts[1:], texts[0]]:
+        assert encoded(text, own) == LIBRARY.encode_ordinary(text)
+
+
+def test_known_pieces_are_not_looked_through_for_new_ones():
+    """A group of texts costs what it holds, not what is known already."""
+
+    class Seen(dict):
+        def __iter__(self):
+            raise AssertionError("all known pieces were looked at")
+
+    own = bpe.Codec(RAW, public_tokenizers.PATTERN)
+    own.older = Seen({" older": b"\x01\x00\x00\x00"})
+    own.learn({" newer", " older"})
+    assert own[" older"] == b"\x01\x00\x00\x00" and len(own[" newer"]) % 4 == 0
+
+
 def test_other_vocabulary():
     raw = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     own = bpe.Codec(raw, public_tokenizers.PATTERN)

@@ -31,7 +31,7 @@ import codecs
 import gc
 import hashlib
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -76,8 +76,9 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
-        # Each beginning of a token by itself, so that states share one copy of it.
-        self.starts = {start: start for start in {token[:n] for token in ranks for n in range(1, len(token))}}
+        self._spell()
+        #: Length of each token met, by id.
+        self.widths = np.ones(max(ranks.values()) + 1, np.int64)
         self.max_states = max_states
         self.edges: tuple[dict, dict] = ({}, {})
         # Right edges that act alike share a number; 0 stands for the piece's start.
@@ -86,21 +87,49 @@ class Transducer:
         self.kind_of: dict[int, int] = {}
         self._clear()
 
+    def _spell(self) -> None:
+        """Numbers the beginnings of tokens: 0 is the empty one; of the others, which byte leads
+        from one to the next, how many bytes it has, its rank if it is a token, and whether
+        a longer token begins so."""
+        self.longer: dict[int, int] = {}
+        self.depths, self.spelled, self.goes_on = [0], [-1], [True]
+        for token, rank in self.ranks.items():
+            node = 0
+            for depth, byte in enumerate(token, 1):
+                self.goes_on[node] = True
+                key = node << 8 | byte
+                node = self.longer.get(key, 0)
+                if not node:
+                    node = self.longer[key] = len(self.depths)
+                    self.depths.append(depth)
+                    self.spelled.append(-1)
+                    self.goes_on.append(False)
+            self.spelled[node] = rank
+
+    def starts(self, part: bytes) -> bool:
+        """Whether a token that is longer begins so."""
+        node = 0
+        for byte in part:
+            node = self.longer.get(node << 8 | byte, 0)
+            if not node:
+                return False
+        return self.goes_on[node]
+
     def _clear(self) -> None:
         # A state: per live position from the longest read part to the shortest, that
-        # part and the kind of the token before it.
-        first = ((b"", 0),)
+        # part's number and (lower half) the kind of the token before it.
+        first = (0,)
         self.ids = {first: 0}
         self.states = [first]
-        self.fresh: dict[int, tuple[bytes, int]] = {}
         self.arcs: dict[int, tuple[int, int, int]] = {}
         self.known_fits: dict[int, bool] = {}
-        self.known = Arcs()
+        # Arcs, and those met at the end of a piece only: what comes after is not made.
+        self.known, self.closing = Arcs(), Arcs()
 
     def kind(self, token: int) -> int:
         known = self.kind_of.get(token)
         if known is None:
-            border = tuple(x for x in self.edge(self.tokens[token], 1) if x[0] in self.starts)
+            border = tuple(x for x in self.edge(self.tokens[token], 1) if self.starts(x[0]))
             known = self.kinds.setdefault(border, len(self.borders))
             if known == len(self.borders):
                 self.borders.append(border)
@@ -137,19 +166,19 @@ class Transducer:
             self.edges[side][token] = known
         return known
 
-    def blocked(self, kind: int, part: bytes, until: int) -> bool:
-        """Whether a merge across the border takes up `part` before rank `until` does
-        (of equal ranks the left one comes first)."""
-        for before, before_until in self.borders[kind]:
-            rank = self.ranks.get(before + part)
-            if rank is not None and rank < before_until and rank <= until:
-                return True
-        return False
-
     def fits(self, kind: int, token: bytes) -> bool:
-        """Whether merging leaves a token apart from one of this kind before it."""
-        side = self.edge(token, 0)
-        return side is not None and not any(self.blocked(kind, *part) for part in side)
+        """Whether merging leaves a token apart from one of this kind before it: no merge
+        across the border takes up a part before its own merge does (of equal ranks
+        the left one comes first)."""
+        side, border, ranks = self.edge(token, 0), self.borders[kind], self.ranks
+        if side is None:
+            return False
+        for part, until in side:
+            for before, before_until in border:
+                rank = ranks.get(before + part)
+                if rank is not None and rank < before_until and rank <= until:
+                    return False
+        return True
 
     def _state(self, state: tuple) -> int:
         number = self.ids.setdefault(state, len(self.states))
@@ -159,27 +188,34 @@ class Transducer:
 
     def _arc(self, at: int, byte: int) -> tuple[int, int, int]:
         """Next state, and the last token of what is read with its length."""
-        one = bytes((byte,))
-        ranks, starts, last, grown = self.ranks, self.starts, None, []
-        for read, kind in self.states[at]:
-            longer = read + one
-            if last is None:
-                rank = ranks.get(longer)
-                if rank is not None:
-                    fit = self.known_fits.get(kind << 32 | rank)
-                    if fit is None:
-                        fit = self.known_fits[kind << 32 | rank] = self.fits(kind, longer)
-                    if fit:
-                        last, size = rank, len(longer)
-            start = starts.get(longer)
-            if start is not None:
-                grown.append((start, kind))
-        if last is None:
-            raise ValueError("the vocabulary lacks a single byte")
-        kind = self.kind(last)
-        grown.append(self.fresh.setdefault(kind, (b"", kind)))
+        longer, goes_on = self.longer, self.goes_on
+        last, size = self._last(at, byte)
+        grown = []
+        for live in self.states[at]:
+            node = longer.get(live >> 32 << 8 | byte)
+            if node is not None and goes_on[node]:
+                grown.append(node << 32 | live & _HALF)
+        kind = self.kind_of.get(last)
+        grown.append(self.kind(last) if kind is None else kind)
         return self._state(tuple(grown)), last, size
 
+    def _last(self, at: int, byte: int) -> tuple[int, int]:
+        """The last token of what is read, with its length."""
+        longer, spelled, fits = self.longer, self.spelled, self.known_fits
+        for live in self.states[at]:
+            node = longer.get(live >> 32 << 8 | byte)
+            if node is None:
+                continue
+            rank = spelled[node]
+            if rank >= 0:
+                pair = (live & _HALF) << 32 | rank
+                fit = fits.get(pair)
+                if fit is None:
+                    fit = fits[pair] = self.fits(live & _HALF, self.tokens[rank])
+                if fit:
+                    return rank, self.depths[node]
+        raise ValueError("the vocabulary lacks a single byte")
+
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:
@@ -212,7 +248,7 @@ class Transducer:
 
     def encode_all(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of short pieces, all of them stepped together, and where each one's end."""
-        if len(self.states) > self.max_states:
+        if len(self.states) > self.max_states or self.closing.count > 2 * self.max_states:
             self._clear()
         sizes = np.array([len(p) for p in pieces])
         order = np.argsort(-sizes, kind="stable")
@@ -224,9 +260,12 @@ class Transducer:
         for step in range(int(sizes[0])):
             # Longest first: those still going are the first ones.
             going = int(np.searchsorted(-sizes, -step, "left"))
-            at, lasts[step, :going] = self._step(at[:going] * 256 + text[starts[:going] + step])
+            on = int(np.searchsorted(-sizes, -step - 1, "left"))
+            keys = at[:going] * 256 + text[starts[:going] + step]
+            at, lasts[step, :on] = self._step(keys[:on])
+            lasts[step, on:going] = self._end(keys[on:])
         # From the ends back: each last token leads to the place before it.
-        width = self.known.width
+        width = self.widths
         place, going = sizes.copy(), np.arange(len(order))
         tails, counts = [], np.zeros(len(order), np.int64)
         while going.size:
@@ -248,20 +287,36 @@ class Transducer:
 
     def _step(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Next states and last tokens of arcs, given as state * 256 + byte."""
-        found = self.known.find(keys)
-        new = found < 0
-        if new.any():
-            for key in np.unique(keys[new]).tolist():
-                state, token, size = self._arc(key >> 8, key & 255)
-                self.known.add(key, state, token, size)
-            found = self.known.find(keys)
-        return self.known.state[found].astype(np.int64), self.known.token[found]
+        at, token = self.known.find(keys)
+        new = np.flatnonzero(at < 0)
+        if new.size:
+            made = np.unique(keys[new])
+            arcs = np.array([self._arc(key >> 8, key & 255) for key in made.tolist()], np.int64)
+            self.known.add(made, arcs[:, 0], arcs[:, 1])
+            self.widths[arcs[:, 1]] = arcs[:, 2]
+            at[new], token[new] = self.known.find(keys[new])
+        return at, token
+
+    def _end(self, keys: np.ndarray) -> np.ndarray:
+        """Last tokens of arcs that pieces end with."""
+        at, token = self.known.find(keys)
+        other = np.flatnonzero(at < 0)
+        if other.size:
+            there, token[other] = self.closing.find(keys[other])
+            new = other[there < 0]
+            if new.size:
+                made = np.unique(keys[new])
+                ends = np.array([self._last(key >> 8, key & 255) for key in made.tolist()], np.int64)
+                self.closing.add(made, np.zeros(len(made), np.int64), ends[:, 0])
+                self.widths[ends[:, 0]] = ends[:, 1]
+                token[new] = self.closing.find(keys[new])[1]
+        return token
 
     def _emit(self, lasts: list[tuple[int, int, int]], at: int, out: list[int]) -> int:
         """Emits what all live positions have in common; returns how many bytes it is."""
         ways = []
-        for read, _ in self.states[at]:
-            i, way = len(lasts) - len(read), []
+        for live in self.states[at]:
+            i, way = len(lasts) - self.depths[live >> 32], []
             while i > 0:
                 way.append(lasts[i - 1][1])
                 i -= lasts[i - 1][2]
@@ -279,8 +334,6 @@ class Arcs:
     """Arcs by key, in arrays: open addressing, doubled when half full."""
 
     def __init__(self) -> None:
-        #: Length of each token met, by id.
-        self.width = np.ones(1 << 16, np.int64)
         self.count = 0
         self._make(1 << 16)
 
@@ -300,32 +353,33 @@ class Arcs:
             off = off[(here != keys[off]) & (here >= 0)]
         return slots
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Slots of the keys; -1 for those that are not there."""
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """States and tokens of the keys; states of -1 for those that are not there."""
         slots = self._slots(keys)
-        return np.where(self.keys[slots] == keys, slots, -1)
+        there = self.keys[slots] == keys
+        return np.where(there, self.state[slots], np.int64(-1)), self.token[slots]
 
-    def add(self, key: int, state: int, token: int, size: int) -> None:
-        if 2 * self.count >= len(self.keys):
+    def add(self, keys: np.ndarray, states: np.ndarray, tokens: np.ndarray) -> None:
+        """Keys that are not there, each once."""
+        self.count += len(keys)
+        if 2 * self.count > len(self.keys):
             old = self.keys >= 0
-            keys, states, tokens = self.keys[old], self.state[old], self.token[old]
-            self._make(2 * len(self.keys))
-            for one in zip(keys.tolist(), states.tolist(), tokens.tolist()):
-                self._put(*one)
-        self._put(key, state, token)
-        self.count += 1
-        if token >= len(self.width):
-            self.width = np.concatenate([self.width, np.ones(token + 1, np.int64)])
-        self.width[token] = size
-
-    def _put(self, key: int, state: int, token: int) -> None:
-        mask, slot = len(self.keys) - 1, (key * int(_SPREAD) & _WORD) >> self.shift
-        while self.keys[slot] >= 0:
-            slot = (slot + 1) & mask
-        self.keys[slot], self.state[slot], self.token[slot] = key, state, token
-
-
-_WORD = (1 << 64) - 1
+            held = self.keys[old], self.state[old], self.token[old]
+            self._make(1 << (2 * self.count).bit_length())
+            self._put(*held)
+        self._put(keys, states, tokens)
+
+    def _put(self, keys: np.ndarray, states: np.ndarray, tokens: np.ndarray) -> None:
+        while keys.size:
+            slots = self._slots(keys)
+            self.keys[slots] = keys
+            # Of keys that took the same slot one is there; the others go on looking.
+            there = self.keys[slots] == keys
+            self.state[slots[there]], self.token[slots[there]] = states[there], tokens[there]
+            keys, states, tokens = keys[~there], states[~there], tokens[~there]
+
+
+_HALF = (1 << 32) - 1
 #: An odd number that spreads keys over the slots.
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -339,11 +393,14 @@ class Codec(dict):
         self.passing: dict[str, bytes] = {}
         ranks = parse_ranks(raw)
         self.transducer = Transducer(ranks)
-        # The tiktoken library takes \s as Unicode's White_Space.
+        # The tiktoken library takes \s as Unicode's White_Space. A run at the end of an alternative
+        # never gives anything back, and the endings behind an apostrophe are looked at together.
         self.pattern = regex.compile(
             pattern.replace(r"[^\s", r"[^\p{White_Space}")
             .replace(r"\S", r"\P{White_Space}")
             .replace(r"\s", r"\p{White_Space}")
+            .replace("+|", "++|")
+            .replace("'s|'t|'re|'ve|'m|'ll|'d|", "'(?:s|t|re|ve|m|ll|d)|")
         )
         #: Between a letter and a blank before a letter every piece ends.
         self.safe_cut = regex.compile(r"(?<=\p{L})(?= \p{L})")
@@ -370,12 +427,13 @@ class Codec(dict):
             self.older = dict(self)
             self.clear()
         self.passing = {}
-        new = pieces.difference(self)
-        again = new.intersection(self.older)
-        for piece in again:
-            self[piece] = self.older[piece]
-        ranks, short = self.transducer.ranks, []
-        for piece in new - again:
+        ranks, short, older = self.transducer.ranks, [], self.older
+        # Set operations with a dictionary would run through the whole of it.
+        for piece in list(filterfalse(self.__contains__, pieces)):
+            again = older.get(piece)
+            if again is not None:
+                self[piece] = again
+                continue
             text = piece.encode()
             whole = ranks.get(text)
             if whole is not None:
