@@ -84,6 +84,19 @@ def test_bins_keep_to_their_size():
     assert compaction.bins({"a": 60, "b": 70}, 100) == [] and compaction.bins({}, 100) == []
 
 
+def test_large_loads_wait_until_the_others_have_grown():
+    """Of 200 packings of 20 new loads each, none writes the whole day again and again."""
+    day, written = {"packed": 0}, 0
+    for i in range(200):
+        day |= {f"{i}-{n}": 1 for n in range(20)}
+        for loads in compaction.bins(compaction.grown(day, 0.5), 10**9):
+            written += sum(day[x] for x in loads)
+            day[f"packed-{i}"] = sum(day.pop(x) for x in loads)
+    total = 200 * 20
+    assert sum(day.values()) == total and len(day) < 12 and written < 12 * total
+    assert compaction.grown({"a": 9, "b": 1}, 0.0) == {"a": 9, "b": 1}
+
+
 def test_a_closed_batch_is_not_loaded_again(spark, table):
     batches(spark, table, "s", 3)
     compaction.close_batches(spark, table, "s", 2)

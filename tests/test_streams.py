@@ -296,3 +296,24 @@ def test_members_without_target_are_not_gathered(spark):
             spark.conf.set(k, v)
     assert sum(sizes) == 40_000 and max(sizes) < 6_000
     assert settled.where("target IS NOT NULL").count() == 500
+
+
+def test_a_small_batch_takes_few_jobs(spark, namespace, tmp_path):
+    """Names, load and two notes: rows are counted as they are written, footers read without tasks."""
+    from voltrail.plans import ledger
+
+    landing, name = str(tmp_path / "landing"), f"{namespace}.canbus01"
+    for i in range(4):
+        rows = spark.range(i * 70, i * 70 + 70).selectExpr(
+            "if(id % 10 = 0, null, concat('V', id % 5)) AS vin_id",
+            "cast(id % 3 AS int) AS Clean_Mode",
+            "if(id % 7 = 0, null, timestamp_ntz'2024-03-01 00:00:00' + make_dt_interval(0, 0, 0, id * 600)) AS ts",
+        )
+        rows.coalesce(1).write.mode("append").parquet(landing)
+    query = ingest_stream(spark, landing, name, str(tmp_path / "c"), ts_type=NTZ, max_files_per_trigger=1)
+    query.awaitTermination()
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(str(query.runId)))
+    assert jobs <= 4 * 4
+    notes = ledger.loads(spark, name).select("rows_read", "rows_written", "rows_rejected", "null_keys").collect()
+    assert [tuple(n) for n in notes] == [(70, 63, 7, 9)] * 4
+    assert catalog.fresh_table(spark, name).count() == 4 * 63
