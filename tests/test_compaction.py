@@ -304,3 +304,29 @@ def test_a_compaction_that_was_taken_over_changes_nothing(spark, table, monkeypa
     assert compaction.compact(spark, table) == 9
     compaction.recover(spark, table)
     assert snapshot(telemetry.scan(spark, table)) == before
+
+
+def test_days_wait_for_new_loads(spark, table):
+    """A day with few new loads is not written again; the next calls take it up."""
+    batches(spark, table, "s", 3)
+    compaction.close_batches(spark, table, "s", 3)
+    assert compaction.compact(spark, table, least_new=4) == 0
+    batches(spark, table, "s", 2, 3)
+    compaction.close_batches(spark, table, "s", 5)
+    assert compaction.compact(spark, table, least_new=4) == 15
+    compaction.recover(spark, table)
+    assert set(per_day(spark, table).values()) == {1}
+    batches(spark, table, "s", 3, 5)
+    compaction.close_batches(spark, table, "s", 8)
+    assert compaction.compact(spark, table, least_new=4) == 0 and compaction.compact(spark, table) == 12
+    assert snapshot(telemetry.scan(spark, table)) == snapshot(clean(raw(spark, 0, 240)))
+
+
+def test_bins_below_the_size_of_a_file_are_one_file_each(spark, table):
+    batches(spark, table, "s", 4)
+    compaction.close_batches(spark, table, "s", 4)
+    before = snapshot(telemetry.scan(spark, table))
+    assert compaction.compact(spark, table) == 12
+    compaction.recover(spark, table)
+    assert snapshot(telemetry.scan(spark, table)) == before
+    assert len(catalog.fresh_table(spark, table).inputFiles()) == 3

@@ -317,3 +317,57 @@ def test_a_small_batch_takes_few_jobs(spark, namespace, tmp_path):
     notes = ledger.loads(spark, name).select("rows_read", "rows_written", "rows_rejected", "null_keys").collect()
     assert [tuple(n) for n in notes] == [(70, 63, 7, 9)] * 4
     assert catalog.fresh_table(spark, name).count() == 4 * 63
+
+
+def odd_files(spark, landing, count):
+    """One file a batch; rows without vehicle, and rows without time."""
+    for i in range(count):
+        rows = spark.range(i * 70, i * 70 + 70).selectExpr(
+            "if(id % 10 = 0, null, concat('V', id % 5)) AS vin_id",
+            "cast(id % 3 AS int) AS Clean_Mode",
+            "cast(id % 90 AS float) AS DISPLAY_SPEED",
+            "if(id % 7 = 0, null, timestamp_ntz'1890-03-01 00:00:00.25' + make_dt_interval(0, 0, 0, id * 600)) AS ts",
+        )
+        rows.coalesce(1).write.mode("append").parquet(landing)
+
+
+def test_a_small_batch_makes_no_job_of_its_notes(spark, namespace, tmp_path):
+    """Two jobs a batch: names of the files, and the load; notes are put beside them."""
+    from voltrail.plans import ledger
+
+    landing, name = str(tmp_path / "landing"), f"{namespace}.canbus01"
+    odd_files(spark, landing, 4)
+    query = ingest_stream(spark, landing, name, str(tmp_path / "c"), ts_type=NTZ, max_files_per_trigger=1)
+    query.awaitTermination()
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(str(query.runId))) <= 4 * 2
+    notes = ledger.loads(spark, name).select("rows_read", "rows_written", "rows_rejected", "null_keys").collect()
+    assert [tuple(n) for n in notes] == [(70, 63, 7, 9)] * 4
+    assert [r["rows_rejected"] for r in spark.table(f"{name}_rejected").collect()] == [7] * 4
+    want = clean(spark.read.parquet(landing).where("vin_id IS NOT NULL"), NTZ)
+    assert snapshot(telemetry.scan(spark, name)) == snapshot(want)
+
+
+def test_a_small_load_cut_short_is_made_whole(spark, namespace, tmp_path):
+    """Files that a lost load left in its folders, from Spark or from itself, do not stay; a
+    load that readers see already is replaced."""
+    name = f"{namespace}.canbus01"
+    catalog.ensure_telemetry_table(spark, name, NTZ)
+    load = lambda first, last: writes.load_telemetry(
+        clean(raw(spark, first, last)), name, "s-000000001", most_rows=1000, count=True
+    )
+    assert load(0, 300) == (300, 0)
+    held = catalog.partition_values(spark, name)
+    files = glob.glob(catalog.table_details(spark, name)["Location"].removeprefix("file:") + "/*/*/*.parquet")
+    assert len(files) == len(held) == 3
+    for file in files:  # as a commit of Spark would have left it
+        shutil.copy(file, file.replace("part-00000", "part-00007-lost"))
+    # Out of the catalog, while the files stay.
+    place = files[0].rsplit("/ts_day", 1)[0]
+    shutil.copytree(place, tmp_path / "kept")
+    writes.drop_partitions(spark, name, held)
+    shutil.copytree(tmp_path / "kept", place, dirs_exist_ok=True)
+    assert load(0, 300) == (300, 0)
+    assert snapshot(telemetry.scan(spark, name)) == snapshot(clean(raw(spark, 0, 300)))
+    assert load(0, 100) == (100, 0)  # seen by readers: fewer days now
+    assert snapshot(telemetry.scan(spark, name)) == snapshot(clean(raw(spark, 0, 100)))
+    assert len(catalog.partition_values(spark, name)) == 1
