@@ -347,6 +347,25 @@ def test_a_small_batch_makes_no_job_of_its_notes(spark, namespace, tmp_path):
     assert snapshot(telemetry.scan(spark, name)) == snapshot(want)
 
 
+def test_small_loads_of_instants_and_of_odd_years(spark, namespace):
+    """Written by tasks or (years beyond 9999) by Spark, the rows are those that came."""
+    for kind in (T.TimestampType(), NTZ):
+        name = f"{namespace}.{kind.typeName()}"
+        catalog.ensure_telemetry_table(spark, name, kind)
+        first = "timestamp_ntz'1500-01-01 00:00:00.000001'"
+        for i, years in enumerate((400, 4000)):
+            rows = spark.range(12).selectExpr(
+                "concat('V', id) AS vin_id", f"cast({first} + make_ym_interval(cast(id * {years} AS int)) AS {kind.simpleString()}) AS ts"
+            )
+            load_id = f"s-{i}"
+            assert writes.load_telemetry(clean(rows, kind), name, load_id, most_rows=12, count=True) == (12, 0)
+            stored = catalog.fresh_table(spark, name).where(F.col(contract.LOAD) == load_id)
+            text = lambda df: sorted(r[0] for r in df.selectExpr("to_json(struct(*))").collect())
+            assert text(stored.select(*contract.COLUMNS)) == text(clean(rows, kind))
+            files = {f.rsplit("/", 1)[1] for f in stored.inputFiles()}
+            assert (files == {writes.SMALL_FILE}) == (years == 400)
+
+
 def test_a_small_load_cut_short_is_made_whole(spark, namespace, tmp_path):
     """Files that a lost load left in its folders, from Spark or from itself, do not stay; a
     load that readers see already is replaced."""
